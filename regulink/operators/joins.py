@@ -91,6 +91,39 @@ def skew_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def group_join(
+    df: DataFrame,
+    per_group: DataFrame,
+    by: Sequence[str],
+    rows: str = "_rows",
+    hot_groups: int = HOT_KEYS,
+) -> DataFrame:
+    """Inner join of rows with a table of their groups, which says how many rows each group has.
+
+    Fewer than ``hot_groups`` groups can each hold more than one row in ``hot_groups``: these are
+    broadcast, whatever the data, and their rows are spread evenly over the tasks of the shuffle
+    that serves all other groups.
+    """
+    by = list(by)
+    values = [name for name in per_group.columns if name not in (*by, rows)]
+    share = per_group.agg((F.sum(rows) / F.lit(hot_groups)).alias("share")).scalar()
+    is_hot = F.col(rows) > share
+    hot = per_group.where(is_hot).select(*by, F.struct(*values).alias("_hot"))
+    cold = per_group.where(~is_hot).select(
+        *by, F.struct(*values).alias("_cold"), F.lit(0).alias("_salt")
+    )
+    marked = df.join(F.broadcast(hot), by, "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot").isNotNull(), salt_of(df.columns, SALTS) + 1).otherwise(F.lit(0)),
+    )
+    found = F.coalesce("_hot", "_cold")
+    return (
+        marked.join(cold, [*by, "_salt"], "left")
+        .where(found.isNotNull())
+        .select(*df.columns, *[found[name].alias(name) for name in values])
+    )
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from regulink.fixed_values import MAX_LENGTH_DRIFT
 from regulink.functions import in_chromosomes, strip_chr
-from regulink.operators.joins import fits_broadcast, lookup_join, skew_join
+from regulink.operators.joins import fits_broadcast, group_join, lookup_join, skew_join
+from regulink.session import freeze
 
 BIN_BITS = 16
 
@@ -35,6 +36,15 @@ def _target(block, position: Column) -> Column:
     return F.when(block["tgt_strand"] == "-", block["tgt_size"] - 1 - forward).otherwise(forward)
 
 
+def _targets(blocks: Column, position: Column) -> Column:
+    """Targets of a position in each block of a list that covers it, in the order of the list."""
+    inside = F.filter(blocks, lambda b: (b["src_start"] <= position) & (position < b["src_end"]))
+    return F.transform(
+        inside,
+        lambda b: F.struct(b["tgt_chrom"].alias("chrom"), _target(b, position).alias("pos")),
+    )
+
+
 _PREFERENCE = ["_minus_score", "chain_id"]
 
 
@@ -43,6 +53,18 @@ def _with_preference(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("_minus_score", -F.col("score"))
 
 
+def _pick_targets(df: DataFrame) -> DataFrame:
+    """The first target of the start, and the first of the end on the same chromosome."""
+    first = F.get("_starts", F.lit(0))
+    end_target = F.get(F.filter("_ends", lambda t: t["chrom"] == first["chrom"]), F.lit(0))
+    return (
+        df.withColumn("_new_chrom", first["chrom"])
+        .withColumn("_new_start", first["pos"] + 1)
+        .withColumn("_new_end", end_target["pos"] + 1)
+        .drop("_starts", "_ends")
+    )
+
+
 def _lift_with_index(df: DataFrame, blocks: DataFrame) -> DataFrame:
     """Both ends looked up in an index of blocks by bin, without shuffling ``df``.
 
@@ -59,77 +81,53 @@ def _lift_with_index(df: DataFrame, blocks: DataFrame) -> DataFrame:
     small = fits_broadcast(index)
     for end, target in (("start", "_starts"), ("end", "_ends")):
         position = F.col(end) - 1
-        inside = F.filter(
-            "_blocks",
-            lambda b, p=position: (b["src_start"] <= p) & (p < b["src_end"]),
-        )
         df = (
             lookup_join(df.withColumn("_bin", _bin(position)), index, ["chrom", "_bin"], "inner", small)
-            .withColumn(
-                target,
-                F.transform(
-                    inside,
-                    lambda b, p=position: F.struct(
-                        b["tgt_chrom"].alias("chrom"), _target(b, p).alias("pos")
-                    ),
-                ),
-            )
+            .withColumn(target, _targets(F.col("_blocks"), position))
             .drop("_bin", "_blocks")
             .where(F.size(target) > 0)
         )
-    first = F.get("_starts", F.lit(0))
-    end_target = F.get(F.filter("_ends", lambda t: t["chrom"] == first["chrom"]), F.lit(0))
-    return (
-        df.withColumn("_new_chrom", first["chrom"])
-        .withColumn("_new_start", first["pos"] + 1)
-        .withColumn("_new_end", end_target["pos"] + 1)
-        .drop("_starts", "_ends")
-    )
+    return _pick_targets(df)
 
 
 def _lift_with_shuffle(df: DataFrame, blocks: DataFrame) -> DataFrame:
     """The same for a block table too large to broadcast.
 
-    Distinct positions are joined with the blocks of their bin, the preferred target is kept by an
-    aggregate with partial results, and the rows pick up their two ends from the result.
+    Each distinct position is joined with the blocks of its bin, and the best target on each
+    chromosome is kept by an aggregate with partial results: at most one per allowed chromosome.
+    The rows then pick up the targets of their two ends.
     """
     points = (
         df.select("chrom", F.explode(F.array(F.col("start") - 1, F.col("end") - 1)).alias("_pos"))
-        .distinct()
+        .groupBy("chrom", "_pos")
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_bin", _bin(F.col("_pos")))
     )
     block_columns = ["src_start", "src_end", "tgt_chrom", "tgt_size", "tgt_strand", "tgt_start"]
     binned = _by_bin(_with_preference(blocks)).select("chrom", "_bin", *_PREFERENCE, *block_columns)
     block = {name: F.col(name) for name in block_columns}
-    targets = (
+    targets = freeze(
         skew_join(points, binned, ["chrom", "_bin"], "inner")
         .where((F.col("src_start") <= F.col("_pos")) & (F.col("_pos") < F.col("src_end")))
         .withColumn("_target", _target(block, F.col("_pos")))
-        .groupBy("chrom", "_pos", "tgt_chrom")
+        .groupBy("chrom", "_pos", "_rows", F.col("tgt_chrom"))
         .agg(F.min(F.struct(*_PREFERENCE, "_target")).alias("_best"))
+        .groupBy("chrom", "_pos", "_rows")
+        .agg(F.sort_array(F.collect_list(F.struct("_best", "tgt_chrom"))).alias("_list")),
+        "targets",
     )
-    starts = targets.groupBy("chrom", F.col("_pos").alias("_start")).agg(
-        F.min_by(F.struct("tgt_chrom", "_best"), F.struct("_best")).alias("_first")
-    )
-    ends = targets.select(
-        "chrom", F.col("_pos").alias("_end"), F.col("tgt_chrom").alias("_new_chrom"), "_best"
-    )
-    with_start = (
-        skew_join(df.withColumn("_start", F.col("start") - 1), starts, ["chrom", "_start"], "inner")
-        .withColumn("_new_chrom", F.col("_first.tgt_chrom"))
-        .withColumn("_new_start", F.col("_first._best._target") + 1)
-        .drop("_start", "_first")
-    )
-    return (
-        skew_join(
-            with_start.withColumn("_end", F.col("end") - 1),
-            ends,
-            ["chrom", "_end", "_new_chrom"],
-            "inner",
+    for end, target in (("start", "_starts"), ("end", "_ends")):
+        lookup = targets.select(
+            "chrom",
+            F.col("_pos").alias("_at"),
+            "_rows",
+            F.transform(
+                "_list",
+                lambda t: F.struct(t["tgt_chrom"].alias("chrom"), t["_best"]["_target"].alias("pos")),
+            ).alias(target),
         )
-        .withColumn("_new_end", F.col("_best._target") + 1)
-        .drop("_end", "_best")
-    )
+        df = group_join(df.withColumn("_at", F.col(end) - 1), lookup, ["chrom", "_at"]).drop("_at")
+    return _pick_targets(df)
 
 
 def liftover(

@@ -19,6 +19,11 @@ from regulink.session import freeze
 _LOCAL_ROW = (1 << 33) - 1  # row number part of monotonically_increasing_id
 
 
+def _div(a: Column, b: Column) -> Column:
+    """Whole-number quotient of non-negative whole numbers."""
+    return F.call_function("div", a, b)
+
+
 def _offsets(cells: DataFrame, by: Sequence[str], size: str) -> DataFrame:
     """Rows of the group before each cell, and in all cells of the group."""
     earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,9 +85,13 @@ def exact_quantiles(
     )
     cells = placed.groupBy(*keys, "_cell").agg(F.sum("_count").alias("_size"))
 
-    scaled = [F.lit(p.numerator) * (F.col("_total") - 1) for p in exact]
-    lows = [_whole(s, p) for s, p in zip(scaled, exact)]
-    wanted = F.array(*lows, *[low + 1 for low in lows])
+    # the probabilities as one constant array; positions are whole numbers and a remainder
+    table = F.array(
+        *[F.struct(F.lit(p.numerator).alias("num"), F.lit(p.denominator).alias("den")) for p in exact]
+    )
+    last = F.col("_total") - 1
+    lows = F.transform(table, lambda p: _div(p["num"] * last, p["den"]))
+    wanted = F.array_union(lows, F.transform(lows, lambda low: low + 1))
     offsets = (
         _offsets(cells, keys, "_size")
         .withColumn(
@@ -121,18 +130,14 @@ def exact_quantiles(
             F.first("_total").alias("_total"),
         )
     )
-    points = []
-    for p, low in zip(exact, lows):
-        share = F.pmod(F.lit(p.numerator) * (F.col("_total") - 1), F.lit(p.denominator)) / F.lit(
-            float(p.denominator)
-        )
-        below = F.element_at("_at", low)
-        above = F.coalesce(F.element_at("_at", low + 1), below)
-        points.append(below + (above - below) * share)
-    result = at.select(*keys, F.array(*points).alias("quantiles"), F.col("_total").alias("n"))
-    return result if by else result.drop("_all")
 
+    def interpolate(p: Column) -> Column:
+        low = _div(p["num"] * last, p["den"])
+        below = F.try_element_at("_at", low)
+        above = F.coalesce(F.try_element_at("_at", low + 1), below)
+        return below + (above - below) * (F.pmod(p["num"] * last, p["den"]) / p["den"])
 
-def _whole(scaled: Column, p: Fraction) -> Column:
-    """Whole part of ``scaled / denominator`` in exact arithmetic."""
-    return ((scaled - F.pmod(scaled, F.lit(p.denominator))) / F.lit(p.denominator)).cast("long")
+    result = at.select(
+        *keys, F.transform(table, interpolate).alias("quantiles"), F.col("_total").alias("n")
+    )
+    return result if by else result.drop("_all")

@@ -17,7 +17,7 @@ from regulink.fixed_values import (
     SOURCE_WEIGHTS,
 )
 from regulink.functions import clean_score
-from regulink.operators.joins import lookup_join, skew_join
+from regulink.operators.joins import group_join, lookup_join
 from regulink.operators.ranking import exact_quantiles, number_rows
 from regulink.session import freeze
 
@@ -27,7 +27,14 @@ GENE_KEYS = ("variant_id", "source_id", "gene_name")
 
 def weights_frame(spark, weights: Mapping[str, float | None]) -> DataFrame:
     """A ``term, weight`` table from a dictionary."""
-    return spark.createDataFrame(list(weights.items()), "term string, weight double")
+    table = F.create_map(
+        *[
+            F.lit(x).cast(kind)
+            for pair in weights.items()
+            for x, kind in zip(pair, ("string", "double"))
+        ]
+    )
+    return spark.range(1).select(F.explode(table).alias("term", "weight"))
 
 
 def evidence_score(
@@ -177,8 +184,10 @@ def minmax(
         group = Window.partitionBy(*by)
         ranged = df.withColumns({"_low": F.min(col).over(group), "_high": F.max(col).over(group)})
     else:
-        extremes = df.groupBy(*by).agg(F.min(col).alias("_low"), F.max(col).alias("_high"))
-        ranged = skew_join(df, extremes, by, "inner")
+        extremes = df.groupBy(*by).agg(
+            F.min(col).alias("_low"), F.max(col).alias("_high"), F.count(F.lit(1)).alias("_rows")
+        )
+        ranged = group_join(df, extremes, by)
     position = F.try_divide((F.col(col) - low).cast("double"), high - low)
     return ranged.withColumn(
         output, F.when(F.col(col).isNotNull(), F.coalesce(position, F.lit(0.0)))

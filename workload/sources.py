@@ -71,14 +71,13 @@ def read_biofeatures(d: Data) -> DataFrame:
 
 GTF_SQL = """
 WITH lines AS (
-  SELECT *, 'gene' AS feature, concat('gene_id "', gene_id, '"; gene_name "',
-         CASE WHEN p_partkey % 4 = 0 THEN lower(gene_name) ELSE gene_name END,
-         '"; gene_biotype "', biotype, '";') AS attributes, 0 AS k FROM v_genes
-  UNION ALL
-  SELECT *, 'transcript', concat('gene_id "', gene_id, '"; gene_name "',
-         CASE WHEN p_partkey % 4 = 0 THEN lower(gene_name) ELSE gene_name END,
-         '"; transcript_biotype "', biotype, '";'), copies.k
-  FROM v_genes, (SELECT unnest([1, 2]) AS k) copies
+  SELECT p_partkey, gene_chrom, gene_start, gene_end, strand, k,
+         CASE WHEN k = 0 THEN 'gene' ELSE 'transcript' END AS feature,
+         concat('gene_id "', gene_id, '"; gene_name "',
+                CASE WHEN p_partkey % 4 = 0 THEN lower(gene_name) ELSE gene_name END,
+                CASE WHEN k = 0 THEN '"; gene_biotype "' ELSE '"; transcript_biotype "' END,
+                biotype, '";') AS attributes
+  FROM v_genes, (SELECT unnest([0, 1, 2]) AS k) copies
 )"""
 
 
