@@ -26,7 +26,7 @@ def to_long(value: Column | str) -> Column:
 
 def strip_chr(value: Column | str) -> Column:
     """Remove every ``chr``, wherever it stands."""
-    return F.regexp_replace(_col(value), "chr", "")
+    return F.replace(_col(value), F.lit("chr"), F.lit(""))
 
 
 def in_chromosomes(value: Column | str, allowed: list[str] | None = None) -> Column:

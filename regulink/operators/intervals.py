@@ -12,37 +12,39 @@ from regulink.functions import (
     clean_score,
     in_chromosomes,
     midpoint_distance,
-    split_part,
     strip_chr,
-    to_long,
 )
 
 LINK_KEY = ("chrom", "start", "end", "gene_id")
 
 
+def _fields(df: DataFrame, col: str, pattern: str, take: dict[str, tuple[int, str]]) -> DataFrame:
+    """Fields of a split text as columns.
+
+    They come out of a generator of one row, which later filters are not pushed through, so the
+    text is split once however often the fields are used.
+    """
+    fields = [
+        F.get("_fields", F.lit(i)).try_cast(kind).alias(name) for name, (i, kind) in take.items()
+    ]
+    kept = [name for name in df.columns if name not in take]
+    return df.withColumn("_fields", F.split(col, pattern)).select(
+        *kept, F.inline(F.array(F.struct(*fields)))
+    )
+
+
+_LOCUS = {"chrom": (0, "string"), "start": (1, "long"), "end": (2, "long")}
+
+
 def split_locus(df: DataFrame, col: str, scored: bool = True) -> DataFrame:
     """``chr:start-end`` or ``chr:start-end,score`` into ``chrom, start, end[, score]``."""
-    locus = df.withColumns(
-        {
-            "chrom": split_part(col, "[:,-]", 0),
-            "start": to_long(split_part(col, "[:,-]", 1)),
-            "end": to_long(split_part(col, "[:,-]", 2)),
-        }
-    )
-    if scored:
-        locus = locus.withColumn("score", split_part(col, "[:,-]", 3).try_cast("double"))
-    return locus
+    take = {**_LOCUS, "score": (3, "double")} if scored else _LOCUS
+    return _fields(df, col, "[:,-]", take)
 
 
 def split_dotted(df: DataFrame, col: str = "interval") -> DataFrame:
     """``chr.start.end`` into ``chrom, start, end``."""
-    return df.withColumns(
-        {
-            "chrom": split_part(col, r"\.", 0),
-            "start": to_long(split_part(col, r"\.", 1)),
-            "end": to_long(split_part(col, r"\.", 2)),
-        }
-    )
+    return _fields(df, col, r"\.", _LOCUS)
 
 
 def without_chr(df: DataFrame, col: str = "chrom") -> DataFrame:
@@ -51,14 +53,14 @@ def without_chr(df: DataFrame, col: str = "chrom") -> DataFrame:
 
 def parse_packed_assoc(df: DataFrame, col: str = "name") -> DataFrame:
     """``locus;_;symbol;R:score;…`` into ``chrom, start, end, gene_symbol, score``."""
-    packed = df.withColumns(
-        {
-            "_locus": split_part(col, ";", 0),
-            "gene_symbol": split_part(col, ";", 2),
-            "score": F.replace(split_part(col, ";", 3), F.lit("R:"), F.lit("")).try_cast("double"),
-        }
+    packed = _fields(
+        df,
+        col,
+        ";",
+        {"_locus": (0, "string"), "gene_symbol": (2, "string"), "score": (3, "string")},
     )
-    return split_locus(packed, "_locus", scored=False).drop("_locus")
+    number = F.replace("score", F.lit("R:"), F.lit("")).try_cast("double")
+    return split_locus(packed, "_locus", scored=False).withColumn("score", number).drop("_locus")
 
 
 def square_score(df: DataFrame) -> DataFrame:

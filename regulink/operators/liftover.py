@@ -1,16 +1,22 @@
-"""Coordinate conversion between assemblies."""
+"""Coordinate conversion between assemblies.
+
+The blocks of all chains are cut into segments that lie in one bin and are covered by the same
+chains throughout. A position then falls in at most one segment, which already knows its best
+target, so converting a position is one equi-join on the bin with a range condition.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regulink.fixed_values import MAX_LENGTH_DRIFT
 from regulink.functions import in_chromosomes, strip_chr
-from regulink.operators.joins import fits_broadcast, group_join, lookup_join, skew_join
+from regulink.operators.joins import fits_broadcast, lookup_join
 from regulink.session import freeze
 
-BIN_BITS = 16
+# a bin has 2 ** BIN_BITS positions, which also bounds the number of segments in it
+BIN_BITS = 14
 
 
 def _bin(position: Column) -> Column:
@@ -24,110 +30,54 @@ def usable_blocks(blocks: DataFrame, allowed: list[str] | None = None) -> DataFr
     )
 
 
-def _by_bin(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn(
-        "_bin", F.explode(F.sequence(_bin(F.col("src_start")), _bin(F.col("src_end") - 1)))
-    ).withColumn("chrom", F.col("src_chrom"))
-
-
-def _target(block, position: Column) -> Column:
-    """Where a position inside a block lands; counted from the far end on the minus strand."""
-    forward = block["tgt_start"] + position - block["src_start"]
-    return F.when(block["tgt_strand"] == "-", block["tgt_size"] - 1 - forward).otherwise(forward)
-
+def lift_segments(blocks: DataFrame) -> DataFrame:
+    """Segments with the best target on each target chromosome.
 
-def _targets(blocks: Column, position: Column) -> Column:
-    """Targets of a position in each block of a list that covers it, in the order of the list."""
-    inside = F.filter(blocks, lambda b: (b["src_start"] <= position) & (position < b["src_end"]))
-    return F.transform(
-        inside,
-        lambda b: F.struct(b["tgt_chrom"].alias("chrom"), _target(b, position).alias("pos")),
+    A source position ``p`` of a segment goes to ``offset + sign * p``; on the minus strand the
+    target counts from its far end. ``preference`` sorts by chain score, highest first, and then
+    by chain id.
+    """
+    on_minus = F.col("tgt_strand") == "-"
+    aligned = F.col("tgt_start") - F.col("src_start")
+    pieces = (
+        blocks.where(F.col("src_start") < F.col("src_end"))
+        .withColumn("_bin", F.explode(F.sequence(_bin(F.col("src_start")), _bin(F.col("src_end") - 1))))
+        .select(
+            F.col("src_chrom").alias("chrom"),
+            "_bin",
+            F.greatest("src_start", F.shiftleft("_bin", BIN_BITS)).alias("_from"),
+            F.least("src_end", F.shiftleft(F.col("_bin") + 1, BIN_BITS)).alias("_to"),
+            "tgt_chrom",
+            F.struct((-F.col("score")).alias("minus_score"), "chain_id").alias("preference"),
+            F.when(on_minus, F.col("tgt_size") - 1 - aligned).otherwise(aligned).alias("offset"),
+            F.when(on_minus, -1).otherwise(1).alias("sign"),
+        )
     )
-
-
-_PREFERENCE = ["_minus_score", "chain_id"]
-
-
-def _with_preference(blocks: DataFrame) -> DataFrame:
-    """Highest chain score first, then the lowest chain id."""
-    return blocks.withColumn("_minus_score", -F.col("score"))
-
-
-def _pick_targets(df: DataFrame) -> DataFrame:
-    """The first target of the start, and the first of the end on the same chromosome."""
-    first = F.get("_starts", F.lit(0))
-    end_target = F.get(F.filter("_ends", lambda t: t["chrom"] == first["chrom"]), F.lit(0))
-    return (
-        df.withColumn("_new_chrom", first["chrom"])
-        .withColumn("_new_start", first["pos"] + 1)
-        .withColumn("_new_end", end_target["pos"] + 1)
-        .drop("_starts", "_ends")
+    in_bin = Window.partitionBy("chrom", "_bin").orderBy("seg_start")
+    segments = (
+        pieces.select("chrom", "_bin", F.explode(F.array("_from", "_to")).alias("seg_start"))
+        .distinct()
+        .withColumn("seg_end", F.lead("seg_start").over(in_bin))
+        .where(F.col("seg_end").isNotNull())
     )
-
-
-def _lift_with_index(df: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Both ends looked up in an index of blocks by bin, without shuffling ``df``.
-
-    The caller has checked the size of ``blocks``, which bounds each collected list.
-    """
-    fields = [
-        *_PREFERENCE, "src_start", "src_end", "tgt_chrom", "tgt_size", "tgt_strand", "tgt_start",
-    ]
-    index = (
-        _by_bin(_with_preference(blocks))
-        .groupBy("chrom", "_bin")
-        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_blocks"))
+    best = F.min(F.struct("preference", "offset", "sign"))
+    return (
+        segments.join(pieces, ["chrom", "_bin"])
+        .where((F.col("_from") <= F.col("seg_start")) & (F.col("seg_start") < F.col("_to")))
+        .groupBy("chrom", "_bin", "seg_start", "seg_end", F.col("tgt_chrom").alias("new_chrom"))
+        .agg(best.alias("_best"))
+        .select("chrom", "_bin", "seg_start", "seg_end", "new_chrom", "_best.*")
     )
-    small = fits_broadcast(index)
-    for end, target in (("start", "_starts"), ("end", "_ends")):
-        position = F.col(end) - 1
-        df = (
-            lookup_join(df.withColumn("_bin", _bin(position)), index, ["chrom", "_bin"], "inner", small)
-            .withColumn(target, _targets(F.col("_blocks"), position))
-            .drop("_bin", "_blocks")
-            .where(F.size(target) > 0)
-        )
-    return _pick_targets(df)
-
 
-def _lift_with_shuffle(df: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The same for a block table too large to broadcast.
 
-    Each distinct position is joined with the blocks of its bin, and the best target on each
-    chromosome is kept by an aggregate with partial results: at most one per allowed chromosome.
-    The rows then pick up the targets of their two ends.
-    """
-    points = (
-        df.select("chrom", F.explode(F.array(F.col("start") - 1, F.col("end") - 1)).alias("_pos"))
-        .groupBy("chrom", "_pos")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_bin", _bin(F.col("_pos")))
-    )
-    block_columns = ["src_start", "src_end", "tgt_chrom", "tgt_size", "tgt_strand", "tgt_start"]
-    binned = _by_bin(_with_preference(blocks)).select("chrom", "_bin", *_PREFERENCE, *block_columns)
-    block = {name: F.col(name) for name in block_columns}
-    targets = freeze(
-        skew_join(points, binned, ["chrom", "_bin"], "inner")
-        .where((F.col("src_start") <= F.col("_pos")) & (F.col("_pos") < F.col("src_end")))
-        .withColumn("_target", _target(block, F.col("_pos")))
-        .groupBy("chrom", "_pos", "_rows", F.col("tgt_chrom"))
-        .agg(F.min(F.struct(*_PREFERENCE, "_target")).alias("_best"))
-        .groupBy("chrom", "_pos", "_rows")
-        .agg(F.sort_array(F.collect_list(F.struct("_best", "tgt_chrom"))).alias("_list")),
-        "targets",
+def _first_targets(segments: DataFrame) -> DataFrame:
+    """The best target of each segment over all chromosomes."""
+    target = F.struct("preference", "new_chrom", "offset", "sign")
+    return (
+        segments.groupBy("chrom", "_bin", "seg_start", "seg_end")
+        .agg(F.min(target).alias("_best"))
+        .select("chrom", "_bin", "seg_start", "seg_end", "_best.new_chrom", "_best.offset", "_best.sign")
     )
-    for end, target in (("start", "_starts"), ("end", "_ends")):
-        lookup = targets.select(
-            "chrom",
-            F.col("_pos").alias("_at"),
-            "_rows",
-            F.transform(
-                "_list",
-                lambda t: F.struct(t["tgt_chrom"].alias("chrom"), t["_best"]["_target"].alias("pos")),
-            ).alias(target),
-        )
-        df = group_join(df.withColumn("_at", F.col(end) - 1), lookup, ["chrom", "_at"]).drop("_at")
-    return _pick_targets(df)
 
 
 def liftover(
@@ -141,18 +91,31 @@ def liftover(
 
     Each end goes to the target of the best chain over it. A row is dropped when an end has no
     target, when no end target lies on the start's new chromosome, or when the length changes by
-    more than ``maxdiff``. Ends that come out reversed are swapped.
+    more than ``maxdiff``. Ends that come out reversed are swapped. ``small`` says whether the
+    segments may be broadcast; they are measured when it is not given.
     """
     columns = df.columns
-    blocks = usable_blocks(blocks, allowed)
-    if fits_broadcast(blocks) if small is None else small:
-        lifted = _lift_with_index(df, blocks)
-    else:
-        lifted = _lift_with_shuffle(df, blocks)
-    low = F.least("_new_start", "_new_end")
-    high = F.greatest("_new_start", "_new_end")
-    drift = F.abs(F.abs(F.col("start") - F.col("end")) - (high - low))
-    new = {"chrom": F.col("_new_chrom"), "start": low, "end": high}
-    return lifted.where(F.col("_new_end").isNotNull() & (drift <= maxdiff)).select(
+    segments = freeze(lift_segments(usable_blocks(blocks, allowed)), "segments")
+    small = fits_broadcast(segments) if small is None else small
+
+    def place(rows: DataFrame, end: str, targets: DataFrame, keys: list[str], output: str) -> DataFrame:
+        position = F.col(end) - 1
+        return (
+            lookup_join(rows.withColumn("_bin", _bin(position)), targets, keys, "inner", small)
+            .where((F.col("seg_start") <= position) & (position < F.col("seg_end")))
+            .withColumn(output, F.col("offset") + F.col("sign") * position + 1)
+            .drop("_bin", "seg_start", "seg_end", "offset", "sign")
+        )
+
+    with_start = place(df, "start", _first_targets(segments), ["chrom", "_bin"], "_a")
+    by_chrom = segments.drop("preference")
+    both = place(with_start, "end", by_chrom, ["chrom", "_bin", "new_chrom"], "_b")
+    drift = F.abs(F.abs(F.col("start") - F.col("end")) - F.abs(F.col("_a") - F.col("_b")))
+    new = {
+        "chrom": F.col("new_chrom"),
+        "start": F.least("_a", "_b"),
+        "end": F.greatest("_a", "_b"),
+    }
+    return both.where(drift <= maxdiff).select(
         [new[name].alias(name) if name in new else F.col(name) for name in columns]
     )

@@ -85,22 +85,28 @@ def wipe_consequence_feature(df: DataFrame) -> DataFrame:
     )
 
 
-def _grid_position(value: Column, grid: Column, n: int) -> Column:
-    """Position of a value on a quantile grid, from 0 to 1.
+def _grid_pieces(grids: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """Quantile grids as pieces of a function from value to position, one per distinct grid value.
 
-    A value equal to grid points takes their middle; any other is interpolated between its two
-    neighbours. The ends of the grid are 1 and 0, in this order of precedence: 0, then 1.
+    On a grid value the position is the middle of the grid points equal to it, but 0 on the lowest
+    and 1 on the highest; from there to the next grid value it is interpolated.
     """
-    below = F.size(F.filter(grid, lambda q: q < value))
-    up_to = F.size(F.filter(grid, lambda q: q <= value))
-    left = F.get(grid, below - 1)
-    right = F.get(grid, below)
-    between = (below - 1) + F.try_divide(value - left, right - left)
+    next_value = F.lead("_from").over(Window.partitionBy(*by).orderBy("_from"))
+    middle = (F.col("_first") + F.col("_last")) / F.lit(2.0) / F.lit(n - 1)
     return (
-        F.when(value == F.get(grid, F.lit(0)), F.lit(0.0))
-        .when(value == F.get(grid, F.lit(n - 1)), F.lit(1.0))
-        .when(up_to > below, (below + up_to - 1) / F.lit(2.0) / F.lit(n - 1))
-        .otherwise(between / F.lit(n - 1))
+        grids.select(*by, F.posexplode("quantiles").alias("_i", "_from"))
+        .groupBy(*by, "_from")
+        .agg(F.min("_i").alias("_first"), F.max("_i").alias("_last"))
+        .select(
+            *by,
+            "_from",
+            next_value.alias("_to"),
+            F.when(F.col("_first") == 0, 0.0)
+            .when(F.col("_last") == n - 1, 1.0)
+            .otherwise(middle)
+            .alias("_at"),
+            "_last",
+        )
     )
 
 
@@ -115,15 +121,18 @@ def quantile_scale(
 
     Rows with a missing value or group key take no part and are left out.
     """
-    data = df.where(F.col(value).isNotNull())
+    data = df.where(F.col(value).isNotNull() & ~F.isnan(value))
     for key in by:
         data = data.where(F.col(key).isNotNull())
     grids = exact_quantiles(data, value, [Fraction(i, n - 1) for i in range(n)], by)
-    grids = freeze(grids.select(*by, F.col("quantiles").alias("_grid")), "grids")
+    pieces = freeze(_grid_pieces(grids, by, n), "grid")
+    x, start, end = F.col(value), F.col("_from"), F.col("_to")
+    between = (F.col("_last") + (x - start) / (end - start)) / F.lit(n - 1)
     return (
-        lookup_join(data, grids, by, "inner")
-        .withColumn(output, _grid_position(F.col(value), F.col("_grid"), n))
-        .drop("_grid")
+        lookup_join(data, pieces, by, "inner")
+        .where((start <= x) & (end.isNull() | (x < end)))
+        .withColumn(output, F.when(x == start, F.col("_at")).otherwise(between))
+        .drop("_from", "_to", "_at", "_last")
     )
 
 
