@@ -14,6 +14,10 @@ from regulink.session import freeze
 
 MAX_ENTRIES = 200_000
 QTL_EVIDENCE_TYPES = ("eqtl", "pqtl", "sqtl")
+_USED = [
+    "variant_id", "source_id", "feature", "type_id", "gene_name", "gene_id",
+    "score_scaled", "qtl_beta", "qtl_pval", "interval_score",
+]
 
 
 def for_variant(df: DataFrame, *ids: str, sources: Sequence[str] | None = None) -> DataFrame:
@@ -95,6 +99,7 @@ def source_evidence(df: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
     Ranks go with part 0; further parts of a large group hold evidence only.
     """
     keys = ["variant_id", "source_id"]
+    df = freeze(df.select(_USED), "evidence")  # read for sizes, ranks and lists
     nested = _sources(with_parts(df, keys, max_entries))
     ranks = _rank_lists(source_ranks(df), keys, "ft_max", "sa_rank").withColumn("part", F.lit(0))
     return nested.join(ranks, [*keys, "part"], "full_outer").select(
@@ -119,6 +124,7 @@ def variant_evidence(
         df = for_variant(df, *ids)
     if sources is not None:
         df = df.where(F.col("source_id").isin(list(sources)))
+    df = freeze(df.select(_USED), "evidence")  # read for sizes, both kinds of ranks and lists
     keys = ["variant_id"]
     ranks = _rank_lists(variant_ranks(df, weights), keys, "src_agg", "va_rank")
     if not with_evidence:

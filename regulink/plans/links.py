@@ -47,6 +47,10 @@ from regulink.operators.intervals import (
 )
 from regulink.operators.liftover import liftover
 from regulink.operators.ranges import overlap_join
+from regulink.schemas import INTERVAL_LINKS
+from regulink.session import freeze
+
+LINK_COLUMNS = INTERVAL_LINKS.fieldNames()
 
 
 def gene_tss(gtf: DataFrame, protein_coding: bool = True) -> DataFrame:
@@ -71,15 +75,19 @@ def build_gene_list_links(
 
     Names are matched with synonyms. Positions are not shifted. Links farther from the gene than
     ``sd_multiple`` standard deviations of all links are dropped; nothing is de-duplicated.
+
+    Intervals are converted before their gene lists are taken apart, so once per interval. The links
+    that are left are read twice, for the deviation and for the filter, and so written once.
     """
-    named = map_gene_names(explode_genes(links), gene_name_map(genes)).drop("gene_name")
-    placed = without_chr(split_dotted(named)).drop("interval")
+    placed = without_chr(split_dotted(require(links, "gene_names")))
     coded = map_biofeature(
         placed.withColumnRenamed("biofeature_string", "bio_feature"), labels, strict=strict
     )
-    lifted = _lifted(link_columns(with_score(coded)), blocks, maxdiff)
-    cis = add_distance(cis_only(add_gene_position(lifted, genes)), "gene_mid")
-    return link_columns(within_sd(cis, sd_multiple))
+    intervals = coded.select("chrom", "start", "end", "gene_names", "bio_feature")
+    named = map_gene_names(explode_genes(_lifted(intervals, blocks, maxdiff)), gene_name_map(genes))
+    cis = add_distance(cis_only(add_gene_position(require(named, "gene_id"), genes)), "gene_mid")
+    kept = freeze(with_score(cis).select(*LINK_COLUMNS, "distance"), "cis-links")
+    return link_columns(within_sd(kept, sd_multiple))
 
 
 def build_capture_links(
