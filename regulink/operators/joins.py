@@ -34,14 +34,10 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def fits_broadcast(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Measure a table: one distributed pass that returns one row."""
     measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
+    return measured["rows"] <= BROADCAST_MAX_ROWS and (measured["bytes"] or 0) <= BROADCAST_MAX_BYTES
 
 
 def salt_of(columns: Sequence[str], salts: int) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regulink.operators.joins import lookup_join
+from regulink.session import freeze
 
 # bin width of level k is 2 ** (BASE_BITS + k * STEP_BITS); the widest exceeds any chromosome
 BASE_BITS = 10
@@ -62,7 +63,8 @@ def overlap_join(
     """
     l_chrom, l_start, l_end = left_on
     r_chrom, r_start, r_end = (prefix + name for name in right_on)
-    right = right.select([F.col(name).alias(prefix + name) for name in right.columns])
+    # read for its levels, its size and the join, so written once
+    right = freeze(right.select([F.col(name).alias(prefix + name) for name in right.columns]), "right")
     output = [*left.columns, *right.columns]
 
     # at most LEVELS numbers, found in one pass over two columns of the smaller side
