@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulink import schemas
-from regulink.functions import split_part
+from regulink.functions import path_tag, split_part
 from regulink.sources.parsers import parse_chain, parse_gtf, parse_vcf_sites
 
 Paths = str | Sequence[str]
@@ -110,8 +110,7 @@ def read_bed(
     """
     lines = spark.read.text(_paths(path))
     tags = [
-        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(name)
-        for name, pattern in (tag or {}).items()
+        path_tag(pattern).alias(name) for name, pattern in (tag or {}).items()
     ]
     for prefix in skip_prefixes:
         lines = lines.where(~F.col("value").startswith(prefix))
