@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from regulink.functions import split_part
 from regulink.operators.genes import coding_genes
 from regulink.operators.ranking import exact_quantiles
+from regulink.session import freeze
 
 SUMMARY_PROBS = (0.25, 0.5, 0.75)
 THRESHOLD_PROBS = (0.68, 0.75, 0.9, 0.95)
@@ -149,6 +150,7 @@ def distance_histogram(df: DataFrame, bins: int = 1000, col: str = "delta") -> D
     # one value only: a bin range of width 1 around it
     half = F.when(F.min(value) == F.max(value), F.lit(0.5)).otherwise(F.lit(0.0))
     span = df.agg((F.min(value) - half).alias("low"), (F.max(value) + half).alias("high"))
+    span = freeze(span, "span")  # one row, read for both ends and for the list of bins
     low, high = span.select("low").scalar(), span.select("high").scalar()
 
     def edge(i: Column) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType
 
+from regulink.session import freeze
+
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 10_000
@@ -67,7 +69,8 @@ def skew_join(
     on = list(on)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     share = counts.agg((F.sum("_rows") / F.lit(hot_keys)).alias("share")).scalar()
-    hot = F.broadcast(counts.where(F.col("_rows") > share).select(*on, F.lit(True).alias("_hot")))
+    hot = counts.where(F.col("_rows") > share).select(*on, F.lit(True).alias("_hot"))
+    hot = F.broadcast(freeze(hot, "hot-keys"))  # both sides must split the same keys
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     # rows without a key match nothing, and are spread as well
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])

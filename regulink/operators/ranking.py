@@ -51,7 +51,7 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataF
     cells = placed.groupBy(*by, "_cell").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
     )
-    offsets = _offsets(cells, by, "_size")
+    offsets = freeze(_offsets(cells, by, "_size"), "offsets")
     return lookup_join(placed, offsets, [*by, "_cell"], "inner").select(
         *columns,
         (F.col("_before") + F.col("_row") - F.col("_first")).alias("_rank"),
@@ -92,33 +92,30 @@ def exact_quantiles(
     last = F.col("_total") - 1
     lows = F.transform(table, lambda p: _div(p["num"] * last, p["den"]))
     wanted = F.array_union(lows, F.transform(lows, lambda low: low + 1))
-    offsets = (
+    in_cell = (F.col("_before"), F.col("_before") + F.col("_size"))
+    offsets = freeze(
         _offsets(cells, keys, "_size")
         .withColumn(
-            "_wanted",
-            F.array_distinct(
-                F.filter(
-                    wanted,
-                    lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")),
-                )
-            ),
+            "_wanted", F.filter(wanted, lambda r: (r >= in_cell[0]) & (r < in_cell[1]))
         )
         .where(F.size("_wanted") > 0)
-        .select(*keys, "_cell", "_before", "_total", "_wanted")
+        .select(*keys, "_cell", "_before", "_total", "_wanted"),
+        "offsets",
+    )
+    # only cells with a wanted rank are sorted, and cells are of even size
+    so_far = (
+        Window.partitionBy(*keys, "_cell")
+        .orderBy("_value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # cells are of even size, so this shuffle is even too; the window reuses its partitioning
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_value")
+    row_end = F.col("_end")
     found = (
-        placed.join(offsets, [*keys, "_cell"])
-        .withColumn("_end", F.col("_before") + F.sum("_count").over(
-            in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        lookup_join(placed, offsets, [*keys, "_cell"], "inner")
+        .withColumn("_end", F.col("_before") + F.sum("_count").over(so_far))
         .withColumn(
             "_rank",
             F.explode(
-                F.filter(
-                    "_wanted",
-                    lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_count")),
-                )
+                F.filter("_wanted", lambda r: (r < row_end) & (r >= row_end - F.col("_count")))
             ),
         )
     )
