@@ -224,9 +224,9 @@ def test_coverage_check(spark):
         dict(gene_id="G3", gene_name="C", biotype="lincRNA"),
     )
     listed = spark.createDataFrame([("G1",), ("G1",), ("G3",)], "gene_id string")
-    covered, summary = P.coverage_check(table, v2g_gene=listed, d2v2g_gene=listed.limit(0))
-    assert covered.columns == ["biotype", "gene_id", "gene_name", "description", "v2g_gene", "d2v2g_gene"]
-    assert rows(covered, "gene_id", "v2g_gene") == [("G1", True), ("G2", False)]
+    covered, summary = P.coverage_check(table, link_gene=listed, other_gene=listed.limit(0))
+    assert covered.columns == ["biotype", "gene_id", "gene_name", "description", "link_gene", "other_gene"]
+    assert rows(covered, "gene_id", "link_gene") == [("G1", True), ("G2", False)]
     assert rows(summary) == [(2, 1, 0)]
 
 

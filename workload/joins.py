@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from regulink import operators as O
 from regulink import sources as S
+from regulink.fixed_values import CONSEQUENCE_WEIGHTS_V1
 from workload.columns import LABELS_SQL
 from workload.registry import query
 from workload.views import Data
@@ -218,13 +219,11 @@ def missing_labels(d: Data) -> DataFrame:
 
 @query(
     "j10_consequence_weights",
-    """SELECT feature, CASE feature WHEN 'missense_variant' THEN 0.7 WHEN 'stop_gained' THEN 0.95
-       ELSE 0.65 END AS score, count(*) AS n
+    """SELECT feature, CAST(CASE feature WHEN 'missense_variant' THEN 0.7 WHEN 'stop_gained' THEN 0.95
+       ELSE 0.65 END AS DOUBLE) AS score, count(*) AS n
 FROM v_evidence WHERE type_id = 'vep' GROUP BY feature""",
 )
 def consequence_weights(d: Data) -> DataFrame:
-    from regulink.fixed_values import CONSEQUENCE_WEIGHTS_V1
-
     rows = d.view("v_evidence").where("type_id = 'vep'")
     scored = O.evidence_score(rows, O.weights_frame(d.spark, CONSEQUENCE_WEIGHTS_V1))
     return scored.groupBy("feature", "score").agg(F.count(F.lit(1)).alias("n"))

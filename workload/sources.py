@@ -176,8 +176,8 @@ def read_evidence(d: Data) -> DataFrame:
 
 @query(
     "s11_read_consequences",
-    """SELECT feature AS term, count(*) AS n, CASE feature WHEN 'missense_variant' THEN 0.7
-       WHEN 'stop_gained' THEN 0.95 ELSE 0.65 END AS weight
+    """SELECT feature AS term, count(*) AS n, CAST(CASE feature WHEN 'missense_variant' THEN 0.7
+       WHEN 'stop_gained' THEN 0.95 ELSE 0.65 END AS DOUBLE) AS weight
 FROM v_evidence WHERE type_id = 'vep' GROUP BY feature""",
 )
 def read_consequences(d: Data) -> DataFrame:
