@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
@@ -22,53 +23,61 @@ CAPACITY = 2048
 END_ID = 0
 PARTNERS = 32  # partners tried for each length when patterns of three are enumerated
 ROUNDS = 300  # steps of the non-negative fit
-BUCKET_ROWS, MAX_BUCKETS = 2000, 50_000
-KNOWN_MAX = 400_000  # chunks whose ids a worker remembers
+BUCKET_ROWS, MAX_BUCKETS = 500, 200_000
+KNOWN_MAX = 500_000  # pre-tokens whose ids a worker remembers
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$#%&*]*)\Z")
-_SPACE = str.maketrans("\n\t\r", "   ")
+# The tokenizer's pre-tokens, for texts of ASCII and of Latin letters with marks.
+_SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+_PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\r\x0b\x0ca-zß-öø-ÿ0-9]+")
+_ADDED_MARK = "<|"  # added tokens start so
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class ChunkIds:
-    """Ids of texts between spaces as little-endian unsigned 32-bit numbers.
+def byte_characters() -> dict[int, str]:
+    """Latin-1 characters to those by which the vocabulary writes their bytes."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-    The tokenizer drops white space and joins nothing across it, so such chunks are encoded apart,
-    once each while they are remembered. A chunk of letters and closing marks is two pre-tokens.
+
+class PreTokenIds:
+    """Ids of texts as little-endian unsigned 32-bit numbers, encoded once for each pre-token.
+
+    The tokenizer drops white space and joins nothing across pre-tokens. Texts with characters
+    beyond ``_SIMPLE``, or with what may be an added token, are encoded by the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _encode(self, parts: list[str]) -> None:
-        said = self.model.encode_batch_fast(parts, add_special_tokens=False)
-        for part, one in zip(parts, said, strict=True):
-            self.parts[part] = np.array(one.ids, "<u4").tobytes()
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.known: dict[str, bytes] = {}
+        self.characters = byte_characters()
 
-    def learn(self, chunks: set[str]) -> None:
-        new = chunks - self.known.keys()
+    def learn(self, distinct: set[str]) -> None:
+        new = distinct - self.known.keys()
         if len(self.known) + len(new) > KNOWN_MAX:
-            self.known = {c: self.known[c] for c in chunks if c in self.known} | {"": b""}
-        if len(self.parts) + len(new) > KNOWN_MAX:
-            self.parts = {"": b""}
-        split = {c: m.groups() if (m := _PLAIN.match(c)) else (c, "") for c in new}
-        # letters of one byte have one lower case in every library
-        low = {c: (p[0].lower(), p[1]) if p[0].isascii() and p[0].isalpha() else p for c, p in split.items()}
-        self._encode([*{p for pair in low.values() for p in pair if p not in self.parts}])
-        for c, (word, marks) in low.items():
-            self.known[c] = self.parts[word] + self.parts[marks]
+            self.known = {}
+            new = distinct
+        for p in new:
+            written = p.encode().decode("latin-1").translate(self.characters)
+            ids = [t.id for t in self.model.tokenize(written)]
+            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, values: list[str]) -> list[bytes]:
-        split = [v.translate(_SPACE).split(" ") for v in values]
+        simple = [_SIMPLE.fullmatch(v) is not None and _ADDED_MARK not in v for v in values]
+        split = [_PRE_TOKEN.findall(v.lower()) if s else () for v, s in zip(values, simple, strict=True)]
         self.learn(set().union(*split))
-        return [b"".join(map(self.known.__getitem__, one)) for one in split]
+        others = [v for v, s in zip(values, simple, strict=True) if not s]
+        said = iter(self.whole.encode_batch(others, add_special_tokens=False))
+        return [
+            b"".join(map(self.known.__getitem__, one)) if s else np.array(next(said).ids, "<u4").tobytes()
+            for one, s in zip(split, simple, strict=True)
+        ]
 
 
-_loaded: dict[str, ChunkIds] = {}  # by path, for the life of a Python worker
+_loaded: dict[str, PreTokenIds] = {}  # by path, for the life of a Python worker
 
 
 def token_pieces(
@@ -87,7 +96,7 @@ def token_pieces(
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
-            _loaded[path] = ChunkIds(path)
+            _loaded[path] = PreTokenIds(path)
         for ids, values, _ in text_chunks(batches, 1_000_000):
             rows = []
             for doc_id, raw in zip(ids.to_pylist(), _loaded[path].encode(values), strict=True):
