@@ -9,6 +9,7 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from regulink.llm.common import table, text_chunks, texts
+from regulink.llm.wordhash import classes_of, words_of
 from regulink.session import freeze
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,10 +28,10 @@ ROUNDS = 300  # steps of the non-negative fit
 BUCKET_ROWS, MAX_BUCKETS = 500, 200_000
 KNOWN_MAX = 500_000  # pre-tokens whose ids a worker remembers
 
-# The tokenizer's pre-tokens, for texts of ASCII and of Latin letters with marks.
+# ASCII, and Latin letters with marks.
 _SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
-_PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\r\x0b\x0ca-zß-öø-ÿ0-9]+")
-_ADDED_MARK = "<|"  # added tokens start so
+_HARD = re.compile(r"'|<\|")  # apostrophes start pre-tokens of their own, added tokens start like the other
+_CLASSES = classes_of(b" \t\n\r\x0b\x0c", digits=True, marks=True)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -43,8 +45,9 @@ def byte_characters() -> dict[int, str]:
 class PreTokenIds:
     """Ids of texts as little-endian unsigned 32-bit numbers, encoded once for each pre-token.
 
-    The tokenizer drops white space and joins nothing across pre-tokens. Texts with characters
-    beyond ``_SIMPLE``, or with what may be an added token, are encoded by the tokenizer as a whole.
+    The tokenizer drops white space and joins nothing across pre-tokens. In texts of ``_SIMPLE``
+    characters these are runs of letters or of marks, and single digits. Other texts, and those with
+    an apostrophe or with what may be an added token, are encoded by the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
@@ -52,28 +55,41 @@ class PreTokenIds:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.known: dict[str, bytes] = {}
+        self.known: dict[int, bytes] = {}
         self.characters = byte_characters()
 
-    def learn(self, distinct: set[str]) -> None:
-        new = distinct - self.known.keys()
-        if len(self.known) + len(new) > KNOWN_MAX:
-            self.known = {}
-            new = distinct
-        for p in new:
-            written = p.encode().decode("latin-1").translate(self.characters)
-            ids = [t.id for t in self.model.tokenize(written)]
-            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
+    def _ids(self, pre_token: str) -> bytes:
+        written = pre_token.encode().decode("latin-1").translate(self.characters)
+        ids = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _simple(self, values: list[str]) -> list[bytes]:
+        words = words_of([v.lower().encode() for v in values], _CLASSES)
+        codes, distinct = pd.factorize(words.hashes)
+        first = np.empty(len(distinct), np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        if len(self.known) > KNOWN_MAX:
+            self.known.clear()
+        said = [self.known.get(h) for h in distinct.tolist()]
+        for k, ids in enumerate(said):
+            if ids is None:
+                said[k] = self.known[int(distinct[k])] = self._ids(words.text(first[k]))
+        flat = np.frombuffer(b"".join(said), "<u4")
+        sizes = np.fromiter(map(len, said), np.int64, len(said)) // 4
+        begins = np.cumsum(sizes) - sizes
+        mine = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(mine)])
+        at = np.repeat(begins[codes] - ends[:-1], mine) + np.arange(ends[-1])
+        bounds = 4 * ends[words.first]
+        raw = flat[at].tobytes()
+        return [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
     def encode(self, values: list[str]) -> list[bytes]:
-        simple = [_SIMPLE.fullmatch(v) is not None and _ADDED_MARK not in v for v in values]
-        split = [_PRE_TOKEN.findall(v.lower()) if s else () for v, s in zip(values, simple, strict=True)]
-        self.learn(set().union(*split))
-        others = [v for v, s in zip(values, simple, strict=True) if not s]
-        said = iter(self.whole.encode_batch(others, add_special_tokens=False))
+        easy = [not _HARD.search(v) and (v.isascii() or _SIMPLE.fullmatch(v) is not None) for v in values]
+        fast = iter(self._simple([v for v, e in zip(values, easy, strict=True) if e]))
         return [
-            b"".join(map(self.known.__getitem__, one)) if s else np.array(next(said).ids, "<u4").tobytes()
-            for one, s in zip(split, simple, strict=True)
+            next(fast) if e else np.array(self.whole.encode(v, add_special_tokens=False).ids, "<u4").tobytes()
+            for v, e in zip(values, easy, strict=True)
         ]
 
 
