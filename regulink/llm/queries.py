@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regulink.llm.languages import op7_language_id
+from regulink.llm.masked_lm import op3_masked_lm
+from regulink.llm.near_dedup import op1_near_dedup
 from regulink.llm.packing import op10_best_fit_packing
 from regulink.llm.personal_data import op4_personal_data
+from regulink.llm.quality import op8_quality
 from regulink.llm.token_counts import op6_token_counts
 from regulink.llm.url_filter import OP5_SQL, op5_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_personal_data, op5_url_filter, op6_token_counts, op7_language_id, op10_best_fit_packing)
+    q.__name__: q
+    for q in (
+        op1_near_dedup,
+        op3_masked_lm,
+        op4_personal_data,
+        op5_url_filter,
+        op6_token_counts,
+        op7_language_id,
+        op8_quality,
+        op10_best_fit_packing,
+    )
 }
 ORACLES: dict[str, str] = {"op5_url_filter": OP5_SQL}
