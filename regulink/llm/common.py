@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,24 +24,27 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     )
 
 
-def chunks(values: Sequence[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts that together hold about ``limit`` characters; one text is never cut."""
-    begin = size = 0
-    for k, value in enumerate(values):
-        size += len(value)
-        if size >= limit:
+def chunks(sizes: Sequence[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts whose sizes add up to about ``limit``; one text is never cut."""
+    begin = total = 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total >= limit:
             yield begin, k + 1
-            begin, size = k + 1, 0
-    if begin < len(values):
-        yield begin, len(values)
+            begin, total = k + 1, 0
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def text_chunks(
     batches: Iterable[pa.RecordBatch], limit: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.Array, list[str], pa.RecordBatch]]:
-    """Ids, texts and the slice of the batch for runs of rows of bounded text size."""
+    """Ids, texts and the slice of the batch for runs of rows of bounded text size.
+
+    Only the texts of one run at a time become Python strings.
+    """
     for batch in batches:
-        values = batch.column("text").to_pylist()
-        for begin, end in chunks(values, limit):
+        sizes = pc.binary_length(batch.column("text")).to_pylist()
+        for begin, end in chunks(sizes, limit):
             part = batch.slice(begin, end - begin)
-            yield part.column("doc_id"), values[begin:end], part
+            yield part.column("doc_id"), part.column("text").to_pylist(), part

@@ -91,7 +91,7 @@ def signatures(df: DataFrame, words: int, percent: int) -> DataFrame:
     permutations = -(-bands * BAND_ROWS // 2)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, values, _ in text_chunks(batches, 1_000_000):
+        for ids, values, _ in text_chunks(batches, 500_000):
             hashes, begins = shingles(values, words)
             n = np.diff(begins)
             some = np.flatnonzero(n)
@@ -116,61 +116,38 @@ def signatures(df: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _sets(df: DataFrame, words: int) -> DataFrame:
-    """``doc_id, shingles``: sorted distinct hashes as bytes."""
+    """``doc_id, shingles``: the sorted distinct hashes of each text."""
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, values, _ in text_chunks(batches, 1_000_000):
+        for ids, values, _ in text_chunks(batches, 500_000):
             hashes, begins = shingles(values, words)
-            raw = [hashes[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(raw, pa.binary())], ["doc_id", "shingles"])
+            listed = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([ids, listed], ["doc_id", "shingles"])
 
-    return df.mapInArrow(give, "doc_id long, shingles binary")
+    return df.mapInArrow(give, "doc_id long, shingles array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets have 100 * intersection >= percent * union."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_b"))
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for one, two in zip(batch.column("_a"), batch.column("_b"), strict=True):
-                x = np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(two.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(compare, "a long, b long")
+    same = F.size(F.array_intersect("_a", "_b"))
+    linked = (100 + percent) * same >= percent * (F.size("_a") + F.size("_b"))
+    return pairs.join(left, "a").join(right, "b").where(linked).select("a", "b")
 
 
 def _shared_sizes(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """``doc_id, shared``: shingles of each grouped document that another of its group has too."""
-
-    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 200)
-                own = [np.frombuffer(s.as_buffer(), np.int64) for s in part.column("shingles")]
-                sizes = np.fromiter(map(len, own), np.int64, len(own))
-                rows = pa.array(np.repeat(np.arange(len(own)), sizes))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("group").take(rows), part.column("doc_id").take(rows), pa.array(np.concatenate(own))],
-                    ["group", "doc_id", "shingle"],
-                )
-
-    held = sets.join(groups, "doc_id").select("group", "doc_id", "shingles")
-    rows = held.mapInArrow(spread, "group long, doc_id long, shingle long")
+    held = sets.join(groups, "doc_id")
     alone = (
-        rows.groupBy("group", "shingle")
+        held.select("group", "doc_id", F.explode("shingles").alias("_shingle"))
+        .groupBy("group", "_shingle")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("doc_id"))
         .where("_n = 1")
         .groupBy("doc_id")
         .agg(F.count(F.lit(1)).alias("_alone"))
     )
-    sized = sets.join(groups, "doc_id").select("doc_id", F.expr("octet_length(shingles) div 8").alias("_size"))
+    sized = held.select("doc_id", F.size("shingles").alias("_size"))
     return sized.join(alone, "doc_id", "left").select(
         "doc_id", (F.col("_size") - F.coalesce("_alone", F.lit(0))).alias("shared")
     )

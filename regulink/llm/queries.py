@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regulink.llm.fingerprints import op2_fingerprints
 from regulink.llm.languages import op7_language_id
 from regulink.llm.masked_lm import op3_masked_lm
 from regulink.llm.near_dedup import op1_near_dedup
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_near_dedup,
+        op2_fingerprints,
         op3_masked_lm,
         op4_personal_data,
         op5_url_filter,

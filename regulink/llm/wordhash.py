@@ -38,7 +38,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]))
+        size = 1 << (n - 1).bit_length()
         both = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             steps = np.full(size, base, np.uint64)
