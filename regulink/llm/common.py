@@ -9,7 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regulink.session import freeze
+
 CHUNK_CHARS = 2_000_000
+BROADCAST_IDS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,3 +51,14 @@ def text_chunks(
         for begin, end in chunks(sizes, limit):
             part = batch.slice(begin, end - begin)
             yield part.column("doc_id"), part.column("text").to_pylist(), part
+
+
+def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
+    """The rows, with all their columns, whose id is not in ``ids`` (one column ``doc_id``).
+
+    The ids are written and counted once; up to ``most`` are broadcast, more meet by a shuffle.
+    """
+    gone = freeze(ids.select(F.col("doc_id").alias("_gone")), "ids")
+    if gone.count() <= most:
+        gone = F.broadcast(gone)
+    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from regulink.session import freeze
 
+ROWS_PER_FILE = 200_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of ``links`` (columns ``a, b``): the smallest node reachable.
@@ -16,10 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = freeze(both.where("a <> b").distinct(), "links")
+    files = 1 + both.count() // ROWS_PER_FILE
     labels = freeze(
         both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.first("a"), F.min("b")).alias("component")
-        ),
+        ).coalesce(files),
         "labels",
     )
     while True:
@@ -35,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         after = freeze(
             moved.join(onward, "_new", "left").select(
                 "node", F.least("_new", F.coalesce("_next", "_new")).alias("component"), "_old"
-            ),
+            ).coalesce(files),
             "labels",
         )
         labels = after.select("node", "component")

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from regulink.llm.common import table, text_chunks, texts
+from regulink.llm.common import table, text_chunks, texts, without_ids
 from regulink.llm.components import components
 from regulink.llm.wordhash import classes_of, mix, words_of
 from regulink.session import freeze
 
 BAND_ROWS = 6
+DOCUMENTS_PER_FILE = 10_000  # of tables written on the way
 MISS = 1e-5  # chance that a pair just at the threshold meets in no band
 SMALL_BUCKET = 32  # members of a bucket that are compared each with each
 _BYTES = classes_of(b" \t\n\r\x0b\x0c")
@@ -158,7 +159,7 @@ def _may_link(percent: int, n1: str, m1: str, n2: str, m2: str):
     return (100 + percent) * F.least(m1, m2) >= percent * (F.col(n1) + F.col(n2))
 
 
-def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: int) -> DataFrame:
+def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: int, files: int) -> DataFrame:
     """Confirmed links ``a, b`` that connect all representatives as all links between them would.
 
     ``representatives`` has ``doc_id, n_shingles, bands``, one row for each different set. In small
@@ -166,15 +167,15 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     holds the fewest shingles of its own; then the members outside the bucket's largest component
     are compared with all members of other components with which a link is still possible.
     Shingles that no other document of the connected large buckets holds can't be in common, so
-    that bound leaves out no link.
+    that bound leaves out no link. Tables on the way are written as ``files`` files at most.
     """
     exploded = representatives.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
     )
-    members = freeze(exploded.join(sizes.where("size > 1"), "bucket"), "buckets")
+    members = freeze(exploded.join(sizes.where("size > 1"), "bucket").coalesce(files), "buckets")
     met = members.select("doc_id").distinct()
-    sets = freeze(_sets(df.join(met, "doc_id", "left_semi"), words), "sets")
+    sets = freeze(_sets(df.join(met, "doc_id", "left_semi").coalesce(files), words), "sets")
 
     small = members.where(F.col("size") <= SMALL_BUCKET)
     pairs = (
@@ -187,12 +188,12 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     large = members.where(F.col("size") > SMALL_BUCKET)
     if large.isEmpty():
-        return freeze(confirm(pairs.distinct(), sets, percent), "confirmed")
+        return freeze(confirm(pairs.distinct(), sets, percent).coalesce(files), "confirmed")
 
     groups = components(large.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct())
     groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
-    shared = freeze(_shared_sizes(sets, groups), "shared")
-    large = freeze(large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared"), "large")
+    shared = freeze(_shared_sizes(sets, groups).coalesce(files), "shared")
+    large = freeze(large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared").coalesce(files), "large")
     clean = F.struct((1 - F.col("shared") / F.col("n_shingles")).alias("own"), "doc_id", "n_shingles", "shared")
     pivots = large.groupBy("bucket").agg(F.min(clean).alias("p"))
     pivots = pivots.select("bucket", F.col("p.doc_id").alias("_d"), F.col("p.n_shingles").alias("_n"), F.col("p.shared").alias("_m"))
@@ -202,11 +203,11 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
         .where(_may_link(percent, "n_shingles", "shared", "_n", "_m"))
         .select(F.least("doc_id", "_d").alias("a"), F.greatest("doc_id", "_d").alias("b"))
     )
-    first = freeze(confirm(pairs.union(stars).distinct(), sets, percent), "confirmed")
+    first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).coalesce(files), "confirmed")
 
     parts = components(first).select(F.col("node").alias("doc_id"), "component")
     placed = large.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = freeze(placed, "placed")
+    placed = freeze(placed.coalesce(files), "placed")
     by_part = placed.groupBy("bucket", "component").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("n_shingles").alias("_least")
     )
@@ -227,7 +228,7 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
         .select(F.least("doc_id", "_d").alias("a"), F.greatest("doc_id", "_d").alias("b"))
         .distinct()
     )
-    second = freeze(confirm(rest, sets, percent), "confirmed")
+    second = freeze(confirm(rest, sets, percent).coalesce(files), "confirmed")
     return first.union(second)
 
 
@@ -244,11 +245,12 @@ def near_duplicates(
     """
     given = texts(df, id_col, text_col)
     signed = freeze(signatures(given, words, percent), "signatures")
+    files = 1 + signed.count() // DOCUMENTS_PER_FILE
     with_set = signed.where("set_key is not null and doc_id is not null")
     classes = with_set.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    classes = freeze(classes, "classes")
+    classes = freeze(classes.coalesce(files), "classes")
     representatives = with_set.join(classes, ["set_key", "doc_id"]).dropDuplicates(["doc_id", "set_key"])
-    links = near_links(given, representatives.select("doc_id", "n_shingles", "bands"), words, percent)
+    links = near_links(given, representatives.select("doc_id", "n_shingles", "bands"), words, percent, files)
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     of_set = classes.join(found, "doc_id", "left").select(
         "set_key", F.coalesce("component", "doc_id").alias("component")
@@ -262,14 +264,19 @@ def near_duplicates(
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of one document of each group; of rows that repeat its id
-    the one with the smallest text."""
+    """The rows, with all their columns, of one document of each group; of rows that repeat an id
+    the one with the smallest text. Rows without an id stay."""
     found = near_duplicates(df, words, percent, id_col, text_col)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    left = without_ids(df, found.where(~F.col("kept")).select("doc_id").distinct(), id_col)
+    repeated = freeze(
+        df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).count().where("count > 1"), "ids"
+    )
+    if repeated.isEmpty():
+        return left
     place = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    numbered = left.where(F.col(id_col).isNotNull()).withColumn("_place", place).where("_place = 1")
-    return numbered.drop("_place").unionByName(left.where(F.col(id_col).isNull()))
+    again = left.join(repeated.select(F.col("doc_id").alias("_again")), F.col(id_col) == F.col("_again"))
+    once = again.drop("_again").withColumn("_place", place).where("_place = 1").drop("_place")
+    return without_ids(left, repeated.select("doc_id"), id_col).unionByName(once)
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regulink.llm.decontamination import op9_decontamination
 from regulink.llm.fingerprints import op2_fingerprints
 from regulink.llm.languages import op7_language_id
 from regulink.llm.masked_lm import op3_masked_lm
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_token_counts,
         op7_language_id,
         op8_quality,
+        op9_decontamination,
         op10_best_fit_packing,
     )
 }
