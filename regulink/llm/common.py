@@ -39,6 +39,16 @@ def chunks(sizes: Sequence[int], limit: int = CHUNK_CHARS) -> Iterator[tuple[int
         yield begin, len(sizes)
 
 
+def row_chunks(
+    batches: Iterable[pa.RecordBatch], at: int, limit: int = CHUNK_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts, in column number ``at``, add up to a bounded size."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+        for begin, end in chunks(sizes, limit):
+            yield batch.slice(begin, end - begin)
+
+
 def text_chunks(
     batches: Iterable[pa.RecordBatch], limit: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.Array, list[str], pa.RecordBatch]]:
@@ -47,9 +57,7 @@ def text_chunks(
     Only the texts of one run at a time become Python strings.
     """
     for batch in batches:
-        sizes = pc.binary_length(batch.column("text")).to_pylist()
-        for begin, end in chunks(sizes, limit):
-            part = batch.slice(begin, end - begin)
+        for part in row_chunks([batch], batch.schema.get_field_index("text"), limit):
             yield part.column("doc_id"), part.column("text").to_pylist(), part
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regulink.llm.common import table, text_chunks, texts
+from regulink.llm.common import row_chunks, table, text_chunks, texts
 
 BUCKETS = 1 << 15  # hashed n-grams of three characters
 SMOOTHING = 0.5
@@ -206,12 +206,9 @@ def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text")
     at = df.columns.index(text_col)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [t or "" for t in batch.column(at).to_pylist()]
-            said: list[str] = []
-            for begin in range(0, len(values), 500):
-                said += infer(values[begin : begin + 500], held.value)[0]
-            yield batch.filter(pa.array([x != UNDETERMINED for x in said], pa.bool_()))
+        for part in row_chunks(batches, at, held.value.chunk_chars()):
+            said = infer([t or "" for t in part.column(at).to_pylist()], held.value)[0]
+            yield part.filter(pa.array([x != UNDETERMINED for x in said], pa.bool_()))
 
     held = df.sparkSession.sparkContext.broadcast(model)
     return df.mapInArrow(keep, df.schema)

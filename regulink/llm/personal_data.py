@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regulink.llm.common import table, text_chunks, texts
+from regulink.llm.common import row_chunks, table, text_chunks, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "handle", "dial")  # what the method adds to the base patterns
@@ -349,7 +349,7 @@ def mask_documents(df: DataFrame, model: SpanModel | None, text_col: str = "text
 
     def replace(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
-        for batch in batches:
+        for batch in row_chunks(batches, at):
             masked = [
                 t if t is None else mask(t, all_spans(t, model, cache)[1])
                 for t in batch.column(at).to_pylist()
