@@ -28,6 +28,7 @@ from regulink.operators.checks import (
 from regulink.operators.evidence import (
     evidence_matrix,
     for_variant,
+    nested_answers,
     source_evidence,
     source_ranks,
     tissue_evidence,

@@ -1,4 +1,4 @@
-"""Evidence look-up: nested answers and gene-by-feature matrices."""
+"""Evidence look-up: answers for variants and gene-by-feature matrices."""
 
 from __future__ import annotations
 
@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regulink.fixed_values import INTERVAL_TYPES
-from regulink.operators.joins import lookup_join, salt_of
-from regulink.operators.scoring import per_source_scores, rank_genes, variant_gene_scores
+from regulink.operators.joins import group_join
+from regulink.operators.scoring import (
+    GENE_KEYS,
+    per_source_scores,
+    rank_genes,
+    variant_gene_scores,
+)
 from regulink.session import freeze
 
-MAX_ENTRIES = 200_000
 QTL_EVIDENCE_TYPES = ("eqtl", "pqtl", "sqtl")
 _USED = [
     "variant_id", "source_id", "feature", "type_id", "gene_name", "gene_id",
@@ -26,28 +30,17 @@ def for_variant(df: DataFrame, *ids: str, sources: Sequence[str] | None = None)
     return kept if sources is None else kept.where(F.col("source_id").isin(list(sources)))
 
 
-def with_parts(df: DataFrame, keys: Sequence[str], max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Add ``part``: 0, or for a group above ``max_entries`` rows one of as many parts as it needs.
+def tissue_evidence(df: DataFrame) -> DataFrame:
+    """The evidence as flat rows: variant, source, tissue and gene with the values of its type.
 
-    Lists collected per (group, part) are then of bounded length whatever the group's size.
+    ``df`` is scaled evidence; each of its rows is one row here, whatever the size of its group.
     """
-    large = freeze(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > max_entries)
-        .select(*keys, F.ceil(F.col("_rows") / max_entries).cast("int").alias("_parts")),
-        "large-groups",
-    )
-    marked = lookup_join(df.withColumn("_salted", salt_of(df.columns, 1 << 30)), large, keys, "left")
-    return marked.withColumn(
-        "part", F.pmod("_salted", F.coalesce("_parts", F.lit(1)))
-    ).drop("_parts", "_salted")
-
-
-def _raw_entry():
     kind = F.col("type_id")
     is_qtl = kind.isin(list(QTL_EVIDENCE_TYPES))
-    return F.struct(
+    return df.select(
+        "variant_id",
+        "source_id",
+        F.col("feature").alias("tissue_id"),
         "gene_name",
         "gene_id",
         F.col("score_scaled").alias("quantile"),
@@ -57,54 +50,26 @@ def _raw_entry():
     )
 
 
-def _tissues(parted: DataFrame) -> DataFrame:
-    return parted.groupBy("variant_id", "source_id", F.col("feature").alias("tissue_id"), "part").agg(
-        F.sort_array(F.collect_list(_raw_entry())).alias("raw_evidence")
-    )
-
-
-def _sources(parted: DataFrame) -> DataFrame:
-    return _tissues(parted).groupBy("variant_id", "source_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct("tissue_id", "raw_evidence"))).alias("sa_evidence")
-    )
-
-
-def tissue_evidence(df: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Per (variant, source, tissue) the raw evidence of its genes, as a sorted array.
-
-    ``df`` is scaled evidence. A group above ``max_entries`` rows comes in several parts.
-    """
-    return _tissues(with_parts(df, ["variant_id", "source_id", "feature"], max_entries))
-
-
-def _rank_lists(ranked: DataFrame, keys: Sequence[str], score: str, output: str) -> DataFrame:
-    """Ranked genes as one array per key; at most one entry per known gene."""
-    entry = F.struct("rank", "gene_name", F.col(score).alias("score"))
-    return ranked.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias(output))
-
-
 def source_ranks(df: DataFrame) -> DataFrame:
-    """Genes ranked per (variant, source) by their best quantile."""
-    return rank_genes(per_source_scores(df), ["variant_id", "source_id"], "ft_max")
+    """Genes, with their id, ranked per (variant, source) by their best quantile."""
+    keys = ["variant_id", "source_id"]
+    return rank_genes(per_source_scores(df, ids=True), keys, "ft_max", carry=("gene_id",))
 
 
 def variant_ranks(df: DataFrame, weights=None) -> DataFrame:
-    """Genes ranked per variant by the weighted mean over sources."""
-    return rank_genes(variant_gene_scores(per_source_scores(df), weights, "ft_max"))
+    """Genes, with their id, ranked per variant by the weighted mean over sources."""
+    scores = variant_gene_scores(per_source_scores(df, ids=True), weights, "ft_max", ids=True)
+    return rank_genes(scores, carry=("gene_id",))
 
 
-def source_evidence(df: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Per (variant, source) its gene ranks and the evidence of its tissues.
+def source_evidence(df: DataFrame) -> DataFrame:
+    """Flat evidence with the rank and the score of its gene within (variant, source).
 
-    Ranks go with part 0; further parts of a large group hold evidence only.
+    Rows without a variant, source or gene have no rank and are left out.
     """
-    keys = ["variant_id", "source_id"]
-    df = freeze(df.select(_USED), "evidence")  # read for sizes, ranks and lists
-    nested = _sources(with_parts(df, keys, max_entries))
-    ranks = _rank_lists(source_ranks(df), keys, "ft_max", "sa_rank").withColumn("part", F.lit(0))
-    return nested.join(ranks, [*keys, "part"], "full_outer").select(
-        *keys, "part", "sa_rank", "sa_evidence"
-    )
+    ranked = source_ranks(df).select(*GENE_KEYS, F.col("ft_max").alias("score"), "rank")
+    sizes = df.groupBy(*GENE_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
+    return group_join(tissue_evidence(df), freeze(ranked.join(sizes, list(GENE_KEYS)), "ranks"), GENE_KEYS)
 
 
 def variant_evidence(
@@ -113,35 +78,62 @@ def variant_evidence(
     sources: Sequence[str] | None = None,
     with_evidence: bool = True,
     weights=None,
-    max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
-    """The answer for variants: gene ranks and, on request, nested evidence by source and tissue.
+    """The answer for variants: ranked genes and, unless asked not to, the flat evidence for them.
 
-    ``df`` is scaled evidence, so that quantiles are those of the whole data. Ranks go with part 0;
-    further parts of a variant above ``max_entries`` rows hold evidence only.
+    ``df`` is scaled evidence, so that quantiles are those of the whole data. Without evidence a row
+    is a gene of a variant: ``gene_id, score, rank``. With it a row is one piece of evidence, with
+    the gene's ``source_score, source_rank`` and ``score, rank``. The shape is one at every size.
     """
     if ids is not None:
         df = for_variant(df, *ids)
     if sources is not None:
         df = df.where(F.col("source_id").isin(list(sources)))
-    df = freeze(df.select(_USED), "evidence")  # read for sizes, both kinds of ranks and lists
-    keys = ["variant_id"]
-    ranks = _rank_lists(variant_ranks(df, weights), keys, "src_agg", "va_rank")
+    df = df.select(_USED)
+    per_source = per_source_scores(df, ids=True)
     if not with_evidence:
-        return ranks
-    per_source = _sources(with_parts(df, keys, max_entries))
-    source_lists = _rank_lists(
-        source_ranks(df), ["variant_id", "source_id"], "ft_max", "sa_rank"
-    ).withColumn("part", F.lit(0))
-    entry = F.struct("source_id", "sa_rank", "sa_evidence")
-    nested = (
-        per_source.join(source_lists, ["variant_id", "source_id", "part"], "full_outer")
-        .groupBy("variant_id", "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("va_evidence"))
+        scores = variant_gene_scores(per_source, weights, "ft_max", ids=True)
+        return rank_genes(scores, carry=("gene_id",)).withColumnRenamed("src_agg", "score")
+    df = freeze(df, "evidence")  # read for ranks and for rows
+    per_source = freeze(per_source_scores(df, ids=True, counts=True), "source-genes")
+    by_source = rank_genes(per_source, ["variant_id", "source_id"], "ft_max", carry=("_rows",)).select(
+        *GENE_KEYS, F.col("ft_max").alias("source_score"), F.col("rank").alias("source_rank"), "_rows"
+    )
+    scores = variant_gene_scores(per_source, weights, "ft_max", ids=True)
+    by_variant = rank_genes(scores, carry=("gene_id",)).select(
+        "variant_id", "gene_name", F.col("src_agg").alias("score"), "rank"
+    )
+    # one row for each known gene of a variant and source
+    ranked = freeze(by_source.join(by_variant, ["variant_id", "gene_name"]), "ranks")
+    return group_join(tissue_evidence(df), ranked, GENE_KEYS)
+
+
+def nested_answers(df: DataFrame, ids: Sequence[str], sources: Sequence[str] | None = None, weights=None) -> DataFrame:
+    """The answers for the variants asked for, each as one row with nested arrays.
+
+    Arrays hold all evidence of a variant, so this is for a stated list of ids.
+    """
+    rows = variant_evidence(df, ids, sources, True, weights)
+    tissue = rows.groupBy("variant_id", "source_id", "tissue_id").agg(
+        F.sort_array(
+            F.collect_list(F.struct("gene_name", "gene_id", "quantile", "beta", "pval", "interval_score"))
+        ).alias("raw_evidence")
+    )
+    source = tissue.groupBy("variant_id", "source_id").agg(
+        F.sort_array(F.collect_list(F.struct("tissue_id", "raw_evidence"))).alias("sa_evidence")
+    )
+    ranks = rows.groupBy("variant_id", "source_id").agg(
+        F.sort_array(
+            F.collect_set(F.struct(F.col("source_rank").alias("rank"), "gene_name", F.col("source_score").alias("score")))
+        ).alias("sa_rank")
+    )
+    answers = source.join(ranks, ["variant_id", "source_id"]).groupBy("variant_id").agg(
+        F.sort_array(F.collect_list(F.struct("source_id", "sa_rank", "sa_evidence"))).alias("va_evidence")
     )
-    return nested.join(ranks.withColumn("part", F.lit(0)), ["variant_id", "part"], "left").select(
-        "variant_id", "part", "va_rank", "va_evidence"
+    genes = variant_evidence(df, ids, sources, False, weights).groupBy("variant_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "gene_name", "gene_id", "score"))).alias("va_rank")
     )
+    return genes.join(answers, "variant_id").select("variant_id", "va_rank", "va_evidence")
 
 
 def evidence_matrix(

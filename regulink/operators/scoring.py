@@ -165,11 +165,17 @@ def quantile_bins(
     )
 
 
-def per_source_scores(df: DataFrame, counts: bool = False) -> DataFrame:
-    """Best scaled score of each (variant, source, gene), and on request how many there are."""
+def per_source_scores(df: DataFrame, counts: bool = False, ids: bool = False) -> DataFrame:
+    """Best scaled score of each (variant, source, gene), and on request how many there are.
+
+    ``ids`` adds the ``gene_id`` of the name, the first in order where a name has several, and the
+    number of rows as ``_rows``.
+    """
     aggregates = [F.max("score_scaled").alias("ft_max")]
     if counts:
         aggregates.append(F.count("score_scaled").alias("ft_count"))
+    if ids:
+        aggregates += [F.min("gene_id").alias("gene_id"), F.count(F.lit(1)).alias("_rows")]
     keyed = df
     for key in GENE_KEYS:
         keyed = keyed.where(F.col(key).isNotNull())
@@ -241,13 +247,17 @@ def feature_aggregate(
 
 
 def variant_gene_scores(
-    per_source: DataFrame, weights: Mapping[str, float] | None = None, value: str = "score"
+    per_source: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    value: str = "score",
+    ids: bool = False,
 ) -> DataFrame:
-    """Weighted mean over the sources present for a (variant, gene)."""
+    """Weighted mean over the sources present for a (variant, gene); ``ids`` keeps ``gene_id``."""
     table = {k: float(w) for k, w in (SOURCE_WEIGHTS if weights is None else weights).items()}
     weight = _weight_of(F.col("source_id"), table, "source")
     return per_source.groupBy("variant_id", "gene_name").agg(
-        _weighted_mean(F.col(value), weight).alias("src_agg")
+        _weighted_mean(F.col(value), weight).alias("src_agg"),
+        *([F.min("gene_id").alias("gene_id")] if ids else []),
     )
 
 
@@ -257,11 +267,15 @@ def rank_genes(
     score: str = "src_agg",
     gene: str = "gene_name",
     output: str = "rank",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Rank genes by score, highest first, equal scores sharing a rank.
 
     Scores are first reduced to one per gene, so a window holds at most one row per known gene.
+    They count as equal to twelve decimals, so ranks don't depend on the order means were summed in.
+    ``carry`` names columns kept with a gene, the least value where there are several.
     """
-    best = scores.groupBy(*by, gene).agg(F.max(score).alias(score))
-    order = Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())
+    kept = [F.min(c).alias(c) for c in carry]
+    best = scores.groupBy(*by, gene).agg(F.max(score).alias(score), *kept)
+    order = Window.partitionBy(*by).orderBy(F.round(score, 12).desc_nulls_last())
     return best.withColumn(output, F.rank().over(order))

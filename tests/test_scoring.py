@@ -229,41 +229,38 @@ def test_rank_genes_shares_ranks(spark):
 def test_nested_answer(spark):
     weights = O.weights_frame(spark, CONSEQUENCE_WEIGHTS_V1)
     prepared = prepare_evidence(evidence(spark, sample()), weights, 10)
-    answer = O.variant_evidence(prepared, ["v1"], sources=["vep", "gtex_v7"]).collect()
-    assert len(answer) == 1 and answer[0]["part"] == 0
+    wanted = ["vep", "gtex_v7"]
+    answer = O.nested_answers(prepared, ["v1"], wanted).collect()
+    assert len(answer) == 1
     assert [s["source_id"] for s in answer[0]["va_evidence"]] == ["gtex_v7", "vep"]
     assert [r["rank"] for r in answer[0]["va_rank"]] == sorted(r["rank"] for r in answer[0]["va_rank"])
+    assert all(r["gene_id"] is not None for r in answer[0]["va_rank"])
     entries = [e for s in answer[0]["va_evidence"] for t in s["sa_evidence"] for e in t["raw_evidence"]]
-    wanted = prepared.where("variant_id = 'v1' and source_id in ('vep', 'gtex_v7')")
-    assert len(entries) == wanted.count()
+    assert len(entries) == prepared.where("variant_id = 'v1'").where(F.col("source_id").isin(wanted)).count()
     for source in answer[0]["va_evidence"]:
+        assert {r["gene_name"] for r in source["sa_rank"]} == {
+            e["gene_name"] for t in source["sa_evidence"] for e in t["raw_evidence"]
+        }
         assert all(
             (e["beta"] is not None) == (source["source_id"] == "gtex_v7") and e["interval_score"] is None
             for t in source["sa_evidence"]
             for e in t["raw_evidence"]
         )
-    ranks_only = O.variant_evidence(prepared, ["v1"], ["vep", "gtex_v7"], with_evidence=False)
-    assert ranks_only.columns == ["variant_id", "va_rank"]
-    assert ranks_only.first()["va_rank"] == answer[0]["va_rank"]
+    ranks = O.variant_evidence(prepared, ["v1"], wanted, with_evidence=False)
+    assert sorted(ranks.columns) == ["gene_id", "gene_name", "rank", "score", "variant_id"]
+    assert {(r["rank"], r["gene_name"]) for r in ranks.collect()} == {
+        (r["rank"], r["gene_name"]) for r in answer[0]["va_rank"]
+    }
 
 
-def test_large_groups_come_in_parts_and_stay_whole(spark):
+def test_large_groups_keep_one_shape(spark):
     data = [item("hot", f"g{i % 5}", "eqtl", "gtex_v7", "T", pval=0.1) for i in range(300)]
     data += [item("v", "g", "eqtl", "gtex_v7", "T", pval=0.2)]
     df = evidence(spark, data).repartition(8).withColumn("score_scaled", F.lit(0.5))
-    parts = O.tissue_evidence(df, max_entries=50).collect()
-    hot = [r for r in parts if r["variant_id"] == "hot"]
-    assert 1 < len(hot) <= 6
-    assert sum(len(r["raw_evidence"]) for r in hot) == 300
-    assert [len(r["raw_evidence"]) for r in parts if r["variant_id"] == "v"] == [1]
-    nested = O.variant_evidence(df, max_entries=50).collect()
-    total = sum(
-        len(t["raw_evidence"]) for r in nested for s in r["va_evidence"] for t in s["sa_evidence"]
-    )
-    assert total == 301
-    assert sorted(r["variant_id"] for r in nested if r["va_rank"] is not None) == ["hot", "v"]
-    per_source = O.source_evidence(df, max_entries=50).collect()
-    assert sum(len(t["raw_evidence"]) for r in per_source for t in r["sa_evidence"] or []) == 301
+    assert O.tissue_evidence(df).count() == 301
+    for answer in (O.variant_evidence(df), O.source_evidence(df)):
+        assert answer.groupBy("variant_id", "rank").count().collect() != []
+        assert rows(answer.groupBy("variant_id", "rank").count()) == [("hot", 1, 300), ("v", 1, 1)]
 
 
 def test_evidence_matrix(spark):

@@ -321,76 +321,61 @@ def version_one(d: Data) -> DataFrame:
     return tables["per_variant_aggregate_scores"].withColumn("src_agg", F.round("src_agg", 8))
 
 
-@query(
-    "n1_tissue_evidence",
-    f"""{scaled_sql(10)} SELECT variant_id, source_id, feature AS tissue_id, 0 AS part, gene_name, gene_id,
- round(score_scaled, 9) AS quantile, CASE WHEN type_id = 'eqtl' THEN round(qtl_beta, 9) END AS beta,
- CASE WHEN type_id = 'eqtl' THEN qtl_pval END AS pval,
- CASE WHEN type_id IN ('pchic', 'fantom5', 'dhscor') THEN interval_score END AS interval_score
-FROM scaled""",
-)
+RAW_COLUMNS = """variant_id, source_id, tissue_id, gene_name, gene_id, round(quantile, 9) AS quantile,
+ round(beta, 9) AS beta, pval, interval_score"""
+RAW_SQL = """raw AS (
+  SELECT variant_id, source_id, feature AS tissue_id, gene_name, gene_id, score_scaled AS quantile,
+    CASE WHEN type_id = 'eqtl' THEN qtl_beta END AS beta, CASE WHEN type_id = 'eqtl' THEN qtl_pval END AS pval,
+    CASE WHEN type_id IN ('pchic', 'fantom5', 'dhscor') THEN interval_score END AS interval_score
+  FROM scaled)"""
+RANKS_SQL = """genes AS (
+  SELECT variant_id, source_id, gene_name, max(score_scaled) AS ft_max, min(gene_id) AS gene_id
+  FROM scaled {where} GROUP BY ALL),
+source_ranks AS (
+  SELECT variant_id, source_id, gene_name, ft_max AS source_score, CAST(rank() OVER (
+    PARTITION BY variant_id, source_id ORDER BY round(ft_max, 12) DESC) AS INTEGER) AS source_rank FROM genes),
+means AS (
+  SELECT variant_id, gene_name, avg(ft_max) AS score, min(gene_id) AS gene_id FROM genes GROUP BY ALL),
+variant_ranks AS (
+  SELECT *, CAST(rank() OVER (PARTITION BY variant_id ORDER BY round(score, 12) DESC) AS INTEGER) AS rank FROM means)"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    wanted = ("quantile", "beta", "score", "source_score")
+    return df.withColumns({c: F.round(c, 9) for c in wanted if c in df.columns})
+
+
+@query("n1_tissue_evidence", f"{scaled_sql(10)}, {RAW_SQL} SELECT {RAW_COLUMNS} FROM raw")
 def tissue_evidence(d: Data) -> DataFrame:
-    nested = O.tissue_evidence(_prepared(d, 10))
-    flat = nested.select("variant_id", "source_id", "tissue_id", "part", F.inline("raw_evidence"))
-    return flat.withColumns({"quantile": F.round("quantile", 9), "beta": F.round("beta", 9)})
-
-
-SOURCE_RANKS = """source_ranks AS (
-  SELECT variant_id, source_id, gene_name, ft_max, rank() OVER (
-    PARTITION BY variant_id, source_id ORDER BY ft_max DESC) AS rank FROM per_source)"""
+    return _rounded(O.tissue_evidence(_prepared(d, 10)))
 
 
 @query(
     "n2_source_evidence",
-    f"""{scaled_sql(10)}, {PER_SOURCE}, {SOURCE_RANKS}, raw AS (
-  SELECT variant_id, source_id, count(*) AS entries, count(DISTINCT feature) AS tissues FROM scaled GROUP BY ALL)
-SELECT variant_id, source_id, CAST(rank AS INTEGER) AS rank, gene_name, round(ft_max, 9) AS score,
-       entries, tissues
-FROM source_ranks JOIN raw USING (variant_id, source_id)""",
+    f"""{scaled_sql(10)}, {RAW_SQL}, {RANKS_SQL.format(where="")}
+SELECT {RAW_COLUMNS}, round(source_score, 9) AS score, source_rank AS rank
+FROM raw JOIN source_ranks USING (variant_id, source_id, gene_name)""",
 )
 def source_evidence(d: Data) -> DataFrame:
-    nested = O.source_evidence(_prepared(d, 10))
-    entries = F.aggregate(
-        "sa_evidence", F.lit(0).cast("long"), lambda n, t: n + F.size(t["raw_evidence"])
-    )
-    flat = nested.select(
-        "variant_id", "source_id", entries.alias("entries"), F.size("sa_evidence").cast("long").alias("tissues"),
-        F.inline("sa_rank"),
-    )
-    return flat.withColumn("score", F.round("score", 9))
+    return _rounded(O.source_evidence(_prepared(d, 10)))
 
 
 @query(
     "n3_variant_evidence",
-    f"""{scaled_sql(10)}, {PER_SOURCE} SELECT variant_id, gene_name, source_id, tissue_id, raw_gene,
- round(quantile, 9) AS quantile, round(score, 9) AS score
-FROM (SELECT variant_id, gene_name, avg(ft_max) AS score FROM per_source GROUP BY ALL) v
-JOIN (SELECT variant_id, source_id, feature AS tissue_id, gene_name AS raw_gene, score_scaled AS quantile
-      FROM scaled) r USING (variant_id)
-WHERE r.raw_gene = v.gene_name""",
+    f"""{scaled_sql(10)}, {RAW_SQL}, {RANKS_SQL.format(where="")}
+SELECT {RAW_COLUMNS}, round(source_score, 9) AS source_score, source_rank, round(score, 9) AS score, rank
+FROM raw JOIN source_ranks USING (variant_id, source_id, gene_name)
+JOIN (SELECT variant_id, gene_name, score, rank FROM variant_ranks) USING (variant_id, gene_name)""",
 )
 def variant_evidence(d: Data) -> DataFrame:
-    nested = O.variant_evidence(_prepared(d, 10))
-    ranks = nested.select("variant_id", F.inline("va_rank")).drop("rank")
-    evidence = (
-        nested.select("variant_id", F.explode("va_evidence").alias("s"))
-        .select("variant_id", "s.source_id", F.explode("s.sa_evidence").alias("t"))
-        .select("variant_id", "source_id", "t.tissue_id", F.explode("t.raw_evidence").alias("r"))
-        .select("variant_id", "source_id", "tissue_id", F.col("r.gene_name").alias("raw_gene"),
-                F.round("r.quantile", 9).alias("quantile"))
-    )
-    ranks = ranks.withColumns({"raw_gene": F.col("gene_name"), "score": F.round("score", 9)})
-    return evidence.join(ranks, ["variant_id", "raw_gene"])
+    return _rounded(O.variant_evidence(_prepared(d, 10)))
 
 
 @query(
     "n3_variant_evidence_ranks_only",
-    f"""{scaled_sql(10)}, {PER_SOURCE}, v AS (
-  SELECT variant_id, gene_name, round(avg(ft_max), 9) AS score FROM per_source
-  WHERE source_id IN ('vep', 'gtex_v7') GROUP BY ALL)
-SELECT * FROM v""",
+    f"""{scaled_sql(10)}, {RANKS_SQL.format(where="WHERE source_id IN ('vep', 'gtex_v7')")}
+SELECT variant_id, gene_name, gene_id, round(score, 9) AS score, rank FROM variant_ranks""",
 )
 def variant_evidence_ranks_only(d: Data) -> DataFrame:
     answer = O.variant_evidence(_prepared(d, 10), sources=["vep", "gtex_v7"], with_evidence=False)
-    flat = answer.select("variant_id", F.inline("va_rank")).drop("rank")
-    return flat.withColumn("score", F.round("score", 9))
+    return _rounded(answer)
