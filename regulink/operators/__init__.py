@@ -73,7 +73,7 @@ from regulink.operators.intervals import (
     without_chr,
 )
 from regulink.operators.joins import fits_broadcast, lookup_join, skew_join
-from regulink.operators.liftover import liftover
+from regulink.operators.liftover import liftover, unmatched_chromosomes
 from regulink.operators.qtl import (
     bonferroni,
     classify_cis_trans,

@@ -26,7 +26,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     )
 
 
-def split_variant_id(df: DataFrame, col: str = "varid", prefix: str = "ot_") -> DataFrame:
+def split_variant_id(df: DataFrame, col: str = "varid", prefix: str = "var_") -> DataFrame:
     """``chrom_pos_ref_alt`` into four text columns."""
     names = ["chrom", "pos", "ref", "alt"]
     return df.withColumns(
@@ -58,7 +58,7 @@ def nearest_concordance(
     """
     ours = first_per_key(split_variant_id(variants), ["varid"], variant_order)
     theirs = first_per_key(annotated, ["vep_chrom", "vep_pos"], annotated_order)
-    on = (F.col("ot_chrom") == F.col("vep_chrom")) & (F.col("ot_pos") == F.col("vep_pos"))
+    on = (F.col("var_chrom") == F.col("vep_chrom")) & (F.col("var_pos") == F.col("vep_pos"))
     mismatch = ~F.col(gene).eqNullSafe(F.col("vep_nearest"))
     return ours.join(theirs, on, "inner").withColumn("mismatch", mismatch)
 

@@ -43,7 +43,7 @@ def lift_segments(blocks: DataFrame) -> DataFrame:
         blocks.where(F.col("src_start") < F.col("src_end"))
         .withColumn("_bin", F.explode(F.sequence(_bin(F.col("src_start")), _bin(F.col("src_end") - 1))))
         .select(
-            F.col("src_chrom").alias("chrom"),
+            strip_chr("src_chrom").alias("chrom"),
             "_bin",
             F.greatest("src_start", F.shiftleft("_bin", BIN_BITS)).alias("_from"),
             F.least("src_end", F.shiftleft(F.col("_bin") + 1, BIN_BITS)).alias("_to"),
@@ -107,6 +107,7 @@ def liftover(
             .drop("_bin", "seg_start", "seg_end", "offset", "sign")
         )
 
+    df = df.withColumn("chrom", strip_chr("chrom"))
     with_start = place(df, "start", _first_targets(segments), ["chrom", "_bin"], "_a")
     by_chrom = segments.drop("preference")
     both = place(with_start, "end", by_chrom, ["chrom", "_bin", "new_chrom"], "_b")
@@ -119,3 +120,9 @@ def liftover(
     return both.where(drift <= maxdiff).select(
         [new[name].alias(name) if name in new else F.col(name) for name in columns]
     )
+
+
+def unmatched_chromosomes(df: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``chrom, rows``: chromosomes of ``df`` for which there is no chain, and how many rows they have."""
+    counted = df.groupBy(strip_chr("chrom").alias("chrom")).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.join(blocks.select(strip_chr("src_chrom").alias("chrom")).distinct(), "chrom", "left_anti")

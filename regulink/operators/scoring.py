@@ -46,10 +46,16 @@ def evidence_score(
     """Add ``score``, by evidence type.
 
     Interval types take the interval score, with 0 as missing; consequences take the weight of
-    their term, where an unknown term is an error; QTL types take one minus the p-value. Any other
+    their term, where an unknown term, or one with several weights, is an error; QTL types take one minus the p-value. Any other
     type is an error, or null with ``on_unknown='null'``.
     """
-    lookup = weights.groupBy(F.col("term").alias("_term")).agg(F.max("weight").alias("_weight"))
+    differ = F.countDistinct(F.coalesce("weight", F.lit(-1.0))) > 1
+    twice = F.raise_error(F.concat(F.lit("several weights for term: "), F.coalesce("_term", F.lit("null"))))
+    lookup = (
+        weights.groupBy(F.col("term").alias("_term"))
+        .agg(F.max("weight").alias("_weight"), differ.alias("_differ"))
+        .select("_term", F.when(F.col("_differ"), twice.cast("double")).otherwise(F.col("_weight")).alias("_weight"))
+    )
     lookup = lookup.withColumn("_known", F.lit(True))
     kind = F.col("type_id")
     is_consequence = kind == CONSEQUENCE_TYPE

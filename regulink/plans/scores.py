@@ -74,7 +74,8 @@ def score_v1(
 
 
 def write_scores(tables: Mapping[str, DataFrame], path: str) -> None:
-    """Write each table as TSV in a folder of its name."""
+    """Write each table as TSV in a folder of its name, arrays as JSON text."""
     for name, table in tables.items():
-        plain = [f.name for f in table.schema.fields if f.dataType.typeName() != "array"]
-        write_tsv(table.select([F.col(c) for c in plain]), f"{path.rstrip('/')}/{name}")
+        lists = [f.name for f in table.schema.fields if f.dataType.typeName() == "array"]
+        plain = table.withColumns({c: F.to_json(c) for c in lists})
+        write_tsv(plain, f"{path.rstrip('/')}/{name}")

@@ -8,12 +8,14 @@ from regulink.sources.readers import (
     read_consequences,
     read_evidence,
     read_feature_remap,
+    read_feature_remap_tsv,
     read_gene_list,
     read_genes,
     read_gtf,
     read_intervals,
     read_lines,
     read_links_csv,
+    read_study_metadata,
     read_sumstats,
     read_vcf_sites,
 )
@@ -36,12 +38,14 @@ __all__ = [
     "read_consequences",
     "read_evidence",
     "read_feature_remap",
+    "read_feature_remap_tsv",
     "read_gene_list",
     "read_genes",
     "read_gtf",
     "read_intervals",
     "read_lines",
     "read_links_csv",
+    "read_study_metadata",
     "read_sumstats",
     "read_vcf_sites",
     "vcf_to_bed",

@@ -57,7 +57,7 @@ def parse_chain(chains: DataFrame, value: str = "value") -> DataFrame:
     )
     head = F.split(F.get("_lines", F.lit(0)), r"\s+")
     with_lines = chains.select(lines.alias("_lines")).where(
-        F.get("_lines", F.lit(0)).startswith("chain")
+        F.get("_lines", F.lit(0)).startswith("chain") & F.get(head, F.lit(1)).try_cast("double").isNotNull()
     )
     fields = with_lines.select(
         F.get(head, F.lit(12)).try_cast("long").alias("chain_id"),

@@ -57,6 +57,17 @@ def read_feature_remap(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.schema(schemas.FEATURE_REMAP).json(_paths(path))
 
 
+def read_feature_remap_tsv(spark: SparkSession, path: Paths) -> DataFrame:
+    """Old and new (study, biofeature) names from headered TSV, whatever other columns it has."""
+    table = spark.read.csv(_paths(path), sep="\t", header=True)
+    return table.select([F.col(f"`{name}`") for name in schemas.FEATURE_REMAP.fieldNames()])
+
+
+def read_study_metadata(spark: SparkSession, path: Paths) -> DataFrame:
+    """Study metadata from headered TSV, every column as text in the order of the file."""
+    return spark.read.csv(_paths(path), sep="\t", header=True)
+
+
 def read_gene_list(spark: SparkSession, path: Paths) -> DataFrame:
     """One gene id per line, without a header."""
     return spark.read.text(_paths(path)).select(F.trim("value").alias("gene_id")).where(
@@ -87,8 +98,12 @@ def read_vcf_sites(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_chain(spark: SparkSession, path: Paths) -> DataFrame:
-    """Blocks of an assembly chain file; a blank line ends a chain."""
-    return parse_chain(spark.read.text(_paths(path), lineSep="\n\n"))
+    """Blocks of an assembly chain file, with either kind of line end.
+
+    The word that begins a header line parts the chains; what stands before the first is dropped.
+    """
+    chains = spark.read.text(_paths(path), lineSep="chain ")
+    return parse_chain(chains.select(F.concat(F.lit("chain "), "value").alias("value")))
 
 
 def read_links_csv(spark: SparkSession, path: Paths) -> DataFrame:
@@ -123,10 +138,9 @@ def read_bed(
     )
 
 
-def read_evidence(spark: SparkSession, path: Paths, limit: int | None = None) -> DataFrame:
-    """Evidence rows from headerless 19-column TSV; ``limit`` reads only so many rows."""
-    df = _missing_as_null(spark.read.csv(_paths(path), schema=schemas.EVIDENCE, sep="\t"))
-    return df if limit is None else df.limit(limit)
+def read_evidence(spark: SparkSession, path: Paths) -> DataFrame:
+    """Evidence rows from headerless 19-column TSV."""
+    return _missing_as_null(spark.read.csv(_paths(path), schema=schemas.EVIDENCE, sep="\t"))
 
 
 def read_consequences(

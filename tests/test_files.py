@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from regulink import operators as O
 from regulink import plans as P
 from regulink import sources as S
 
@@ -94,7 +95,6 @@ def test_gtf_quotes_comments_and_last_symbol(spark, tmp_path):
         + "\n",
         compress=True,
     )
-    from regulink import operators as O
 
     gtf = S.read_gtf(spark, path)
     assert rows(O.transcript_tss(gtf)) == [("1", 0, 1, "G1", "."), ("1", 8, 9, "G2", ".")]
@@ -117,13 +117,12 @@ def test_read_consequences(spark, tmp_path):
     assert rows(S.read_consequences(spark, path)) == [("missense", 0.66), ("other", None)]
 
 
-def test_read_evidence_limit(spark, tmp_path):
+def test_read_evidence(spark, tmp_path):
     line = "\t".join(["1", "5", "A", "C", "1_5_A_C", "rs", "1", "G", "1", "9", "N", "f", "eqtl", "s", "", "0.1", "", "0.2", ""])
     path = write(tmp_path / "e.tsv", (line + "\n") * 5)
     assert S.read_evidence(spark, path).count() == 5
-    df = S.read_evidence(spark, path, limit=2)
-    assert df.count() == 2
-    assert rows(df.limit(1), "position", "qtl_pval", "qtl_se", "interval_score") == [(5, 0.2, None, None)]
+    df = S.read_evidence(spark, path).distinct()
+    assert rows(df, "position", "qtl_pval", "qtl_se", "interval_score") == [(5, 0.2, None, None)]
 
 
 def test_sorted_table_is_in_order_and_splits_copies(spark, tmp_path):
@@ -196,3 +195,32 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_root(Session())
+
+
+def test_chain_files_with_either_line_end_and_prefixed_names(spark, tmp_path):
+    text = "#note\nchain 9 chr1 100 + 0 100 chr2 200 + 10 110 1\n40 5 5\n55\n\nchain 8 chr3 50 + 0 50 chr4 50 + 0 50 2\n50\n\n"
+    unix = write(tmp_path / "a.chain", text)
+    other = tmp_path / "b.chain"
+    other.write_bytes(text.replace("\n", "\r\n").encode())
+    wanted = [("chr1", 0, 40), ("chr1", 45, 100), ("chr3", 0, 50)]
+    for path in (unix, str(other)):
+        blocks = S.read_chain(spark, path)
+        assert rows(blocks, "src_chrom", "src_start", "src_end") == wanted
+        links = spark.createDataFrame([("1", 5, 9), ("chr3", 5, 9), ("7", 1, 2)], "chrom string, start long, end long")
+        assert rows(O.liftover(links, blocks)) == [("2", 15, 19), ("4", 5, 9)]
+        assert rows(O.unmatched_chromosomes(links, blocks)) == [("7", 1)]
+
+
+def test_label_tables_from_tsv(spark, tmp_path):
+    head = "study\tqtl_group\ttissue_ontology_id\ttissue_label\tcondition_label\tx\tquant_method\n"
+    path = write(tmp_path / "m.tsv", head + "GTEx\tliver_a\tT1\tliver\tnaive\t1\tge\nGTEx\tb\tT1\tliver\tnaive\t1\ttx\n")
+    labels = O.make_biofeature_labels(O.filter_quant(S.read_study_metadata(spark, path), ["ge"]))
+    assert rows(labels, "biofeature_code", "label") == [("LIVER_A", "liver")]
+    path = write(tmp_path / "r.tsv", "study_id\tq\tbiofeature_code\told_study_id\told_bio_feature_code\nA\tx\tB\tC\tD\n")
+    df = spark.createDataFrame([("C", "D"), ("E", "F")], "study_id string, bio_feature string")
+    assert rows(O.remap_biofeatures(df, S.read_feature_remap_tsv(spark, path))) == [("A", "B"), ("E", "F")]
+
+
+def test_arrays_are_written_as_json(spark, tmp_path):
+    P.write_scores({"t": spark.sql("SELECT 1 AS a, array(1, 2) AS b")}, str(tmp_path))
+    assert rows(spark.read.csv(str(tmp_path / "t"), sep="\t", header=True)) == [("1", "[1,2]")]

@@ -99,8 +99,8 @@ def vcf_to_bed(d: Data) -> DataFrame:
 
 @query(
     "p10_split_variant_id",
-    """SELECT varid, split_part(varid, '_', 1) AS ot_chrom, split_part(varid, '_', 2) AS ot_pos,
-       split_part(varid, '_', 3) AS ot_ref, split_part(varid, '_', 4) AS ot_alt FROM v_nearest""",
+    """SELECT varid, split_part(varid, '_', 1) AS var_chrom, split_part(varid, '_', 2) AS var_pos,
+       split_part(varid, '_', 3) AS var_ref, split_part(varid, '_', 4) AS var_alt FROM v_nearest""",
 )
 def split_variant_id(d: Data) -> DataFrame:
     return O.split_variant_id(d.view("v_nearest").select("varid"))

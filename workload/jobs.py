@@ -9,7 +9,8 @@ from regulink import plans as P
 from regulink import sources as S
 from regulink.session import scratch_path
 from workload.columns import LABELS_SQL, QTL_OUT, SIGNIFICANT, TSS_SQL
-from workload.joins import CONCORDANCE, COVERAGE, DELTAS, LAST_SYMBOL, SYNONYMS
+from workload.joins import CONCORDANCE, COVERAGE, LAST_SYMBOL, SYNONYMS, lift_sql
+from workload.scoring import DESCRIBE_SQL, HISTOGRAM_SQL, rounded_bins, rounded_summary
 from workload.registry import query
 from workload.views import Data
 
@@ -39,34 +40,6 @@ def write_qtl_feature_list(d: Data) -> DataFrame:
     return d.spark.read.schema("source string, feature string").json(path + ".feature_list.json")
 
 
-def lift_sql(rows: str, columns: str) -> str:
-    """CTEs that lift ``rows`` (chrom, start_pos, end_pos and ``columns``) into ``lifted``."""
-    return f"""spans AS (SELECT DISTINCT chrom, start_pos, end_pos FROM {rows}),
-usable AS (SELECT chain_id, score AS chain_score, src_chrom, src_start, src_end,
-                  replace(tgt_chrom, 'chr', '') AS tgt_chrom, tgt_size, tgt_strand, tgt_start
-           FROM v_blocks WHERE tgt_chrom <> 'chrUn'),
-starts AS (
-  SELECT s.*, b.tgt_chrom AS new_chrom,
-         CASE WHEN tgt_strand = '-' THEN tgt_size - 1 - (tgt_start + start_pos - 1 - src_start)
-              ELSE tgt_start + start_pos - 1 - src_start END + 1 AS a,
-         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY chain_score DESC, chain_id) AS rn
-  FROM spans s JOIN usable b ON s.chrom = b.src_chrom AND src_start <= start_pos - 1 AND start_pos - 1 < src_end),
-ends AS (
-  SELECT s.chrom, s.start_pos, s.end_pos, s.new_chrom, s.a,
-         CASE WHEN tgt_strand = '-' THEN tgt_size - 1 - (tgt_start + end_pos - 1 - src_start)
-              ELSE tgt_start + end_pos - 1 - src_start END + 1 AS b,
-         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY chain_score DESC, chain_id) AS rn
-  FROM (SELECT * FROM starts WHERE rn = 1) s
-  JOIN usable b ON s.chrom = b.src_chrom AND src_start <= end_pos - 1 AND end_pos - 1 < src_end
-                AND b.tgt_chrom = s.new_chrom),
-moved AS (
-  SELECT chrom, start_pos, end_pos, new_chrom, least(a, b) AS new_start, greatest(a, b) AS new_end FROM ends
-  WHERE rn = 1 AND abs(abs(start_pos - end_pos) - abs(a - b)) <= 100),
-lifted AS (
-  SELECT m.new_chrom AS chrom, m.new_start AS start_pos, m.new_end AS end_pos, {columns}
-  FROM {rows} r JOIN moved m USING (chrom, start_pos, end_pos))"""
-
-
 LINK_OUT = 'chrom, start_pos AS start, end_pos AS "end", gene_id, score, bio_feature'
 
 
@@ -75,9 +48,9 @@ LINK_OUT = 'chrom, start_pos AS start, end_pos AS "end", gene_id, score, bio_fea
     f"""WITH {SYNONYMS}, listed AS (
   SELECT chrom, start_pos, end_pos, concat('CODE_', bio_feature) AS bio_feature,
          unnest([gene_name, other_name]) AS gene_name FROM v_links),
-named AS (SELECT chrom, start_pos, end_pos, gene_id, bio_feature FROM listed JOIN names USING (gene_name)),
+named AS MATERIALIZED (SELECT chrom, start_pos, end_pos, gene_id, bio_feature FROM listed JOIN names USING (gene_name)),
 {lift_sql("named", "gene_id, bio_feature")},
-cis AS (
+cis AS MATERIALIZED (
   SELECT lifted.*, 1.0::DOUBLE AS score,
          abs((start_pos + end_pos) / 2 - (g.gene_start + g.gene_end) / 2) AS distance
   FROM lifted JOIN v_genes g USING (gene_id) WHERE chrom = g.gene_chrom)
@@ -95,7 +68,7 @@ def build_gene_list_links(d: Data) -> DataFrame:
   FROM v_links l JOIN tss t ON l.gene_chrom = t.chrom AND l.gene_start - 1000 < t."end"
        AND t.start < l.gene_start + 2000
   WHERE l.chrom = t.chrom AND abs((l.start_pos + l.end_pos) / 2 - t.start) < 2450000),
-best AS (SELECT chrom, start_pos, end_pos, gene_id, bio_feature, max(score) AS score FROM pairs GROUP BY ALL),
+best AS MATERIALIZED (SELECT chrom, start_pos, end_pos, gene_id, bio_feature, max(score) AS score FROM pairs GROUP BY ALL),
 {lift_sql("best", "gene_id, score, concat('CODE_', bio_feature) AS bio_feature")}
 SELECT {LINK_OUT} FROM lifted""",
 )
@@ -111,7 +84,7 @@ def build_capture_links(d: Data) -> DataFrame:
   SELECT l.chrom, l.start_pos, l.end_pos, g.gene_id, l.score * l.score AS score
   FROM v_links l JOIN v_genes g ON l.gene_name = g.gene_name
   WHERE l.chrom = g.gene_chrom AND abs((l.start_pos + l.end_pos) / 2 - g.tss) < 2 * 534132.8),
-best AS (SELECT chrom, start_pos + 1 AS start_pos, end_pos, gene_id, round(max(score), 6) AS score
+best AS MATERIALIZED (SELECT chrom, start_pos + 1 AS start_pos, end_pos, gene_id, round(max(score), 6) AS score
          FROM near GROUP BY ALL),
 {lift_sql("best", "gene_id, score, 'unspecified' AS bio_feature")}
 SELECT {LINK_OUT} FROM lifted""",
@@ -124,7 +97,7 @@ def build_enhancer_links(d: Data) -> DataFrame:
 
 @query(
     "l5_build_correlation_links",
-    f"""WITH {LAST_SYMBOL}, best AS (
+    f"""WITH {LAST_SYMBOL}, best AS MATERIALIZED (
   SELECT l.chrom, l.start_pos + 1 AS start_pos, l.end_pos, m.gene_id, max(l.score) AS score
   FROM v_links l JOIN last_line m ON l.gene_name = m.gene_symbol GROUP BY ALL),
 {lift_sql("best", "gene_id, score, 'unspecified' AS bio_feature")}
@@ -172,16 +145,20 @@ def nearest_check(d: Data) -> DataFrame:
 def coverage_check(d: Data) -> DataFrame:
     _, summary = P.coverage_check(
         d.genes(),
-        qtl_gene=d.view("v_qtl").where("pval < 1e-4"),
-        link_gene=d.view("v_intervals").where("score > 0.09"),
+        qtl_gene=d.view("v_qtl"),
+        link_gene=d.view("v_intervals"),
     )
     return summary
 
 
-@query("l9_distance_check", f"{DELTAS} SELECT count(*) AS count, min(delta) AS min, max(delta) AS max FROM deltas")
+@query("l9_distance_check", DESCRIBE_SQL)
 def distance_check(d: Data) -> DataFrame:
-    summary, _ = P.distance_check(d.view("v_intervals"), d.genes())
-    return summary.select("count", "min", "max")
+    return rounded_summary(P.distance_check(d.view("v_intervals"), d.genes())[0])
+
+
+@query("l9_distance_histogram", HISTOGRAM_SQL)
+def distance_check_histogram(d: Data) -> DataFrame:
+    return rounded_bins(P.distance_check(d.view("v_intervals"), d.genes())[1])
 
 
 @query("l10_gene_tss", TSS_SQL + " AND biotype = 'protein_coding'")

@@ -124,42 +124,51 @@ def overlap_join_bodies(d: Data) -> DataFrame:
     return _overlaps(d, "gene_start", "gene_end")
 
 
-LIFT_SQL = """WITH spans AS (SELECT DISTINCT chrom, start_pos, end_pos FROM v_intervals),
-usable AS (SELECT chain_id, score, src_chrom, src_start, src_end, replace(tgt_chrom, 'chr', '') AS tgt_chrom,
-                  tgt_size, tgt_strand, tgt_start FROM v_blocks WHERE tgt_chrom <> 'chrUn'),
-starts AS (
+def lift_sql(rows: str, columns: str, maxdiff: int = 100) -> str:
+    """CTEs that lift ``rows`` (chrom, start_pos, end_pos and ``columns``) into ``lifted``."""
+    return f"""spans AS MATERIALIZED (SELECT DISTINCT chrom, start_pos, end_pos FROM {rows}),
+usable AS MATERIALIZED (SELECT chain_id, score AS chain_score, src_chrom, src_start, src_end,
+                  replace(tgt_chrom, 'chr', '') AS tgt_chrom, tgt_size, tgt_strand, tgt_start
+           FROM v_blocks WHERE tgt_chrom <> 'chrUn'),
+starts AS MATERIALIZED (
   SELECT s.*, b.tgt_chrom AS new_chrom,
          CASE WHEN tgt_strand = '-' THEN tgt_size - 1 - (tgt_start + start_pos - 1 - src_start)
               ELSE tgt_start + start_pos - 1 - src_start END + 1 AS a,
-         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY score DESC, chain_id) AS rn
+         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY chain_score DESC, chain_id) AS rn
   FROM spans s JOIN usable b ON s.chrom = b.src_chrom AND src_start <= start_pos - 1 AND start_pos - 1 < src_end),
-ends AS (
+ends AS MATERIALIZED (
   SELECT s.chrom, s.start_pos, s.end_pos, s.new_chrom, s.a,
          CASE WHEN tgt_strand = '-' THEN tgt_size - 1 - (tgt_start + end_pos - 1 - src_start)
               ELSE tgt_start + end_pos - 1 - src_start END + 1 AS b,
-         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY score DESC, chain_id) AS rn
+         row_number() OVER (PARTITION BY s.chrom, start_pos, end_pos ORDER BY chain_score DESC, chain_id) AS rn
   FROM (SELECT * FROM starts WHERE rn = 1) s
   JOIN usable b ON s.chrom = b.src_chrom AND src_start <= end_pos - 1 AND end_pos - 1 < src_end
                 AND b.tgt_chrom = s.new_chrom),
-moved AS (
+moved AS MATERIALIZED (
   SELECT chrom, start_pos, end_pos, new_chrom, least(a, b) AS new_start, greatest(a, b) AS new_end FROM ends
-  WHERE rn = 1 AND abs(abs(start_pos - end_pos) - abs(a - b)) <= {maxdiff})
-SELECT m.new_chrom AS chrom, m.new_start AS start, m.new_end AS "end", i.gene_id, i.score, i.bio_feature
-FROM v_intervals i JOIN moved m USING (chrom, start_pos, end_pos)"""
+  WHERE rn = 1 AND abs(abs(start_pos - end_pos) - abs(a - b)) <= {maxdiff}),
+lifted AS MATERIALIZED (
+  SELECT m.new_chrom AS chrom, m.new_start AS start_pos, m.new_end AS end_pos, {columns}
+  FROM {rows} r JOIN moved m USING (chrom, start_pos, end_pos))"""
 
 
-@query("j7_liftover", LIFT_SQL.format(maxdiff=100))
+LIFTED_OUT = 'SELECT chrom, start_pos AS start, end_pos AS "end", gene_id, score, bio_feature FROM lifted'
+LIFTED = "WITH " + lift_sql("v_intervals", "gene_id, r.score, bio_feature") + LIFTED_OUT
+LIFTED_FAR = "WITH " + lift_sql("v_intervals", "gene_id, r.score, bio_feature", 2000) + LIFTED_OUT
+
+
+@query("j7_liftover", LIFTED)
 def liftover(d: Data) -> DataFrame:
     return O.liftover(d.view("v_intervals"), S.parse_chain(d.view("v_chain_lines")))
 
 
-@query("j7_liftover_large_chain", LIFT_SQL.format(maxdiff=100))
+@query("j7_liftover_large_chain", LIFTED)
 def liftover_large_chain(d: Data) -> DataFrame:
     """The plan for a chain table that is too large to broadcast."""
     return O.liftover(d.view("v_intervals"), S.parse_chain(d.view("v_chain_lines")), small=False)
 
 
-@query("f11_length_drift", LIFT_SQL.format(maxdiff=2000))
+@query("f11_length_drift", LIFTED_FAR)
 def length_drift(d: Data) -> DataFrame:
     return O.liftover(d.view("v_intervals"), S.parse_chain(d.view("v_chain_lines")), maxdiff=2000)
 
@@ -261,16 +270,16 @@ def concordance_summary(d: Data) -> DataFrame:
 
 COVERAGE = """WITH covered AS (
   SELECT biotype, gene_id, gene_name, description,
-         gene_id IN (SELECT gene_id FROM v_qtl WHERE gene_id IS NOT NULL AND pval < 1e-4) AS qtl_gene,
-         gene_id IN (SELECT gene_id FROM v_intervals WHERE score > 0.09) AS link_gene
+         gene_id IN (SELECT gene_id FROM v_qtl WHERE gene_id IS NOT NULL) AS qtl_gene,
+         gene_id IN (SELECT gene_id FROM v_intervals) AS link_gene
   FROM v_genes WHERE biotype = 'protein_coding')"""
 
 
 def _covered(d: Data) -> DataFrame:
     return O.gene_coverage(
         d.genes(),
-        qtl_gene=d.view("v_qtl").where("pval < 1e-4"),
-        link_gene=d.view("v_intervals").where("score > 0.09"),
+        qtl_gene=d.view("v_qtl"),
+        link_gene=d.view("v_intervals"),
     )
 
 

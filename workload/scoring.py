@@ -58,34 +58,37 @@ def assert_no_nulls(d: Data) -> DataFrame:
     return O.assert_no_nulls(d.view("v_qtl").select("chrom", "pos", "pval"), "pval")
 
 
-@query(
-    "a14_describe_distance",
-    f"""{DELTAS} SELECT count(delta) AS count, round(avg(delta), 4) AS mean,
+DESCRIBE_SQL = f"""{DELTAS} SELECT count(delta) AS count, round(avg(delta), 4) AS mean,
  round(stddev_samp(delta), 4) AS std, min(delta) AS min,
  {", ".join(f"round(quantile_cont(delta, {p}), 4) AS p{round(p * 100)}" for p in (0.25, 0.5, 0.68, 0.75, 0.9, 0.95))},
- max(delta) AS max FROM deltas""",
-)
-def describe_distance(d: Data) -> DataFrame:
-    summary = O.describe_distance(O.link_distances(d.view("v_intervals"), d.genes()))
-    rounded = ["mean", "std", "p25", "p50", "p68", "p75", "p90", "p95"]
-    return summary.withColumns({c: F.round(c, 4) for c in rounded})
-
-
-@query(
-    "a15_distance_histogram",
-    f"""{DELTAS}, span AS (SELECT min(delta) AS a, max(delta) AS b FROM deltas),
+ max(delta) AS max FROM deltas"""
+HISTOGRAM_SQL = f"""{DELTAS}, span AS (SELECT min(delta) AS a, max(delta) AS b FROM deltas),
 counts AS (
   SELECT least(CAST(floor(1000 * (delta - a) / (b - a)) AS INTEGER), 999) AS bin, count(*) AS n
   FROM deltas, span GROUP BY 1)
 SELECT g.bin, round(a + g.bin * (b - a) / 1000.0, 4) AS low, round(a + (g.bin + 1) * (b - a) / 1000.0, 4) AS high,
        coalesce(n, 0) AS count
-FROM (SELECT unnest(range(0, 1000)) AS bin) g CROSS JOIN span LEFT JOIN counts ON counts.bin = g.bin""",
-)
-def distance_histogram(d: Data) -> DataFrame:
-    bins = O.distance_histogram(O.link_distances(d.view("v_intervals"), d.genes()))
+FROM (SELECT unnest(range(0, 1000)) AS bin) g CROSS JOIN span LEFT JOIN counts ON counts.bin = g.bin"""
+
+
+def rounded_summary(summary: DataFrame) -> DataFrame:
+    return summary.withColumns({c: F.round(c, 4) for c in summary.columns if c not in ("count", "min", "max")})
+
+
+def rounded_bins(bins: DataFrame) -> DataFrame:
     return bins.withColumns({"low": F.round("low", 4), "high": F.round("high", 4)})
 
 
+@query("a14_describe_distance", DESCRIBE_SQL)
+def describe_distance(d: Data) -> DataFrame:
+    return rounded_summary(O.describe_distance(O.link_distances(d.view("v_intervals"), d.genes())))
+
+
+@query("a15_distance_histogram", HISTOGRAM_SQL)
+def distance_histogram(d: Data) -> DataFrame:
+    return rounded_bins(O.distance_histogram(O.link_distances(d.view("v_intervals"), d.genes())))
+
+
 def _weights(d: Data) -> DataFrame:
     return O.weights_frame(d.spark, CONSEQUENCE_WEIGHTS_V1)
 
@@ -141,12 +144,12 @@ def quantile_scale_100(d: Data) -> DataFrame:
 
 @query(
     "w2_quantile_bins",
-    """WITH u AS (SELECT DISTINCT type_id, study_id, pos, gene_id, pval FROM v_qtl)
+    """WITH u AS (SELECT type_id, study_id, pos, gene_id, pval FROM v_qtl)
 SELECT *, CAST(ntile(10) OVER (PARTITION BY type_id, study_id
   ORDER BY pval, pos, gene_id NULLS FIRST) AS INTEGER) AS bin FROM u""",
 )
 def quantile_bins(d: Data) -> DataFrame:
-    rows = d.view("v_qtl").select("type_id", "study_id", "pos", "gene_id", "pval").distinct()
+    rows = d.view("v_qtl").select("type_id", "study_id", "pos", "gene_id", "pval")
     return O.quantile_bins(rows, 10, ["type_id", "study_id"], ["pval", "pos", "gene_id"])
 
 

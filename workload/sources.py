@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regulink import sources as S
 from regulink.fixed_values import CONSEQUENCE_WEIGHTS_V1
 from regulink.operators import bonferroni, weights_frame
-from regulink.session import scratch_path
+from regulink.session import freeze, scratch_path
 from regulink.sources.writers import range_sorted
 from workload.registry import query
 from workload.views import Data
@@ -236,14 +236,35 @@ def tag_from_path(d: Data) -> DataFrame:
     return S.read_bed(d.spark, f"{path}/cell=*", columns, tag={"cell": "/cell=([^/]+)/"})
 
 
-@query(
-    "o1_range_sort",
-    """SELECT chrom, start_pos AS start, end_pos AS "end", count(*) AS n FROM v_intervals
-GROUP BY chrom, start_pos, end_pos""",
-)
+def _order_report(ordered: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows by chromosome, and how many of them come before the row ahead of them."""
+    placed = ordered.select(
+        F.struct(*keys).alias("key"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    )
+    placed = freeze(placed, "order")
+    before = F.lag("key").over(Window.partitionBy("part").orderBy("at"))
+    parts = placed.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
+    parts = parts.select("part", F.max("high").over(earlier).alias("reached"))
+    behind = F.coalesce(F.coalesce("before", "reached") > F.col("key"), F.lit(False))
+    return (
+        placed.withColumn("before", before)
+        .join(parts, "part")
+        .groupBy("key.chrom")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(behind.cast("long")).alias("out_of_order"))
+    )
+
+
+@query("o1_range_sort", "SELECT chrom, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM v_intervals GROUP BY chrom")
 def range_sort(d: Data) -> DataFrame:
-    ordered = range_sorted(d.view("v_intervals"), ["chrom", "start", "end"])
-    return ordered.groupBy("chrom", "start", "end").agg(F.count(F.lit(1)).alias("n"))
+    keys = ["chrom", "start", "end"]
+    return _order_report(range_sorted(d.view("v_intervals"), keys, 6), keys)
+
+
+@query("o2_position_sort", "SELECT chrom, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM v_qtl GROUP BY chrom")
+def position_sort(d: Data) -> DataFrame:
+    keys = ["chrom", "pos"]
+    return _order_report(range_sorted(d.view("v_qtl"), keys, 6), keys)
 
 
 @query(
