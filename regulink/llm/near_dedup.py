@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,9 +18,11 @@ from regulink.llm.wordhash import classes_of, mix, words_of
 from regulink.session import freeze
 
 BAND_ROWS = 6
-DOCUMENTS_PER_FILE = 10_000  # of tables written on the way
+DOCUMENTS_PER_FILE = 50_000  # of tables written on the way
 MISS = 1e-5  # chance that a pair just at the threshold meets in no band
 SMALL_BUCKET = 32  # members of a bucket that are compared each with each
+BLOCK = 256  # sets that are compared with one at a time
+SIZE_STEPS = 10  # of the logarithm of set sizes
 _BYTES = classes_of(b" \t\n\r\x0b\x0c")
 _ODD = 0x9E3779B97F4A7C15
 
@@ -164,18 +167,29 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
 
     ``representatives`` has ``doc_id, n_shingles, bands``, one row for each different set. In small
     buckets each is compared with each. In large ones all are first compared with the member that
-    holds the fewest shingles of its own; then the members outside the bucket's largest component
-    are compared with all members of other components with which a link is still possible.
+    holds the fewest shingles of its own; then the members outside the largest component of the
+    connected large buckets are compared with those of other components, in blocks.
     Shingles that no other document of the connected large buckets holds can't be in common, so
-    that bound leaves out no link. Tables on the way are written as ``files`` files at most.
+    that bound leaves out no link. Links are written as ``files`` files at most; what
+    leads to them is kept on the executors' disks, and computed again where an executor is lost.
     """
+    held: list[DataFrame] = []
+
+    def hold(table: DataFrame) -> DataFrame:
+        held.append(table.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+
+    def let_go() -> None:
+        for one in held:
+            one.unpersist()
+
     exploded = representatives.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
     )
-    members = freeze(exploded.join(sizes.where("size > 1"), "bucket").coalesce(files), "buckets")
+    members = hold(exploded.join(sizes.where("size > 1"), "bucket"))
     met = members.select("doc_id").distinct()
-    sets = freeze(_sets(df.join(met, "doc_id", "left_semi").coalesce(files), words), "sets")
+    sets = hold(_sets(df.join(met, "doc_id", "left_semi"), words))
 
     small = members.where(F.col("size") <= SMALL_BUCKET)
     pairs = (
@@ -188,12 +202,14 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     large = members.where(F.col("size") > SMALL_BUCKET)
     if large.isEmpty():
-        return freeze(confirm(pairs.distinct(), sets, percent).coalesce(files), "confirmed")
+        links = freeze(confirm(pairs.distinct(), sets, percent).coalesce(files), "confirmed")
+        let_go()
+        return links
 
     groups = components(large.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct())
     groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
-    shared = freeze(_shared_sizes(sets, groups).coalesce(files), "shared")
-    large = freeze(large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared").coalesce(files), "large")
+    shared = hold(_shared_sizes(sets, groups))
+    large = hold(large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared"))
     clean = F.struct((1 - F.col("shared") / F.col("n_shingles")).alias("own"), "doc_id", "n_shingles", "shared")
     pivots = large.groupBy("bucket").agg(F.min(clean).alias("p"))
     pivots = pivots.select("bucket", F.col("p.doc_id").alias("_d"), F.col("p.n_shingles").alias("_n"), F.col("p.shared").alias("_m"))
@@ -205,31 +221,73 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).coalesce(files), "confirmed")
 
-    parts = components(first).select(F.col("node").alias("doc_id"), "component")
-    placed = large.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = freeze(placed.coalesce(files), "placed")
-    by_part = placed.groupBy("bucket", "component").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("n_shingles").alias("_least")
+    placed = hold(_placed(components(first), groups, shared, representatives))
+    second = _outside_links(placed, sets, percent)
+    second = freeze(second.coalesce(files), "confirmed")
+    let_go()
+    return first.union(second)
+
+
+def _placed(parts: DataFrame, groups: DataFrame, shared: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Members of groups with their component so far and a step number of their size."""
+    return (
+        groups.join(shared, "doc_id")
+        .join(representatives.select("doc_id", "n_shingles"), "doc_id")
+        .join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+        .withColumn("step", F.floor(F.ln("n_shingles") * SIZE_STEPS).cast("int"))
     )
-    mains = by_part.groupBy("bucket").agg(
+
+
+def _outside_links(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of group members outside their group's largest component to members of other components.
+
+    Members are laid in blocks of about ``BLOCK`` sets of like size. A member outside that can still
+    link is sent to the blocks of possible sizes and compared there, with those of the block with
+    which a link is possible; only links come out.
+    """
+    mains = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("_rows"), F.min("n_shingles").alias("_least"))
+    mains = mains.groupBy("group").agg(
         F.max(F.struct("_rows", "component")).alias("_main"), F.min("_least").alias("_least"), F.count(F.lit(1)).alias("_parts")
     )
-    mains = mains.where("_parts > 1").select("bucket", F.col("_main.component").alias("_main"), "_least")
+    mains = mains.where("_parts > 1").select("group", F.col("_main.component").alias("_main"), "_least")
     outside = (
-        placed.join(mains, "bucket")
+        placed.join(mains, "group")
         .where("component <> _main")
         .where((100 + percent) * F.col("shared") >= percent * (F.col("n_shingles") + F.col("_least")))
-        .select("bucket", F.col("doc_id").alias("_d"), F.col("n_shingles").alias("_n"), F.col("shared").alias("_m"), F.col("component").alias("_c"))
+        .select(
+            "group", F.col("doc_id").alias("_d"), F.col("n_shingles").alias("_n"),
+            F.col("shared").alias("_m"), F.col("component").alias("_c"), F.col("step").alias("_s"),
+        )
+    )
+    sizes = placed.join(mains.select("group"), "group").groupBy("group", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
+    block = F.pmod(F.xxhash64("doc_id"), "_blocks").alias("block")
+    member = F.struct("doc_id", "component", "n_shingles", "shared", "shingles")
+    blocks = (
+        placed.join(sizes, ["group", "step"])
+        .select("group", "step", block, "doc_id", "component", "n_shingles", "shared")
+        .join(sets, "doc_id")
+        .groupBy("group", "step", "block")
+        .agg(F.collect_list(member).alias("members"))
     )
-    rest = (
-        placed.join(outside, "bucket")
-        .where("component <> _c")
-        .where(_may_link(percent, "n_shingles", "shared", "_n", "_m"))
-        .select(F.least("doc_id", "_d").alias("a"), F.greatest("doc_id", "_d").alias("b"))
-        .distinct()
+    far = math.ceil(SIZE_STEPS * math.log(100 / percent)) + 1
+    sent = (
+        outside.join(sizes, "group")
+        .where(F.abs(F.col("step") - F.col("_s")) <= far)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("block"))
+        .join(sets.select(F.col("doc_id").alias("_d"), F.col("shingles").alias("_shingles")), "_d")
     )
-    second = freeze(confirm(rest, sets, percent).coalesce(files), "confirmed")
-    return first.union(second)
+    need = lambda c: percent * (c["n_shingles"] + F.col("_n"))
+    linked = F.filter(
+        "members",
+        lambda c: (c["component"] != F.col("_c"))
+        & ((100 + percent) * F.least(c["shared"], F.col("_m")) >= need(c))
+        & ((100 + percent) * F.size(F.array_intersect(c["shingles"], F.col("_shingles"))) >= need(c)),
+    )
+    met = sent.join(blocks, ["group", "step", "block"]).select("_d", linked.alias("_linked"))
+    links = met.select("_d", F.explode(F.transform("_linked", lambda c: c["doc_id"])).alias("_e"))
+    ends = links.select(F.least("_d", "_e").alias("a"), F.greatest("_d", "_e").alias("b")).distinct()
+    return ends
 
 
 def near_duplicates(
