@@ -30,18 +30,20 @@ def _marked(text: Column) -> Column:
     A name is a capitalised word that a letter, comma or semicolon and a space precede, so words
     that begin a sentence are none.
     """
-    named = F.regexp_replace(F.translate(text, _MARK, ""), r"(?<=[\p{L},;] )(?=\p{Lu}\p{Ll})", _MARK)
-    whole = F.regexp_replace(F.lower(named), r"(?<=[0-9])[.,](?=[0-9])", "p")
-    return F.regexp_replace(whole, r"(?<=[0-9])(?=[\p{L}&&[^p]])|(?<=[0-9])(?=p(?![0-9]))", " ")
+    clean = F.when(F.contains(text, F.lit(_MARK)), F.translate(text, _MARK, "")).otherwise(text)
+    named = F.lower(F.regexp_replace(clean, r" (?<=[\p{L},;] )(?=\p{Lu}\p{Ll})", " " + _MARK))
+    whole = F.regexp_replace(named, r"([0-9])[.,](?=[0-9])", "$1p")
+    apart = F.regexp_replace(whole, r"([0-9])(?=[\p{L}&&[^p]]|p(?![0-9]))", "$1 ")
+    return F.when(named.rlike("[0-9]"), apart).otherwise(named)
 
 
-def tokens(text: Column) -> Column:
-    """Tokens of a text: runs of letters and digits, names with their mark."""
-    return F.filter(F.split(_marked(text), "[^\\p{L}\\p{N}" + _MARK + "]+"), lambda t: t != "")
+def _split(marked: str) -> Column:
+    """Tokens of a marked text: runs of letters and digits, names with their mark."""
+    return F.array_remove(F.split(marked, "[^\\p{L}\\p{N}" + _MARK + "]+"), "")
 
 
 def _is_number(token: Column) -> Column:
-    return F.substring(token, 1, 1).between("0", "9")
+    return token.between("0", "9z")  # tokens start with a letter, a digit or the mark
 
 
 def canonical(raw: str) -> Column:
@@ -49,27 +51,39 @@ def canonical(raw: str) -> Column:
     before = lambda i: F.get(F.col(raw), i - 1)
     return F.transform(
         F.col(raw),
-        lambda t, i: F.when(F.substring(t, 1, 1) == _MARK, _NAME)
+        lambda t, i: F.when(t.startswith(_MARK), _NAME)
         .when(_is_number(t), _NUMBER)
-        .when(_is_number(before(i)) & t.isin(UNITS), _UNIT)
+        .when(t.isin(UNITS) & _is_number(before(i)), _UNIT)
         .otherwise(t),
     )
 
 
+def _shaped(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """``key`` with the tokens as written and as template."""
+    marked = df.select(key, _marked(F.col(text_col)).alias("_marked"))
+    split = marked.select(
+        key, F.col("_marked").rlike(f"[0-9{_MARK}]").alias("_slots"), _split("_marked").alias("_raw")
+    )
+    shape = F.when(F.col("_slots"), canonical("_raw")).otherwise(F.col("_raw"))
+    return split.select(key, "_raw", shape.alias("_shape"))
+
+
 def windows(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """``key, pos, hash, first, last``: every window, its first and last token as written."""
-    split = df.select(key, tokens(F.col(text_col)).alias("_raw")).where(F.size("_raw") >= WINDOW)
-    shaped = split.select(key, "_raw", canonical("_raw").alias("_shape"))
-    each = F.transform(
-        F.sequence(F.lit(0), F.size("_raw") - WINDOW),
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.xxhash64(F.slice("_shape", i + 1, WINDOW)).alias("hash"),
-            F.get("_raw", i).alias("first"),
-            F.get("_raw", i + WINDOW - 1).alias("last"),
-        ),
+    """``key, pos, _0 .. , hash, first, last``: every window's template, its hash, and its first and
+    last token as written.
+
+    The template is laid beside itself, each time one token further on, so that a row has a window.
+    """
+    shaped = _shaped(df, key, text_col)
+    beyond = lambda name, k: F.slice(name, k + 1, 1 << 30)
+    beside = F.arrays_zip(
+        F.sequence(F.lit(0), F.size("_raw") - 1).alias("pos"),
+        *[beyond("_shape", k).alias(f"_{k}") for k in range(WINDOW)],
+        F.col("_raw").alias("first"),
+        beyond("_raw", WINDOW - 1).alias("last"),
     )
-    return shaped.select(key, F.inline(each))
+    rows = shaped.select(key, F.inline(beside)).where("last is not null")  # whole windows only
+    return rows.withColumn("hash", F.xxhash64(*[f"_{k}" for k in range(WINDOW)]))
 
 
 def template_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -80,24 +94,19 @@ def template_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     """
     given = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     given = given.where("item_id is not null and text is not null").distinct()
-    split = given.select("item_id", "text", tokens(F.col("text")).alias("_raw"))
-    shaped = split.select("item_id", "_raw", canonical("_raw").alias("_shape")).where(F.size("_raw") >= WINDOW)
-    each = F.transform(
-        F.sequence(F.lit(0), F.size("_raw") - WINDOW),
-        lambda i: F.struct(
-            i.alias("item_pos"),
-            F.slice("_shape", i + 1, WINDOW).alias("shape"),
-            F.get("_raw", i).alias("item_first"),
-            F.get("_raw", i + WINDOW - 1).alias("item_last"),
-        ),
-    )
-    found = shaped.select("item_id", F.inline(each))
-    literal = F.size(F.filter("shape", lambda t: ~t.startswith("#")))
-    found = found.where(literal >= LITERALS).select(
-        "item_id", "item_pos", F.xxhash64("shape").alias("hash"), "item_first", "item_last",
-        F.element_at("shape", 1).startswith("#").alias("slot_first"),
-        F.element_at("shape", WINDOW).startswith("#").alias("slot_last"),
-    ).distinct()
+    slot = lambda k: F.col(f"_{k}").startswith("#")
+    literal = F.lit(0)
+    for k in range(WINDOW):
+        literal = literal + (~slot(k)).cast("int")
+    found = (
+        windows(given, "item_id", "text")
+        .where(literal >= LITERALS)
+        .select(
+            "item_id", F.col("pos").alias("item_pos"), "hash", F.col("first").alias("item_first"),
+            F.col("last").alias("item_last"), slot(0).alias("slot_first"), slot(WINDOW - 1).alias("slot_last"),
+        )
+        .distinct()
+    )
     sizes = found.groupBy("item_id").agg(F.countDistinct("item_pos").alias("n_windows"))
     return found.join(sizes, "item_id")
 
@@ -123,7 +132,8 @@ def contaminated(
     if template.count() <= BROADCAST_MAX_WINDOWS:
         template = F.broadcast(template)
     given = texts(docs, id_col, text_col).where("doc_id is not null")
-    hits = windows(given, "doc_id", "text").join(template, "hash")
+    rows = windows(given, "doc_id", "text").select("doc_id", "pos", "hash", "first", "last")
+    hits = rows.join(template, "hash")
     hits = hits.withColumn("line", F.col("pos") - F.col("item_pos"))
     pair = lambda known, seen, slot: F.when(F.col(slot), F.struct(F.col(known).alias("known"), F.col(seen).alias("seen")))
     lines = hits.groupBy("doc_id", "item_id", "line").agg(
