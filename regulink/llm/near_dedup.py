@@ -202,7 +202,7 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     large = members.where(F.col("size") > SMALL_BUCKET)
     if large.isEmpty():
-        links = freeze(confirm(pairs.distinct(), sets, percent).coalesce(files), "confirmed")
+        links = freeze(confirm(pairs.distinct(), sets, percent).repartition(files), "confirmed")
         let_go()
         return links
 
@@ -219,11 +219,11 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
         .where(_may_link(percent, "n_shingles", "shared", "_n", "_m"))
         .select(F.least("doc_id", "_d").alias("a"), F.greatest("doc_id", "_d").alias("b"))
     )
-    first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).coalesce(files), "confirmed")
+    first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).repartition(files), "confirmed")
 
     placed = hold(_placed(components(first), groups, shared, representatives))
     second = _outside_links(placed, sets, percent)
-    second = freeze(second.coalesce(files), "confirmed")
+    second = freeze(second.repartition(files), "confirmed")
     let_go()
     return first.union(second)
 
@@ -306,7 +306,7 @@ def near_duplicates(
     files = 1 + signed.count() // DOCUMENTS_PER_FILE
     with_set = signed.where("set_key is not null and doc_id is not null")
     classes = with_set.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    classes = freeze(classes.coalesce(files), "classes")
+    classes = freeze(classes.repartition(files), "classes")
     representatives = with_set.join(classes, ["set_key", "doc_id"]).dropDuplicates(["doc_id", "set_key"])
     links = near_links(given, representatives.select("doc_id", "n_shingles", "bands"), words, percent, files)
     found = components(links).select(F.col("node").alias("doc_id"), "component")
