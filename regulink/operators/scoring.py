@@ -125,23 +125,43 @@ def quantile_scale(
 ) -> DataFrame:
     """Add each value's position on the ``n``-point quantile grid of its group.
 
-    Rows with a missing value or group key take no part and are left out.
+    Rows with a missing value or group key take no part and are left out. A row meets one row, that
+    of its group with the grid as an array. ``df`` is read twice, for the grids and for the rows,
+    which costs less than writing it.
     """
     data = df.where(F.col(value).isNotNull() & ~F.isnan(value))
     for key in by:
         data = data.where(F.col(key).isNotNull())
     grids = exact_quantiles(data, value, [Fraction(i, n - 1) for i in range(n)], by)
-    pieces = freeze(_grid_pieces(grids, by, n), "grid")
-    x, start, end = F.col(value), F.col("_from"), F.col("_to")
-    between = (F.col("_last") + (x - start) / (end - start)) / F.lit(n - 1)
+    piece = F.struct("_from", "_to", "_at", "_last")
+    per_group = _grid_pieces(grids, by, n).groupBy(*by).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
+    x, found = F.col(value), F.get("_pieces", F.col("_piece"))
+    start, end = found["_from"], found["_to"]
+    between = (found["_last"] + (x - start) / (end - start)) / F.lit(n - 1)
     return (
-        lookup_join(data, pieces, by, "inner")
-        .where((start <= x) & (end.isNull() | (x < end)))
-        .withColumn(output, F.when(x == start, F.col("_at")).otherwise(between))
-        .drop("_from", "_to", "_at", "_last")
+        lookup_join(data, freeze(per_group, "grid"), by, "inner")
+        .withColumn("_piece", _last_at_or_below("_pieces", "_from", x, n))
+        .withColumn(output, F.when(x == start, found["_at"]).otherwise(between))
+        .drop("_pieces", "_piece")
     )
 
 
+def _last_at_or_below(entries: str, field: str, x: Column, most: int) -> Column:
+    """Index of the last of at most ``most`` sorted entries whose field is not above ``x``, or -1.
+
+    It is found by halving, so a row looks at few entries however many there are.
+    """
+    steps = [1 << k for k in reversed(range(most.bit_length()))]
+    below = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, s: F.when(
+            (at + s <= F.size(entries)) & (F.get(entries, at + s - 1)[field] <= x), at + s
+        ).otherwise(at),
+    )
+    return below - 1
+
+
 def quantile_bins(
     df: DataFrame,
     bins: int = 10,

@@ -253,6 +253,24 @@ def test_nested_answer(spark):
     }
 
 
+def test_scaling_meets_one_row_for_each(spark):
+    df = spark.range(1000).selectExpr("'s' AS source_id", "'f' AS feature", "sqrt(id % 97) AS score")
+    scaled = O.quantile_scale(df, 100)
+    assert scaled.count() == 1000
+    plan = scaled._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("<" in line for line in joins)
+
+
+def test_repeated_terms(spark):
+    df = evidence(spark, [item("v", "g", "vep", "vep", "t")])
+    same = spark.createDataFrame([("t", 0.5), ("t", 0.5)], "term string, weight double")
+    assert O.evidence_score(df, same).first()["score"] == 0.5
+    other = spark.createDataFrame([("t", 0.5), ("t", 0.7)], "term string, weight double")
+    with pytest.raises(Exception, match="several weights for term: t"):
+        O.evidence_score(df, other).collect()
+
+
 def test_large_groups_keep_one_shape(spark):
     data = [item("hot", f"g{i % 5}", "eqtl", "gtex_v7", "T", pval=0.1) for i in range(300)]
     data += [item("v", "g", "eqtl", "gtex_v7", "T", pval=0.2)]
