@@ -219,13 +219,13 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
         .where(_may_link(percent, "n_shingles", "shared", "_n", "_m"))
         .select(F.least("doc_id", "_d").alias("a"), F.greatest("doc_id", "_d").alias("b"))
     )
-    first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).repartition(files), "confirmed")
+    first = hold(confirm(pairs.union(stars).distinct(), sets, percent))
 
     placed = hold(_placed(components(first), groups, shared, representatives))
     second = _outside_links(placed, sets, percent)
-    second = freeze(second.repartition(files), "confirmed")
+    links = freeze(first.union(second).repartition(files), "confirmed")
     let_go()
-    return first.union(second)
+    return links
 
 
 def _placed(parts: DataFrame, groups: DataFrame, shared: DataFrame, representatives: DataFrame) -> DataFrame:
