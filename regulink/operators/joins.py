@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType
 
@@ -61,31 +61,39 @@ def skew_join(
 ) -> DataFrame:
     """Shuffle join of two large tables in which few keys may hold most rows of ``df``.
 
-    Keys are counted first, with partial counts before the shuffle. Fewer than ``hot_keys`` keys
-    can each hold more than one row in ``hot_keys``, so the list of those is small enough to
-    broadcast whatever the data. Their rows are spread over ``salts`` tasks, and only their rows
-    of ``other`` are repeated once per salt; every other key is joined as usual.
+    Keys are counted first, in one pass with partial counts before the shuffle. Fewer than
+    ``hot_keys`` keys can each hold more than one row in ``hot_keys``, so the list of those is small
+    enough to broadcast whatever the data. The more rows such a key has, the more salts it gets, at
+    least ``salts`` and so many that a salt has no more than that share of all rows; only its rows of
+    ``other`` are repeated once per salt. Every other key is joined as usual.
     """
     on = list(on)
+    total = Observation()
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    share = counts.agg((F.sum("_rows") / F.lit(hot_keys)).alias("share")).scalar()
-    hot = counts.where(F.col("_rows") > share).select(*on, F.lit(True).alias("_hot"))
-    hot = F.broadcast(freeze(hot, "hot-keys"))  # both sides must split the same keys
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    counts = counts.observe(total, F.sum("_rows").alias("rows"))
+    counted = freeze(counts.where("_rows > 1"), "key-counts")
+    share = (total.get["rows"] or 0) / hot_keys
+    number = F.greatest(F.lit(salts), F.ceil(F.col("_rows") / F.lit(share or 1.0))).cast("int")
+    # both sides must split the same keys into the same salts
+    hot = F.broadcast(counted.where(F.col("_rows") > share).select(*on, number.alias("_salts")))
+    every_salt = F.sequence(F.lit(0), F.col("_salts") - 1)
     # rows without a key match nothing, and are spread as well
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
+    row = salt_of(df.columns, 1 << 30)
     left = (
         df.join(hot, on, "left")
         .withColumn(
             "_salt",
-            F.when(F.col("_hot") | no_key, salt_of(df.columns, salts)).otherwise(F.lit(0)),
+            F.when(F.col("_salts").isNotNull(), F.pmod(row, "_salts"))
+            .when(no_key, F.pmod(row, F.lit(SALTS)))
+            .otherwise(F.lit(0)),
         )
-        .drop("_hot")
+        .drop("_salts")
     )
     right = (
         other.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.when(F.col("_salts").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))))
+        .drop("_salts")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

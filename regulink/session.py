@@ -27,13 +27,13 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The application's folder inside the cluster's shared checkpoint folder.
 
-    Only a local master may fall back to a temporary folder of the machine.
+    Only a master of one process may fall back to a temporary folder of the machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="regulink-")
         context.setCheckpointDir(configured)
