@@ -11,9 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, StringType
 
-from regulink.session import freeze
+from regulink.session import freeze, row_bytes, sizes_of
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
@@ -21,25 +20,14 @@ HOT_KEYS = 10_000
 SALTS = 64
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Rough in-memory size of a row."""
-    total = F.lit(0)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            size = F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
-        elif isinstance(field.dataType, ArrayType):
-            fields = getattr(field.dataType.elementType, "fields", [None])
-            size = F.greatest(F.size(field.name), F.lit(0)) * F.lit(24 * len(fields)) + F.lit(16)
-        else:
-            size = F.lit(8)
-        total = total + size
-    return total
-
-
 def fits_broadcast(df: DataFrame) -> bool:
-    """Measure a table: one distributed pass that returns one row."""
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
-    return measured["rows"] <= BROADCAST_MAX_ROWS and (measured["bytes"] or 0) <= BROADCAST_MAX_BYTES
+    """Whether a table may be broadcast, by its measured size.
+
+    A table that was measured when it was frozen is not read; others are, in one distributed pass
+    that returns one row.
+    """
+    rows, size = sizes_of(df) or df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return rows <= BROADCAST_MAX_ROWS and (size or 0) <= BROADCAST_MAX_BYTES
 
 
 def salt_of(columns: Sequence[str], salts: int) -> Column:
@@ -140,8 +128,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large table with a lookup table.
 
-    ``small`` is the outcome of an earlier :func:`fits_broadcast`; measured here when not given.
+    ``small`` is the outcome of an earlier :func:`fits_broadcast`. When it is not given and the lookup
+    was not measured, it is written once and measured on the way, so it is not computed twice.
     """
+    if small is None and sizes_of(lookup) is None:
+        lookup = freeze(lookup, "lookup", measured=True)
     if fits_broadcast(lookup) if small is None else small:
         return df.join(F.broadcast(lookup), list(on), how)
     return skew_join(df, lookup, on, how)

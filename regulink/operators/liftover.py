@@ -95,7 +95,7 @@ def liftover(
     segments may be broadcast; they are measured when it is not given.
     """
     columns = df.columns
-    segments = freeze(lift_segments(usable_blocks(blocks, allowed)), "segments")
+    segments = freeze(lift_segments(usable_blocks(blocks, allowed)), "segments", measured=True)
     small = fits_broadcast(segments) if small is None else small
 
     def place(rows: DataFrame, end: str, targets: DataFrame, keys: list[str], output: str) -> DataFrame:

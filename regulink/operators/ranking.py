@@ -51,7 +51,7 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataF
     cells = placed.groupBy(*by, "_cell").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
     )
-    offsets = freeze(_offsets(cells, by, "_size"), "offsets")
+    offsets = freeze(_offsets(cells, by, "_size"), "offsets", measured=True)
     return lookup_join(placed, offsets, [*by, "_cell"], "inner").select(
         *columns,
         (F.col("_before") + F.col("_row") - F.col("_first")).alias("_rank"),
@@ -101,6 +101,7 @@ def exact_quantiles(
         .where(F.size("_wanted") > 0)
         .select(*keys, "_cell", "_before", "_total", "_wanted"),
         "offsets",
+        measured=True,
     )
     # only cells with a wanted rank are sorted, and cells are of even size
     so_far = (

@@ -139,7 +139,7 @@ def quantile_scale(
     start, end = found["_from"], found["_to"]
     between = (found["_last"] + (x - start) / (end - start)) / F.lit(n - 1)
     return (
-        lookup_join(data, freeze(per_group, "grid"), by, "inner")
+        lookup_join(data, freeze(per_group, "grid", measured=True), by, "inner")
         .withColumn("_piece", _last_at_or_below("_pieces", "_from", x, n))
         .withColumn(output, F.when(x == start, found["_at"]).otherwise(between))
         .drop("_pieces", "_piece")

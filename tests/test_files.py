@@ -224,3 +224,16 @@ def test_label_tables_from_tsv(spark, tmp_path):
 def test_arrays_are_written_as_json(spark, tmp_path):
     P.write_scores({"t": spark.sql("SELECT 1 AS a, array(1, 2) AS b")}, str(tmp_path))
     assert rows(spark.read.csv(str(tmp_path / "t"), sep="\t", header=True)) == [("1", "[1,2]")]
+
+
+def test_scratch_tables_are_deleted_when_done(spark):
+    from regulink.session import freeze, scratch
+
+    kept = freeze(spark.range(3))
+    with scratch(spark):
+        table = freeze(spark.range(5))
+        files = table.inputFiles()
+        assert table.count() == 5
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(files[0]).count()
