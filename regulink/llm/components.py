@@ -18,26 +18,18 @@ def components(links: DataFrame) -> DataFrame:
     so chains shorten by half and the steps are few. Labels are written after every second step. It
     ends when the second of two changes nothing.
     """
-    held: list[DataFrame] = []
-
-    def hold(table: DataFrame) -> DataFrame:
-        held.append(table.persist(StorageLevel.DISK_ONLY))
-        return held[-1]
-
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = freeze(both.where("a <> b").distinct(), "links")
     files = 1 + both.count() // ROWS_PER_FILE
     least = F.least(F.first("a"), F.min("b")).alias("component")
-    labels = hold(both.groupBy(F.col("a").alias("node")).agg(least))
+    labels = both.groupBy(F.col("a").alias("node")).agg(least)
     while True:
-        once = hold(_step(both, labels).select("node", "component"))
+        once = _step(both, labels).select("node", "component").persist(StorageLevel.DISK_ONLY)
         after = freeze(_step(both, once).repartition(files), "labels")
+        once.unpersist()
         labels = after.select("node", "component")
         if after.where("component <> _old").isEmpty():
-            break
-    for one in held:
-        one.unpersist()
-    return labels
+            return labels
 
 
 def _step(both: DataFrame, labels: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -170,26 +169,16 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     holds the fewest shingles of its own; then the members outside the largest component of the
     connected large buckets are compared with those of other components, in blocks.
     Shingles that no other document of the connected large buckets holds can't be in common, so
-    that bound leaves out no link. Links are written as ``files`` files at most; what
-    leads to them is kept on the executors' disks, and computed again where an executor is lost.
+    that bound leaves out no link. Tables on the way are written as ``files`` files at
+    most.
     """
-    held: list[DataFrame] = []
-
-    def hold(table: DataFrame) -> DataFrame:
-        held.append(table.persist(StorageLevel.DISK_ONLY))
-        return held[-1]
-
-    def let_go() -> None:
-        for one in held:
-            one.unpersist()
-
     exploded = representatives.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
     )
-    members = hold(exploded.join(sizes.where("size > 1"), "bucket"))
+    members = freeze(exploded.join(sizes.where("size > 1"), "bucket").coalesce(files), "buckets")
     met = members.select("doc_id").distinct()
-    sets = hold(_sets(df.join(met, "doc_id", "left_semi"), words))
+    sets = freeze(_sets(df.join(met, "doc_id", "left_semi").coalesce(files), words), "sets")
 
     small = members.where(F.col("size") <= SMALL_BUCKET)
     pairs = (
@@ -202,14 +191,12 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     large = members.where(F.col("size") > SMALL_BUCKET)
     if large.isEmpty():
-        links = freeze(confirm(pairs.distinct(), sets, percent).repartition(files), "confirmed")
-        let_go()
-        return links
+        return freeze(confirm(pairs.distinct(), sets, percent).repartition(files), "confirmed")
 
     groups = components(large.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct())
     groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
-    shared = hold(_shared_sizes(sets, groups))
-    large = hold(large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared"))
+    shared = freeze(_shared_sizes(sets, groups).repartition(files), "shared")
+    large = large.join(shared, "doc_id").select("bucket", "doc_id", "n_shingles", "shared")
     clean = F.struct((1 - F.col("shared") / F.col("n_shingles")).alias("own"), "doc_id", "n_shingles", "shared")
     pivots = large.groupBy("bucket").agg(F.min(clean).alias("p"))
     pivots = pivots.select("bucket", F.col("p.doc_id").alias("_d"), F.col("p.n_shingles").alias("_n"), F.col("p.shared").alias("_m"))
@@ -221,11 +208,9 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
     )
     first = freeze(confirm(pairs.union(stars).distinct(), sets, percent).repartition(files), "confirmed")
 
-    placed = hold(_placed(components(first), groups, shared, representatives))
+    placed = freeze(_placed(components(first), groups, shared, representatives).repartition(files), "placed")
     second = _outside_links(placed, sets, percent)
-    second = freeze(second.repartition(files), "confirmed")
-    let_go()
-    return first.union(second)
+    return first.union(freeze(second.repartition(files), "confirmed"))
 
 
 def _placed(parts: DataFrame, groups: DataFrame, shared: DataFrame, representatives: DataFrame) -> DataFrame:
