@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from regulink.session import freeze
 
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 BROADCAST_IDS = 500_000
 
 

@@ -70,7 +70,7 @@ class LanguageModel:
     likelihood: np.ndarray  # [bucket, language]
 
     def chunk_chars(self) -> int:
-        return max(20_000, 8_000_000 // max(4, len(self.names)))
+        return max(20_000, 2_000_000 // max(4, len(self.names)))
 
 
 def fit_languages(

@@ -58,7 +58,7 @@ def count_tokens(df: DataFrame) -> DataFrame:
     """``token, n``: occurrences of every token (by its hash) in all texts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, values, _ in text_chunks(batches, 8_000_000):
+        for _, values, _ in text_chunks(batches, 2_000_000):
             found, n = np.unique(token_hashes(values)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int64)), pa.array(n)], ["token", "n"]

@@ -26,7 +26,7 @@ END_ID = 0
 PARTNERS = 32  # partners tried for each length when patterns of three are enumerated
 ROUNDS = 300  # steps of the non-negative fit
 BUCKET_ROWS, MAX_BUCKETS = 500, 200_000
-KNOWN_MAX = 500_000  # pre-tokens whose ids a worker remembers
+KNOWN_MAX = 200_000  # pre-tokens whose ids a worker remembers
 
 # ASCII, and Latin letters with marks.
 _SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
@@ -113,7 +113,7 @@ def token_pieces(
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
             _loaded[path] = PreTokenIds(path)
-        for ids, values, _ in text_chunks(batches, 1_000_000):
+        for ids, values, _ in text_chunks(batches):
             rows = []
             for doc_id, raw in zip(ids.to_pylist(), _loaded[path].encode(values), strict=True):
                 raw += end

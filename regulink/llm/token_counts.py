@@ -15,7 +15,7 @@ from regulink.llm.common import table, text_chunks, texts
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
-KNOWN_MAX = 500_000  # pre-tokens a worker remembers; beyond that it forgets all and starts anew
+KNOWN_MAX = 200_000  # pre-tokens a worker remembers; beyond that it forgets all and starts anew
 
 # A run of spaces with what follows, or a line break with what follows: no piece of the
 # vocabulary goes on across the start of such a pre-token, so pieces can be counted apart.
