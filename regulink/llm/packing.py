@@ -26,7 +26,7 @@ END_ID = 0
 PARTNERS = 32  # partners tried for each length when patterns of three are enumerated
 ROUNDS = 300  # steps of the non-negative fit
 BUCKET_ROWS, MAX_BUCKETS = 500, 200_000
-KNOWN_MAX = 200_000  # pre-tokens whose ids a worker remembers
+KNOWN_MAX = 350_000  # pre-tokens whose ids a worker remembers
 
 # ASCII, and Latin letters with marks.
 _SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
