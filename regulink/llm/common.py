@@ -61,12 +61,18 @@ def text_chunks(
             yield part.column("doc_id"), part.column("text").to_pylist(), part
 
 
+def _written_ids(ids: DataFrame, most: int) -> DataFrame:
+    """``ids`` (one column ``doc_id``) written and counted once; up to ``most`` are broadcast, more
+    meet other rows by a shuffle."""
+    found = freeze(ids.select(F.col("doc_id").alias("_id")), "ids")
+    return F.broadcast(found) if found.count() <= most else found
+
+
 def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
-    """The rows, with all their columns, whose id is not in ``ids`` (one column ``doc_id``).
+    """The rows, with all their columns, whose id is not in ``ids``."""
+    return df.join(_written_ids(ids, most), F.col(id_col).cast("long") == F.col("_id"), "left_anti")
 
-    The ids are written and counted once; up to ``most`` are broadcast, more meet by a shuffle.
-    """
-    gone = freeze(ids.select(F.col("doc_id").alias("_gone")), "ids")
-    if gone.count() <= most:
-        gone = F.broadcast(gone)
-    return df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+
+def with_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
+    """The rows, with all their columns, whose id is in ``ids``."""
+    return df.join(_written_ids(ids, most), F.col(id_col).cast("long") == F.col("_id"), "left_semi")

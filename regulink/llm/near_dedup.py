@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from regulink.llm.common import table, text_chunks, texts, without_ids
+from regulink.llm.common import table, text_chunks, texts, with_ids, without_ids
 from regulink.llm.components import components
 from regulink.llm.wordhash import classes_of, mix, words_of
 from regulink.session import freeze
@@ -177,8 +177,8 @@ def near_links(df: DataFrame, representatives: DataFrame, words: int, percent: i
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
     )
     members = freeze(exploded.join(sizes.where("size > 1"), "bucket").coalesce(files), "buckets")
-    met = members.select("doc_id").distinct()
-    sets = freeze(_sets(df.join(met, "doc_id", "left_semi").coalesce(files), words), "sets")
+    met = with_ids(df, members.select("doc_id").distinct())
+    sets = freeze(_sets(met, words), "sets")
 
     small = members.where(F.col("size") <= SMALL_BUCKET)
     pairs = (
