@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from regulink.llm.common import table, text_chunks, texts
 from regulink.llm.wordhash import classes_of, words_of
 from regulink.session import freeze
 
-VOCABULARY = 2048  # most frequent tokens with an id of their own
+VOCABULARY = 2048  # most frequent tokens with an id of their own, at least
+GROWTH = 16  # ids of their own for so many times the root of the number of different tokens
 ALONE = 32  # most frequent tokens with a class of their own
 SHARED = 32  # classes of all others, by a hash
 WINDOW = 2  # tokens on either side
@@ -23,22 +26,32 @@ ROUNDS = 1  # passes over all texts
 BATCH, RATE = 4096, 0.15
 
 CLASSES = ALONE + SHARED
-PAD = VOCABULARY + SHARED
+PAD = VOCABULARY + SHARED  # ids of further tokens follow
+START_SPEED = np.float32(1e-2)
 _BYTES = classes_of(b" \t\n\r\x0b\x0c", marks=True)
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Ids by token hash (sorted), and each id's class and log share of it.
+    """Ids by token hash (sorted), each id's class and log share of it, and its way through a tree.
 
-    Tokens beyond the vocabulary have the id of their class; the part of a class that they hold is
-    split evenly over the tokens of that kind which the corpus has.
+    Each shared class is a binary tree over its tokens with an id and one leaf, with the class's id,
+    for all others. ``first, node, turn`` hold the nodes from the root to each id, ``start`` the log
+    odds of each node in the corpus. ``rest`` has the occurrences of a class's other tokens, and one
+    for those the corpus lacks. ``counts`` (``token, n``, a distributed table, on the driver only)
+    has the other tokens that occur more than once.
     """
 
     hashes: np.ndarray
     ids: np.ndarray
     class_of: np.ndarray
     log_share: np.ndarray
+    first: np.ndarray
+    node: np.ndarray
+    turn: np.ndarray
+    start: np.ndarray
+    rest: np.ndarray
+    counts: DataFrame | None = None
 
     def encode(self, hashes: np.ndarray) -> np.ndarray:
         hashes = hashes.view(np.int64)
@@ -48,6 +61,17 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.ids[at], rest)
 
+    def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of ``ids``, node and turn of each step on the ways to them."""
+        n = self.first[ids + 1] - self.first[ids]
+        rows = np.repeat(np.arange(len(ids)), n)
+        at = np.arange(len(rows)) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
+        return rows, self.node[at], self.turn[at]
+
+    def sent(self) -> Vocabulary:
+        """What tasks need."""
+        return replace(self, counts=None)
+
 
 def token_hashes(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
     words = words_of([v.lower().encode("utf-8", "replace") for v in values], _BYTES)
@@ -68,45 +92,96 @@ def count_tokens(df: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _trees(leaves: list[tuple[list[int], list[float]]], n_ids: int):
+    """Ways to all ids and log odds of nodes: one Huffman tree for each list of ids and counts."""
+    steps: list[list[tuple[int, float]]] = [[] for _ in range(n_ids)]
+    start: list[float] = []
+    for ids, n in leaves:
+        heap = [(x, k, i, None) for k, (i, x) in enumerate(zip(ids, n, strict=True))]
+        heapq.heapify(heap)
+        order = len(heap)
+        while len(heap) > 1:
+            one, two = heapq.heappop(heap), heapq.heappop(heap)
+            heapq.heappush(heap, (one[0] + two[0], order, len(start), (one, two)))
+            start.append(float(np.log(one[0] / two[0])))
+            order += 1
+        going = [(heap[0], [])] if heap else []
+        while going:
+            (_, _, own, below), way = going.pop()
+            if below is None:
+                steps[own] = way
+            else:
+                going += [(below[0], [*way, (own, 1.0)]), (below[1], [*way, (own, -1.0)])]
+    first = np.concatenate([[0], np.cumsum([len(w) for w in steps], dtype=np.int64)])
+    flat = [x for way in steps for x in way]
+    node, turn = np.array([x[0] for x in flat], np.int64), np.array([x[1] for x in flat], np.float32)
+    return first, node, turn, np.array(start, np.float32)
+
+
+def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` most frequent tokens and their counts; equally frequent ones by hash.
+
+    Counts are first laid in steps, so that only little more than ``most`` rows are sorted.
+    """
+    step = F.floor(F.log2("n") * 8)
+    cut, total = 0, 0
+    for r in sorted(counted.groupBy(step.alias("s")).count().collect(), key=lambda r: -r["s"]):
+        cut, total = r["s"], total + r["count"]
+        if total >= most:
+            break
+    top = counted.where(step >= cut).orderBy(F.desc("n"), "token").limit(most).toArrow()
+    return top.column("token").to_numpy(), top.column("n").to_numpy().astype(float)
+
+
 def build_vocabulary(df: DataFrame) -> Vocabulary:
-    """The most frequent tokens of all texts; equally frequent ones in order of their hash.
+    """The most frequent tokens of all texts, more of them the more different ones there are;
+    equally frequent ones in order of their hash.
 
     The driver gets the vocabulary and, by class, the count and the number of the other tokens.
+    Counts of the others stay a distributed table.
     """
     counted = freeze(count_tokens(df), "tokens")
-    top = counted.orderBy(F.desc("n"), "token").limit(VOCABULARY).toArrow()
-    tokens, n = top.column("token").to_numpy(), top.column("n").to_numpy().astype(float)
-    kind = np.where(
-        np.arange(len(tokens)) < ALONE,
-        np.arange(len(tokens)),
-        ALONE + (tokens.view(np.uint64) % np.uint64(SHARED)).astype(np.int64),
-    )
     # SHARED is a power of two, so remainders of signed and of unsigned hashes agree
     rest_class = F.pmod(F.col("token"), F.lit(SHARED)).alias("k")
     all_of = counted.groupBy(rest_class).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()
-    others, types = np.zeros(SHARED), np.zeros(SHARED)
-    for r in all_of:
-        others[r["k"]], types[r["k"]] = r["n"], r["types"]
+    most = max(VOCABULARY, int(GROWTH * sum(r["types"] for r in all_of) ** 0.5))
+    tokens, n = _most_frequent(counted, most)
+    own = np.arange(len(tokens)) + (np.arange(len(tokens)) >= VOCABULARY) * (SHARED + 1)
     of_top = (tokens.view(np.uint64) % np.uint64(SHARED)).astype(np.int64)
-    others -= np.bincount(of_top, n, SHARED)
-    types -= np.bincount(of_top, minlength=SHARED)
-    whole = others + 1 + np.bincount(kind[ALONE:] - ALONE, n[ALONE:], SHARED)
-    log_share = np.zeros(PAD)
-    log_share[ALONE : len(tokens)] = np.log(n[ALONE:] / whole[kind[ALONE:] - ALONE])
-    log_share[VOCABULARY:] = np.log((others + 1) / whole / (types + 1))
-    class_of = np.concatenate([kind, np.zeros(VOCABULARY - len(kind), np.int64), ALONE + np.arange(SHARED)])
+    kind = np.where(np.arange(len(tokens)) < ALONE, np.arange(len(tokens)), ALONE + of_top)
+    rest = np.ones(SHARED)
+    for r in all_of:
+        rest[r["k"]] += r["n"]
+    rest -= np.bincount(of_top, n, SHARED)
+    whole = rest + np.bincount(of_top[ALONE:], n[ALONE:], SHARED)
+    n_ids = PAD + 1 + max(0, len(tokens) - VOCABULARY)
+    log_share, class_of = np.zeros(n_ids), np.zeros(n_ids, np.int64)
+    log_share[own[ALONE:]] = np.log(n[ALONE:] / whole[of_top[ALONE:]])
+    log_share[VOCABULARY:PAD] = -np.log(whole)
+    class_of[own], class_of[VOCABULARY:PAD] = kind, ALONE + np.arange(SHARED)
+    leaves = [([VOCABULARY + k], [rest[k]]) for k in range(SHARED)]
+    for i, k, x in zip(own[ALONE:].tolist(), of_top[ALONE:].tolist(), n[ALONE:].tolist(), strict=True):
+        leaves[k][0].append(i)
+        leaves[k][1].append(x)
     order = np.argsort(tokens)
-    return Vocabulary(tokens[order], order, class_of, log_share)
+    few = counted.where("n > 1")
+    if len(n):  # what is more frequent has an id
+        few = few.where(F.col("n") <= int(n[-1]))
+    return Vocabulary(tokens[order], own[order], class_of, log_share, *_trees(leaves, n_ids), rest, few)
 
 
-def new_weights(seed: int = 11) -> list[np.ndarray]:
-    """Embeddings by place in the window, a hidden bias, output weights and biases."""
+def new_weights(seed: int = 11, ids: int = PAD + 1, start: np.ndarray | None = None) -> list[np.ndarray]:
+    """Embeddings by place in the window, a hidden bias, output weights and biases of classes, and
+    of nodes, which begin at the corpus's odds."""
     dealt = np.random.default_rng(seed)
+    start = np.zeros(0, np.float32) if start is None else start
     return [
-        dealt.normal(0, 0.1, (2 * WINDOW, PAD + 1, WIDTH)).astype(np.float32),
+        dealt.normal(0, 0.1, (2 * WINDOW, ids, WIDTH)).astype(np.float32),
         np.zeros(WIDTH, np.float32),
         dealt.normal(0, 0.1, (WIDTH, CLASSES)).astype(np.float32),
         np.zeros(CLASSES, np.float32),
+        np.zeros((len(start), WIDTH), np.float32),
+        start.copy(),
     ]
 
 
@@ -128,31 +203,78 @@ def _hidden(weights: list[np.ndarray], near: np.ndarray) -> np.ndarray:
 
 def class_log_probabilities(weights: list[np.ndarray], near: np.ndarray, goal: np.ndarray) -> np.ndarray:
     """Log probability of each token's class given its neighbours."""
-    logits = _hidden(weights, near) @ weights[2] + weights[3]
+    return _class_logs(weights, _hidden(weights, near), goal)
+
+
+def _class_logs(weights: list[np.ndarray], h: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    logits = h @ weights[2] + weights[3]
     logits -= logits.max(1, keepdims=True)
     chosen = logits[np.arange(len(goal)), goal]
     return chosen - np.log(np.exp(logits, out=logits).sum(1))
 
 
-def learn(weights: list[np.ndarray], speed: list[np.ndarray], near: np.ndarray, goal: np.ndarray) -> None:
-    """One step on a batch, in place, with step sizes that shrink by element as slopes add up."""
+def token_log_probabilities(
+    weights: list[np.ndarray], near: np.ndarray, ids: np.ndarray, vocabulary: Vocabulary
+) -> np.ndarray:
+    """Log probability of each id given its neighbours: of its class, then of each turn to it."""
+    h = _hidden(weights, near)
+    rows, node, turn = vocabulary.ways(ids)
+    odds = turn * ((h[rows] * weights[4][node]).sum(1) + weights[5][node])
+    turns = np.bincount(rows, -np.logaddexp(0, -odds), len(ids))
+    return _class_logs(weights, h, vocabulary.class_of[ids]) + turns
+
+
+def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their rows."""
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")
+    ordered = keys[order]
+    begins = np.flatnonzero(np.diff(ordered, prepend=-1))
+    return ordered[begins], np.add.reduceat(values[order], begins, 0)
+
+
+def learn(
+    weights: list[np.ndarray],
+    speed: list[np.ndarray],
+    near: np.ndarray,
+    goal: np.ndarray,
+    ids: np.ndarray | None = None,
+    vocabulary: Vocabulary | None = None,
+) -> None:
+    """One step on a batch, in place, with step sizes that shrink by element as slopes add up.
+
+    With ``ids`` the turns to each token are learned besides its class.
+    """
     h = _hidden(weights, near)
     p = h @ weights[2] + weights[3]
     p -= p.max(1, keepdims=True)
     np.exp(p, out=p)
     p /= p.sum(1, keepdims=True)
     p[np.arange(len(goal)), goal] -= 1
-    back = (p @ weights[2].T) * (1 - h * h)
+    back = p @ weights[2].T
+    if ids is not None:
+        rows, node, turn = vocabulary.ways(ids)
+        if len(rows):
+            met = h[rows]
+            odds = turn * ((met * weights[4][node]).sum(1) + weights[5][node])
+            slope = -turn / (1 + np.exp(np.minimum(odds, 60)))
+            some = np.flatnonzero(np.diff(rows, prepend=-1))
+            back[rows[some]] += np.add.reduceat(slope[:, None] * weights[4][node], some, 0)
+            both = np.concatenate([slope[:, None] * met, slope[:, None]], 1)
+            at, sums = _by_key(node, both)
+            for k, own in ((4, sums[:, :-1]), (5, sums[:, -1])):
+                speed[k][at] += own**2
+                weights[k][at] -= RATE * own / np.sqrt(speed[k][at])
+    back *= 1 - h * h
     slopes = [None, back.sum(0), h.T @ p, p.sum(0)]
     for k in (1, 2, 3):
         speed[k] += slopes[k] ** 2
         weights[k] -= RATE * slopes[k] / np.sqrt(speed[k])
     for place in range(2 * WINDOW):
-        flat = (near[place] * WIDTH)[:, None] + np.arange(WIDTH)
-        slope = np.bincount(flat.ravel(), back.ravel(), (PAD + 1) * WIDTH).reshape(PAD + 1, WIDTH)
-        met = np.flatnonzero(np.bincount(near[place], minlength=PAD + 1))
-        speed[0][place, met] += slope[met] ** 2
-        weights[0][place, met] -= RATE * slope[met] / np.sqrt(speed[0][place, met])
+        at, sums = _by_key(near[place], back)
+        speed[0][place, at] += sums**2
+        weights[0][place, at] -= RATE * sums / np.sqrt(speed[0][place, at])
 
 
 def _ids(values: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -164,19 +286,19 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> list[n
     """Train on every token of every text.
 
     In a round each task goes through its texts from the weights of the round before; the results
-    are averaged by element, each task counting as many times as it saw tokens. An empty table
-    gives the untrained weights.
+    are averaged by element over the tasks that met it, each task counting as many times as it saw
+    tokens. An empty table gives the untrained weights.
     """
-    weights = new_weights()
+    weights = new_weights(ids=len(vocabulary.class_of), start=vocabulary.start)
     shapes = [w.shape for w in weights]
     cuts = np.cumsum([w.size for w in weights])[:-1]
     for _ in range(rounds):
-        held = df.sparkSession.sparkContext.broadcast((weights, vocabulary))
+        held = df.sparkSession.sparkContext.broadcast((weights, vocabulary.sent()))
 
         def pass_over(batches: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             start, words = held.value
             own = [w.copy() for w in start]
-            speed = [np.full_like(w, 1e-2) for w in own]
+            speed = [np.full_like(w, START_SPEED) for w in own]
             seen = 0
             for _, values, _ in text_chunks(batches):
                 ids, first = _ids(values, words)
@@ -184,20 +306,21 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> list[n
                 shuffled = np.random.default_rng(len(ids)).permutation(len(ids))
                 for begin in range(0, len(ids), BATCH):
                     rows = shuffled[begin : begin + BATCH]
-                    learn(own, speed, near[:, rows], goal[rows])
+                    learn(own, speed, near[:, rows], goal[rows], ids[rows], words)
                 seen += len(ids)
             if seen:
-                flat = np.concatenate([w.ravel() for w in own]).astype(np.float64)
+                moved = np.flatnonzero(np.concatenate([v.ravel() for v in speed]) != START_SPEED)
+                flat = np.concatenate([w.ravel() for w in own])[moved].astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))],
+                    [pa.array(moved), pa.array(flat * seen), pa.array(np.full(len(flat), seen))],
                     ["cell", "value", "seen"],
                 )
 
         moved = df.mapInArrow(pass_over, "cell long, value double, seen long")
-        summed = moved.groupBy("cell").agg((F.sum("value") / F.sum("seen")).alias("value"))
+        summed = moved.groupBy("cell").agg((F.sum("value") / F.sum("seen")).cast("float").alias("value"))
         found = summed.toArrow()
         if found.num_rows:
-            flat = np.zeros(found.num_rows, np.float32)
+            flat = np.concatenate([w.ravel() for w in weights])
             flat[found.column("cell").to_numpy()] = found.column("value").to_numpy()
             parts = np.split(flat, cuts)
             weights = [part.reshape(shape) for part, shape in zip(parts, shapes, strict=True)]
@@ -205,14 +328,21 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> list[n
 
 
 def score_texts(values: list[str], weights: list[np.ndarray], vocabulary: Vocabulary):
-    """Tokens and summed conditional log probability of each text."""
-    ids, first = _ids(values, vocabulary)
+    """Tokens and summed conditional log probability of each text; tokens without an id are taken as
+    occurring once."""
+    return _score_ids(*_ids(values, vocabulary), weights, vocabulary)
+
+
+def _score_ids(ids: np.ndarray, first: np.ndarray, weights: list[np.ndarray], vocabulary: Vocabulary):
     sums = np.zeros(len(ids) + 1)
-    near, goal = windows(ids, first), vocabulary.class_of[ids]
+    near = windows(ids, first)
+    once = np.zeros(len(vocabulary.class_of))
+    once[VOCABULARY:PAD] = -np.log(vocabulary.rest)
     for begin in range(0, len(ids), BATCH):
         rows = slice(begin, begin + BATCH)
-        sums[begin + 1 : begin + 1 + len(goal[rows])] = class_log_probabilities(weights, near[:, rows], goal[rows])
-    sums[1:] += vocabulary.log_share[ids]
+        logs = token_log_probabilities(weights, near[:, rows], ids[rows], vocabulary)
+        sums[begin + 1 : begin + 1 + len(logs)] = logs
+    sums[1:] += once[ids]
     sums = np.cumsum(sums)
     return np.diff(first), sums[first[1:]] - sums[first[:-1]]
 
@@ -222,21 +352,48 @@ def score(
 ) -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob`` of each row's whole text.
 
+    A token without an id has its own share, by its count in the corpus, of what its class has for
+    such tokens; each meets its count by a join. The most frequent ones have ids, so none is hot.
     A null text, or one without tokens, has no tokens and log probability 0; its mean is null.
     Repeated rows are each scored; equal texts score alike up to rounding.
     """
-    held = df.sparkSession.sparkContext.broadcast((weights, vocabulary))
+    held = df.sparkSession.sparkContext.broadcast((weights, vocabulary.sent()))
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, values, _ in text_chunks(batches):
-            n, log_prob = score_texts(values, *held.value)
+        # a row for each text, whose token is only its number, and one for each token without an id
+        own, words = held.value
+        row = TaskContext.get().partitionId() << 40
+        for doc_ids, values, _ in text_chunks(batches):
+            hashes, first = token_hashes(values)
+            ids = words.encode(hashes)
+            n, log_prob = _score_ids(ids, first, own, words)
+            numbers = row + np.arange(len(n))
+            row += len(n)
+            other = np.flatnonzero((ids >= VOCABULARY) & (ids < PAD))
+            far, none = numbers[np.searchsorted(first, other, "right") - 1], pa.nulls(len(other), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n), pa.array(log_prob)], ["doc_id", "n_tokens", "log_prob"]
+                [
+                    pa.array(np.concatenate([numbers, far])),
+                    pa.array(np.concatenate([numbers, hashes[other].view(np.int64)])),
+                    pa.concat_arrays([doc_ids.cast(pa.int64()), none]),
+                    pa.concat_arrays([pa.array(n.astype(np.int64)), none]),
+                    pa.concat_arrays([pa.array(log_prob), none.cast(pa.float64())]),
+                ],
+                ["row", "token", "doc_id", "n_tokens", "log_prob"],
             )
 
-    scored = texts(df, id_col, text_col).mapInArrow(give, "doc_id long, n_tokens long, log_prob double")
+    scored = texts(df, id_col, text_col).mapInArrow(
+        give, "row long, token long, doc_id long, n_tokens long, log_prob double"
+    )
+    counted = scored.join(vocabulary.counts, "token", "left")
+    own_count = F.when(F.col("n_tokens").isNull(), F.coalesce(F.ln("n"), F.lit(0.0)))
+    summed = counted.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.sum(F.coalesce("log_prob", own_count)).alias("log_prob"),
+    )
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
-    return scored.withColumn("mean_log_prob", mean)
+    return summed.drop("row").withColumn("mean_log_prob", mean)
 
 
 def op3_masked_lm(spark: SparkSession, folder: str) -> DataFrame:

@@ -72,3 +72,48 @@ def test_rows(spark):
     none = df.limit(0)
     words = lm.build_vocabulary(lm.texts(none))
     assert lm.score(none, lm.train(lm.texts(none), words), words).count() == 0
+
+
+def test_tokens_beyond_the_vocabulary_have_their_own_share(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROWTH", 0)
+    # 3,000 tokens of three occurrences fill the vocabulary up, so that "twice" and "once" have no id
+    words = " ".join(f"w{k}" for k in range(3000))
+    same = [k for k in (f"x{i}" for i in range(400)) if int(lm.token_hashes([k])[0][0]) % lm.SHARED == 5][:3]
+    twice, once, unseen = same
+    df = spark.createDataFrame([(1, words), (2, words), (3, words), (4, f"{twice} {twice} {once}")], "doc_id long, text string")
+    vocabulary = lm.build_vocabulary(df)
+    weights = lm.train(df, vocabulary)
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(same)] + [(3, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score(asked, weights, vocabulary).collect()}
+    assert got[3] == 0 and abs(got[0] - got[1] - np.log(2)) < 1e-6 and abs(got[1] - got[2]) < 1e-6
+    # all tokens there are, and one that is not for each class, share the whole probability
+    tokens = [r["token"] for r in lm.count_tokens(df).collect()]
+    n = {r["token"]: r["n"] for r in vocabulary.counts.collect()}
+    ids = vocabulary.encode(np.array(tokens))
+    near = np.full((2 * lm.WINDOW, len(ids)), lm.PAD)
+    log = lm.token_log_probabilities(weights, near, ids, vocabulary)
+    rare = (ids >= lm.VOCABULARY) & (ids < lm.PAD)
+    log[rare] += np.log([n.get(t, 1) for t in np.array(tokens)[rare]]) - np.log(vocabulary.rest[ids[rare] - lm.VOCABULARY])
+    assert rare.sum() > 900 and 0.9 < np.exp(log).sum() < 1 + 1e-4
+
+
+def test_vocabulary_grows_and_every_token_of_it_is_predicted(spark):
+    df = spark.createDataFrame([(1, " ".join(f"w{k} w{k}" for k in range(30_000)))], "doc_id long, text string")
+    words = lm.build_vocabulary(df)
+    assert len(words.hashes) == int(lm.GROWTH * 30_000**0.5) > lm.VOCABULARY
+    assert len(np.unique(words.ids)) == len(words.ids) and (words.ids < len(words.class_of)).all()
+    assert (np.diff(words.first)[words.ids[words.class_of[words.ids] >= lm.ALONE]] > 0).all()
+
+
+def test_context_tells_tokens_of_one_class_apart(spark):
+    one, two = [k for k in (f"x{i}" for i in range(400)) if int(lm.token_hashes([k])[0][0]) % lm.SHARED == 5][:2]
+    common = " ".join(f"c{k}" for k in range(lm.ALONE)) + " "
+    texts = [common * 12 + f"a a {one} a a . " * 5 + f"b b {two} b b " * 5] * 60
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = lm.build_vocabulary(df)
+    weights = lm.train(df, words, rounds=2)
+    ids = words.encode(lm.token_hashes([f"a b {one} {two}"])[0])
+    assert words.class_of[ids[2]] == words.class_of[ids[3]]
+    near = np.array([[ids[0]] * 2, [ids[0]] * 2, [ids[0]] * 2, [ids[0]] * 2])
+    fits, not_ = lm.token_log_probabilities(weights, near, ids[2:], words)
+    assert fits > not_ + 0.5
