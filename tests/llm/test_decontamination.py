@@ -96,3 +96,21 @@ def test_main_path_is_native(spark):
     items = docs.select(F.col("doc_id").alias("item_id"), "text")
     plan = dc.contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+COACHES = "The coach party leaves at 3 with 3 coaches and 40 pupils then stops after 50 miles so how many seats stay free in each coach once everybody is seated"
+
+
+def test_a_changed_number_costs_only_its_windows(spark):
+    docs = [
+        (1, COACHES.replace("with 3", "with 4")),  # one value of the item, two of the document
+        (2, COACHES.replace("40", "50")),  # two values of the item, one of the document
+        (3, COACHES.lower()), (4, ITEM.lower()), (5, ITEM.upper()), (6, ITEM.title()),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(1, COACHES), (2, ITEM)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in dc.contaminated(d, i, any_case=True).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2)}
+    assert got[2, 1]["n_matched"] == got[2, 1]["n_windows"] == got[3, 1]["n_matched"]
+    assert got[1, 1]["n_windows"] - 5 == got[1, 1]["n_matched"]
+    assert got[4, 2]["n_matched"] == got[4, 2]["n_windows"]
