@@ -79,15 +79,17 @@ def bucket_of(df: DataFrame, key: str) -> Column:
     return F.when(F.col(key).isNull(), F.lit(len(borders) + 1)).otherwise(number)
 
 
-def _following(heads: DataFrame) -> DataFrame:
+def _following(tops: DataFrame, heads: DataFrame) -> DataFrame:
     """``bucket, after``: the head of the bucket that follows; after the last comes the first.
 
-    ``heads`` has one row ``bucket, head`` for each bucket, of which there are a bounded number.
+    ``tops`` has each bucket's number ``_b``; only these, of which there are a bounded number, are put
+    in order. ``heads`` has one row ``bucket, head`` for each bucket; its texts meet them by a join.
     """
-    every = W.orderBy("bucket")
+    every = W.orderBy("_b")
     whole = every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    after = F.coalesce(F.lead("head").over(every), F.first("head").over(whole))
-    return heads.select("bucket", after.alias("_after"))
+    after = F.coalesce(F.lead("_b").over(every), F.first("_b").over(whole))
+    numbers = tops.select(F.col("_b").alias("_own"), after.alias("bucket"))
+    return numbers.join(heads, "bucket").select(F.col("_own").alias("bucket"), F.col("head").alias("_after"))
 
 
 def with_next_text(df: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def with_next_text(df: DataFrame) -> DataFrame:
     led = placed.select(
         "*", F.row_number().over(inside).alias("place"), F.lead("text").over(inside).alias("_next")
     )
-    after = _following(heads)
+    after = _following(tops, heads)
     return led.join(after, "bucket").select(
         *df.columns, "bucket", "place", F.coalesce("_next", "_after").alias("next_text")
     )
@@ -188,7 +190,8 @@ def compare_fingerprints(printed: DataFrame) -> DataFrame:
     """
     inside = W.partitionBy("bucket").orderBy("place")
     heads = printed.where("place = 1").select("bucket", F.col("fingerprint").alias("head"))
-    led = printed.withColumn("_next", F.lead("fingerprint").over(inside)).join(_following(heads), "bucket")
+    after = _following(heads.select(F.col("bucket").alias("_b")), heads)
+    led = printed.withColumn("_next", F.lead("fingerprint").over(inside)).join(after, "bucket")
     led = led.withColumn("_next", F.coalesce("_next", "_after"))
     return led.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

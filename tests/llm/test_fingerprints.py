@@ -65,3 +65,13 @@ def test_empty_table_and_native_plan(spark):
     assert fp.compare_fingerprints(printed).count() == 0
     plan = printed._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_only_numbers_of_buckets_are_put_in_order(spark):
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    tops = df.groupBy((F.col("doc_id") % 50).cast("int").alias("_b")).agg(F.max("doc_id").alias("_top"))
+    heads = df.where("doc_id < 50").select(F.col("doc_id").cast("int").alias("bucket"), F.col("text").alias("head"))
+    after = fp._following(tops, heads)
+    assert {(r["bucket"], r["_after"]) for r in after.collect()} == {(k, f"text {(k + 1) % 50}") for k in range(50)}
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert all("head" not in line for line in plan.splitlines() if "Window" in line)
