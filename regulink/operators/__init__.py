@@ -28,6 +28,7 @@ from regulink.operators.checks import (
 from regulink.operators.evidence import (
     evidence_matrix,
     for_variant,
+    for_variant_table,
     nested_answers,
     source_evidence,
     source_ranks,
@@ -74,6 +75,7 @@ from regulink.operators.intervals import (
 )
 from regulink.operators.joins import fits_broadcast, lookup_join, skew_join
 from regulink.operators.liftover import liftover, unmatched_chromosomes
+from regulink.operators.membership import with_keys
 from regulink.operators.qtl import (
     bonferroni,
     classify_cis_trans,
@@ -84,8 +86,10 @@ from regulink.operators.qtl import (
 from regulink.operators.ranges import overlap_join
 from regulink.operators.ranking import exact_quantiles, number_rows
 from regulink.operators.scoring import (
+    apply_quantile_grids,
     evidence_score,
     feature_aggregate,
+    fit_quantile_grids,
     melt_scores,
     minmax,
     per_source_scores,
@@ -96,5 +100,6 @@ from regulink.operators.scoring import (
     weights_frame,
     wipe_consequence_feature,
 )
+from regulink.operators.sketches import describe_slices, distinct_error, merge_slices, rank_error, summarise_slices
 
 __all__ = [name for name in dir() if not name.startswith("_") and name.islower()]

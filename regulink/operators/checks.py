@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from regulink.functions import split_part
 from regulink.operators.genes import coding_genes
 from regulink.operators.ranking import exact_quantiles
+from regulink.operators.sketches import quantile_k, quantiles_of
 from regulink.session import freeze
 
 SUMMARY_PROBS = (0.25, 0.5, 0.75)
@@ -109,20 +110,37 @@ def assert_no_nulls(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, checked)
 
 
-def slice_stats(df: DataFrame) -> DataFrame:
-    """Rows, base pairs covered and distinct variants."""
+def slice_stats(df: DataFrame, lg_k: int | None = None) -> DataFrame:
+    """Rows, base pairs covered and distinct variants.
+
+    With ``lg_k`` variants are counted by a sketch of ``2 ** lg_k`` cells instead, whose relative
+    standard error is :func:`~regulink.operators.sketches.distinct_error`; the ids are then not
+    shuffled. For statistics of many slices that are kept and added up see
+    :func:`~regulink.operators.sketches.summarise_slices`.
+    """
+    if lg_k is None:
+        variants = F.count_distinct("variant_id")
+    else:
+        variants = F.hll_sketch_estimate(F.hll_sketch_agg("variant_id", lg_k))
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         (F.max("position") - F.min("position")).alias("size_bp"),
-        F.count_distinct("variant_id").alias("variants"),
+        variants.alias("variants"),
     )
 
 
 def describe_distance(
-    df: DataFrame, col: str = "delta", probs: Sequence[float] = THRESHOLD_PROBS
+    df: DataFrame, col: str = "delta", probs: Sequence[float] = THRESHOLD_PROBS, error: float | None = None
 ) -> DataFrame:
-    """Count, mean, standard deviation, extremes, quartiles and further quantiles, in one row."""
+    """Count, mean, standard deviation, extremes, quartiles and further quantiles, in one row.
+
+    Quantiles are exact, for which ``df`` is read twice and its values are sorted. With ``error``
+    they come from a sketch in the one pass that counts: the rank of each is off by at most that
+    share of the rows, with a chance of 99 percent.
+    """
     points = sorted({*SUMMARY_PROBS, *probs})
+    if error is not None:
+        return _sketched_distance(df, col, points, error)
     values = exact_quantiles(df, col, [Fraction(str(p)) for p in points])
     return (
         df.agg(
@@ -144,6 +162,31 @@ def describe_distance(
     )
 
 
+def _sketched_distance(df: DataFrame, col: str, points: Sequence[float], error: float) -> DataFrame:
+    value = F.col(col).cast("double")
+    sketch = F.kll_sketch_agg_double(F.when(~F.isnan(value), value), quantile_k(error))
+    return (
+        df.agg(
+            F.count(col).alias("count"),
+            F.avg(col).alias("mean"),
+            F.stddev_samp(col).alias("std"),
+            F.min(col).alias("min"),
+            F.max(col).alias("max"),
+            F.count_if(~F.isnan(value)).alias("_n"),
+            sketch.alias("_sketch"),
+        )
+        .withColumn("_q", quantiles_of(F.col("_sketch"), points, F.col("_n") > 0))
+        .select(
+            "count",
+            "mean",
+            "std",
+            "min",
+            *[F.get("_q", F.lit(i)).alias(f"p{round(p * 100)}") for i, p in enumerate(points)],
+            "max",
+        )
+    )
+
+
 def distance_histogram(df: DataFrame, bins: int = 1000, col: str = "delta") -> DataFrame:
     """Counts in equal-width bins between the extremes, empty bins included; the last is closed."""
     value = F.col(col).cast("double")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from regulink.fixed_values import INTERVAL_TYPES
 from regulink.operators.joins import group_join
+from regulink.operators.membership import with_keys
 from regulink.operators.scoring import (
     GENE_KEYS,
     per_source_scores,
@@ -30,6 +31,12 @@ def for_variant(df: DataFrame, *ids: str, sources: Sequence[str] | None = None)
     return kept if sources is None else kept.where(F.col("source_id").isin(list(sources)))
 
 
+def for_variant_table(df: DataFrame, ids: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the variants in a table with ``variant_id``, however many, and of given sources."""
+    kept = df if sources is None else df.where(F.col("source_id").isin(list(sources)))
+    return with_keys(kept, ids, ["variant_id"])
+
+
 def tissue_evidence(df: DataFrame) -> DataFrame:
     """The evidence as flat rows: variant, source, tissue and gene with the values of its type.
 
@@ -74,7 +81,7 @@ def source_evidence(df: DataFrame) -> DataFrame:
 
 def variant_evidence(
     df: DataFrame,
-    ids: Sequence[str] | None = None,
+    ids: Sequence[str] | DataFrame | None = None,
     sources: Sequence[str] | None = None,
     with_evidence: bool = True,
     weights=None,
@@ -84,8 +91,11 @@ def variant_evidence(
     ``df`` is scaled evidence, so that quantiles are those of the whole data. Without evidence a row
     is a gene of a variant: ``gene_id, score, rank``. With it a row is one piece of evidence, with
     the gene's ``source_score, source_rank`` and ``score, rank``. The shape is one at every size.
+    ``ids`` may be a table with ``variant_id``.
     """
-    if ids is not None:
+    if isinstance(ids, DataFrame):
+        df = for_variant_table(df, ids)
+    elif ids is not None:
         df = for_variant(df, *ids)
     if sources is not None:
         df = df.where(F.col("source_id").isin(list(sources)))

@@ -46,6 +46,7 @@ def skew_join(
     how: str = "left",
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
+    once: bool = False,
 ) -> DataFrame:
     """Shuffle join of two large tables in which few keys may hold most rows of ``df``.
 
@@ -54,8 +55,12 @@ def skew_join(
     enough to broadcast whatever the data. The more rows such a key has, the more salts it gets, at
     least ``salts`` and so many that a salt has no more than that share of all rows; only its rows of
     ``other`` are repeated once per salt. Every other key is joined as usual.
+
+    ``df`` is read twice. With ``once`` it is computed once, written, and its keys are counted from
+    the written columns: better where it is the result of a join or another costly plan.
     """
     on = list(on)
+    df = freeze(df, "joined") if once else df
     total = Observation()
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     counts = counts.observe(total, F.sum("_rows").alias("rows"))
@@ -125,14 +130,16 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     small: bool | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """Join a large table with a lookup table.
 
     ``small`` is the outcome of an earlier :func:`fits_broadcast`. When it is not given and the lookup
     was not measured, it is written once and measured on the way, so it is not computed twice.
+    ``once`` is for :func:`skew_join`; a broadcast reads ``df`` once anyway.
     """
     if small is None and sizes_of(lookup) is None:
         lookup = freeze(lookup, "lookup", measured=True)
     if fits_broadcast(lookup) if small is None else small:
         return df.join(F.broadcast(lookup), list(on), how)
-    return skew_join(df, lookup, on, how)
+    return skew_join(df, lookup, on, how, once=once)

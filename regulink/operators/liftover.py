@@ -1,8 +1,14 @@
 """Coordinate conversion between assemblies.
 
-The blocks of all chains are cut into segments that lie in one bin and are covered by the same
-chains throughout. A position then falls in at most one segment, which already knows its best
-target, so converting a position is one equi-join on the bin with a range condition.
+The blocks of all chains are cut into segments that lie in one bin and have the same best chain
+throughout. A position then falls in at most one segment, which already knows its best target, so
+converting a position is one equi-join on the bin with a range condition.
+
+Which chain is best at each place of a bin is found by halves: a bin is a tree of halves, quarters
+and so on, and a block is laid on the few nodes that make it up. Each node keeps its best block, a
+minimum with partial results, and the best block at a place is the best on the path above it. Work
+grows with the ends of blocks, not with how many overlap, and a bin never has more nodes than twice
+its positions, however many chains cross it.
 """
 
 from __future__ import annotations
@@ -30,54 +36,105 @@ def usable_blocks(blocks: DataFrame, allowed: list[str] | None = None) -> DataFr
     )
 
 
-def lift_segments(blocks: DataFrame) -> DataFrame:
-    """Segments with the best target on each target chromosome.
-
-    A source position ``p`` of a segment goes to ``offset + sign * p``; on the minus strand the
-    target counts from its far end. ``preference`` sorts by chain score, highest first, and then
-    by chain id.
-    """
+def _pieces(blocks: DataFrame) -> DataFrame:
+    """Blocks cut at bin ends: ``_from, _to`` within the bin, and where they lead."""
     on_minus = F.col("tgt_strand") == "-"
     aligned = F.col("tgt_start") - F.col("src_start")
-    pieces = (
+    begin = F.shiftleft("_bin", BIN_BITS)
+    return (
         blocks.where(F.col("src_start") < F.col("src_end"))
         .withColumn("_bin", F.explode(F.sequence(_bin(F.col("src_start")), _bin(F.col("src_end") - 1))))
         .select(
             strip_chr("src_chrom").alias("chrom"),
             "_bin",
-            F.greatest("src_start", F.shiftleft("_bin", BIN_BITS)).alias("_from"),
-            F.least("src_end", F.shiftleft(F.col("_bin") + 1, BIN_BITS)).alias("_to"),
-            "tgt_chrom",
-            F.struct((-F.col("score")).alias("minus_score"), "chain_id").alias("preference"),
-            F.when(on_minus, F.col("tgt_size") - 1 - aligned).otherwise(aligned).alias("offset"),
-            F.when(on_minus, -1).otherwise(1).alias("sign"),
+            F.greatest(F.col("src_start") - begin, F.lit(0)).cast("int").alias("_from"),
+            F.least(F.col("src_end") - begin, F.lit(1 << BIN_BITS)).cast("int").alias("_to"),
+            F.struct(
+                F.struct((-F.col("score")).alias("minus_score"), "chain_id").alias("preference"),
+                F.col("tgt_chrom").alias("new_chrom"),
+                F.when(on_minus, F.col("tgt_size") - 1 - aligned).otherwise(aligned).alias("offset"),
+                F.when(on_minus, -1).otherwise(1).alias("sign"),
+            ).alias("_target"),
+        )
+    )
+
+
+def _nodes() -> Column:
+    """Nodes of the tree over a bin that make up ``_from .. _to``: at most two on each level.
+
+    On level ``k`` a node has ``2 ** k`` positions. Going up, an odd left end and an odd right end
+    leave one node each behind, as long as the ends have not met.
+    """
+
+    def on_level(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), level)
+        left = F.call_function("div", F.col("_from") + size - 1, size).cast("int")
+        right = F.call_function("div", F.col("_to"), size).cast("int")
+        return F.array(
+            F.when((left < right) & (left % 2 == 1), F.struct(level.alias("level"), left.alias("node"))),
+            F.when((left < right) & (right % 2 == 1), F.struct(level.alias("level"), (right - 1).alias("node"))),
         )
+
+    levels = F.array(*[F.lit(k) for k in range(BIN_BITS + 1)])
+    return F.filter(F.flatten(F.transform(levels, on_level)), lambda node: node.isNotNull())
+
+
+def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, seg_start, seg_end`` and the best target, of every stretch of a bin that has one.
+
+    Stretches that follow each other with one target are one segment.
+    """
+    best = F.min("_target").alias("_target")
+    nodes = (
+        pieces.groupBy(*keys, "_from", "_to")
+        .agg(best)
+        .select(*keys, F.inline(_nodes()), "_target")
+        .groupBy(*keys, "level", "node")
+        .agg(best)
     )
-    in_bin = Window.partitionBy("chrom", "_bin").orderBy("seg_start")
-    segments = (
-        pieces.select("chrom", "_bin", F.explode(F.array("_from", "_to")).alias("seg_start"))
-        .distinct()
-        .withColumn("seg_end", F.lead("seg_start").over(in_bin))
-        .where(F.col("seg_end").isNotNull())
+    # a place where the best target may change; the bin's end closes the last stretch
+    starts = pieces.select(*keys, F.explode(F.array("_from", "_to")).alias("_at")).distinct()
+    path = F.transform(
+        F.sequence(F.lit(0), F.lit(BIN_BITS)),
+        lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col("_at"), level).alias("node")),
     )
-    best = F.min(F.struct("preference", "offset", "sign"))
+    found = (
+        starts.where(F.col("_at") < 1 << BIN_BITS)
+        .select(*keys, "_at", F.inline(path))
+        .join(nodes, [*keys, "level", "node"])
+        .groupBy(*keys, "_at")
+        .agg(best)
+    )
+    in_bin = Window.partitionBy(*keys).orderBy("_at")
+    changed = ~F.col("_target").eqNullSafe(F.lag("_target").over(in_bin))
+    begin = F.shiftleft("_bin", BIN_BITS)
     return (
-        segments.join(pieces, ["chrom", "_bin"])
-        .where((F.col("_from") <= F.col("seg_start")) & (F.col("seg_start") < F.col("_to")))
-        .groupBy("chrom", "_bin", "seg_start", "seg_end", F.col("tgt_chrom").alias("new_chrom"))
-        .agg(best.alias("_best"))
-        .select("chrom", "_bin", "seg_start", "seg_end", "new_chrom", "_best.*")
+        starts.join(found, [*keys, "_at"], "left")
+        .withColumn("_new", changed)
+        .where("_new")
+        .withColumn("_to", F.lead("_at").over(in_bin))
+        .where(F.col("_target").isNotNull())
+        .select(
+            *keys,
+            (begin + F.col("_at")).alias("seg_start"),
+            (begin + F.coalesce("_to", F.lit(1 << BIN_BITS))).alias("seg_end"),
+            "_target.*",
+        )
     )
 
 
-def _first_targets(segments: DataFrame) -> DataFrame:
-    """The best target of each segment over all chromosomes."""
-    target = F.struct("preference", "new_chrom", "offset", "sign")
-    return (
-        segments.groupBy("chrom", "_bin", "seg_start", "seg_end")
-        .agg(F.min(target).alias("_best"))
-        .select("chrom", "_bin", "seg_start", "seg_end", "_best.new_chrom", "_best.offset", "_best.sign")
-    )
+def lift_segments(blocks: DataFrame, by_target: bool = True) -> DataFrame:
+    """Segments with the best target, on each target chromosome or over all of them.
+
+    A source position ``p`` of a segment goes to ``offset + sign * p``; on the minus strand the
+    target counts from its far end. ``preference`` sorts by chain score, highest first, and then
+    by chain id.
+    """
+    pieces = _pieces(blocks)
+    if not by_target:
+        return _best_segments(pieces, ["chrom", "_bin"])
+    keyed = pieces.withColumn("tgt_chrom", F.col("_target.new_chrom"))
+    return _best_segments(keyed, ["chrom", "_bin", "tgt_chrom"]).drop("tgt_chrom")
 
 
 def liftover(
@@ -95,22 +152,23 @@ def liftover(
     segments may be broadcast; they are measured when it is not given.
     """
     columns = df.columns
-    segments = freeze(lift_segments(usable_blocks(blocks, allowed)), "segments", measured=True)
-    small = fits_broadcast(segments) if small is None else small
+    usable = usable_blocks(blocks, allowed)
+    by_chrom = freeze(lift_segments(usable), "segments", measured=True)
+    over_all = freeze(lift_segments(usable, by_target=False), "segments", measured=True)
+    small = fits_broadcast(by_chrom) if small is None else small
 
     def place(rows: DataFrame, end: str, targets: DataFrame, keys: list[str], output: str) -> DataFrame:
         position = F.col(end) - 1
         return (
-            lookup_join(rows.withColumn("_bin", _bin(position)), targets, keys, "inner", small)
+            lookup_join(rows.withColumn("_bin", _bin(position)), targets, keys, "inner", small, once=True)
             .where((F.col("seg_start") <= position) & (position < F.col("seg_end")))
             .withColumn(output, F.col("offset") + F.col("sign") * position + 1)
             .drop("_bin", "seg_start", "seg_end", "offset", "sign")
         )
 
     df = df.withColumn("chrom", strip_chr("chrom"))
-    with_start = place(df, "start", _first_targets(segments), ["chrom", "_bin"], "_a")
-    by_chrom = segments.drop("preference")
-    both = place(with_start, "end", by_chrom, ["chrom", "_bin", "new_chrom"], "_b")
+    with_start = place(df, "start", over_all.drop("preference"), ["chrom", "_bin"], "_a")
+    both = place(with_start, "end", by_chrom.drop("preference"), ["chrom", "_bin", "new_chrom"], "_b")
     drift = F.abs(F.abs(F.col("start") - F.col("end")) - F.abs(F.col("_a") - F.col("_b")))
     new = {
         "chrom": F.col("new_chrom"),

@@ -59,6 +59,80 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
+def tie_of(columns: Sequence[str]) -> Column:
+    """The last key of an order: a hash of the row's content, so it is the same in every pass."""
+    return F.xxhash64(*columns)
+
+
+def bin_borders(df: DataFrame, bins: int, by: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Where the equal-sized bins of each group end: ``by`` and ``_borders``, a sorted array.
+
+    A border is the struct ``key`` (the columns ``keys``) of the last row of a bin that is not the
+    last one. ``before`` and ``rows`` say how many rows of the group come before that key and have
+    it, ``total`` how many the group has; ``cut`` marks a key whose rows lie on both sides.
+
+    Only the keys are read: they are counted with partial counts, range-partitioned, and one number
+    per group and partition is summed up in order. Partitions that hold no border are not sorted.
+    """
+    counted = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_count"))
+    placed = freeze(
+        counted.repartitionByRange(*by, *keys).withColumn("_cell", F.spark_partition_id()), "counted"
+    )
+    cells = placed.groupBy(*by, "_cell").agg(F.sum("_count").alias("_size"))
+    last = F.transform(F.sequence(F.lit(1), F.lit(bins - 1)), lambda j: last_of_bin(j, F.col("_total"), bins))
+    begin, end = F.col("_before"), F.col("_before") + F.col("_size")
+    wanted = F.filter(F.array_distinct(last), lambda r: (r >= begin) & (r < end) & (r < F.col("_total") - 1))
+    offsets = freeze(
+        _offsets(cells, by, "_size")
+        .withColumn("_wanted", wanted)
+        .where(F.size("_wanted") > 0)
+        .select(*by, "_cell", "_before", "_total", "_wanted"),
+        "offsets",
+        measured=True,
+    )
+    so_far = Window.partitionBy(*by, "_cell").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row_end = F.col("_end")
+    hit = F.filter("_wanted", lambda r: (r < row_end) & (r >= row_end - F.col("_count")))
+    return freeze(
+        lookup_join(placed, offsets, [*by, "_cell"], "inner")
+        .withColumn("_end", F.col("_before") + F.sum("_count").over(so_far))
+        .withColumn("_hit", hit)
+        .where(F.size("_hit") > 0)
+        .groupBy(*by)
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(
+                        F.struct(*keys).alias("key"),
+                        (row_end - F.col("_count")).alias("before"),
+                        F.col("_count").alias("rows"),
+                        F.col("_total").alias("total"),
+                        F.exists("_hit", lambda r: r + 1 < row_end).alias("cut"),
+                    )
+                )
+            ).alias("_borders")
+        ),
+        "borders",
+        measured=True,
+    )
+
+
+def last_of_bin(number: Column, total: Column, bins: int) -> Column:
+    """Rank of the last row of a bin; the first ``total % bins`` bins hold one row more."""
+    return number * _div(total, F.lit(bins)) + F.least(number, total % bins) - 1
+
+
+def bin_of_rank(rank: Column, total: Column, bins: int) -> Column:
+    """Number (from 1) of the bin that holds a rank (from 0)."""
+    share, longer = _div(total, F.lit(bins)), total % bins
+    in_longer = longer * (share + 1)
+    return (
+        F.when(rank < in_longer, _div(rank, share + 1) + 1)
+        .otherwise(longer + _div(rank - in_longer, F.greatest(share, F.lit(1))) + 1)
+        .cast("int")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

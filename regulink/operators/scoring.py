@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,9 +18,10 @@ from regulink.fixed_values import (
 )
 from regulink.functions import clean_score
 from regulink.operators.joins import group_join, lookup_join
-from regulink.operators.ranking import exact_quantiles, number_rows
-from regulink.session import freeze
+from regulink.operators.ranking import bin_borders, bin_of_rank, exact_quantiles, last_of_bin, tie_of
+from regulink.session import freeze, same_sizes, sizes_of
 
+COPY_RUN = 100_000  # exact copies of a row that one task writes out
 FEATURE_KEYS = ("source_id", "feature")
 GENE_KEYS = ("variant_id", "source_id", "gene_name")
 
@@ -116,6 +117,62 @@ def _grid_pieces(grids: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     )
 
 
+def _with_group(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    data = df.where(F.col(value).isNotNull() & ~F.isnan(value))
+    for key in by:
+        data = data.where(F.col(key).isNotNull())
+    return data
+
+
+def fit_quantile_grids(
+    df: DataFrame, n: int, by: Sequence[str] = FEATURE_KEYS, value: str = "score"
+) -> DataFrame:
+    """The ``n``-point quantile grid of each group, as pieces of a function from value to position:
+    ``by, points, fitted_rows, pieces``. One row a group, so the table can be kept and applied later."""
+    grids = exact_quantiles(_with_group(df, value, by), value, [Fraction(i, n - 1) for i in range(n)], by)
+    piece = F.struct("_from", "_to", "_at", "_last")
+    pieces = _grid_pieces(grids, by, n).groupBy(*by).agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    return pieces.join(grids.select(*by, F.col("n").alias("fitted_rows")), list(by)).select(
+        *by, F.lit(n).alias("points"), "fitted_rows", "pieces"
+    )
+
+
+def apply_quantile_grids(
+    df: DataFrame,
+    grids: DataFrame,
+    by: Sequence[str] = FEATURE_KEYS,
+    value: str = "score",
+    output: str = "score_scaled",
+    on_unknown: str = "error",
+) -> DataFrame:
+    """Add each value's position on the grid of its group, from :func:`fit_quantile_grids`.
+
+    ``df`` is read once. It may be a slice of what the grids were fitted on, or new rows: a value
+    below the grid has position 0, one above it 1. Rows with a missing value or group key are left
+    out. A group without a grid is an error, or left out with ``on_unknown='drop'``.
+    """
+    grids = freeze(grids, "grid", measured=True) if sizes_of(grids) is None else grids
+    most = grids.agg(F.max("points")).first()[0] or 1
+    kept = grids.select(*by, F.col("points").alias("_points"), F.col("pieces").alias("_pieces"))
+    x, found = F.col(value), F.get("_pieces", F.col("_piece"))
+    start, end = found["_from"], found["_to"]
+    # of the last piece there is no end: its position is that of its start
+    between = (found["_last"] + (x - start) / (end - start)) / (F.col("_points") - 1)
+    position = F.when(F.col("_piece") < 0, 0.0).when((x == start) | end.isNull(), found["_at"]).otherwise(between)
+    # a grid of one value puts it at 0, what is above it at 1
+    position = F.when((F.size("_pieces") == 1) & (x > start), 1.0).otherwise(position)
+    met = lookup_join(_with_group(df, value, by), same_sizes(kept, grids), by, "inner" if on_unknown == "drop" else "left")
+    if on_unknown == "error":
+        named = F.concat_ws("/", *by)
+        missing = F.raise_error(F.concat(F.lit("no quantile grid for: "), named)).cast("double")
+        position = F.when(F.col("_pieces").isNull(), missing).otherwise(position)
+    return (
+        met.withColumn("_piece", _last_at_or_below("_pieces", "_from", x, most))
+        .withColumn(output, position)
+        .drop("_pieces", "_piece", "_points")
+    )
+
+
 def quantile_scale(
     df: DataFrame,
     n: int,
@@ -127,39 +184,35 @@ def quantile_scale(
 
     Rows with a missing value or group key take no part and are left out. A row meets one row, that
     of its group with the grid as an array. ``df`` is read twice, for the grids and for the rows,
-    which costs less than writing it.
+    which costs less than writing it; with kept grids it is read once.
     """
-    data = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    for key in by:
-        data = data.where(F.col(key).isNotNull())
-    grids = exact_quantiles(data, value, [Fraction(i, n - 1) for i in range(n)], by)
-    piece = F.struct("_from", "_to", "_at", "_last")
-    per_group = _grid_pieces(grids, by, n).groupBy(*by).agg(F.sort_array(F.collect_list(piece)).alias("_pieces"))
-    x, found = F.col(value), F.get("_pieces", F.col("_piece"))
-    start, end = found["_from"], found["_to"]
-    between = (found["_last"] + (x - start) / (end - start)) / F.lit(n - 1)
-    return (
-        lookup_join(data, freeze(per_group, "grid", measured=True), by, "inner")
-        .withColumn("_piece", _last_at_or_below("_pieces", "_from", x, n))
-        .withColumn(output, F.when(x == start, found["_at"]).otherwise(between))
-        .drop("_pieces", "_piece")
-    )
+    grids = freeze(fit_quantile_grids(df, n, by, value), "grid", measured=True)
+    return apply_quantile_grids(df, grids, by, value, output, "drop")
 
 
-def _last_at_or_below(entries: str, field: str, x: Column, most: int) -> Column:
-    """Index of the last of at most ``most`` sorted entries whose field is not above ``x``, or -1.
+def _halved(entries: str, most: int, passed: Callable[[Column], Column]) -> Column:
+    """How many of at most ``most`` sorted entries ``passed`` is true of: the first ones.
 
-    It is found by halving, so a row looks at few entries however many there are.
+    The number is found by halving, so a row looks at few entries however many there are.
     """
     steps = [1 << k for k in reversed(range(most.bit_length()))]
-    below = F.aggregate(
+    return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, s: F.when(
-            (at + s <= F.size(entries)) & (F.get(entries, at + s - 1)[field] <= x), at + s
+            (at + s <= F.size(entries)) & passed(F.get(entries, at + s - 1)), at + s
         ).otherwise(at),
     )
-    return below - 1
+
+
+def _last_at_or_below(entries: str, field: str, x: Column, most: int) -> Column:
+    """Index of the last of the sorted entries whose field is not above ``x``, or -1."""
+    return _halved(entries, most, lambda entry: entry[field] <= x) - 1
+
+
+def _number_below(entries: str, field: str, x: Column, most: int) -> Column:
+    """How many of the sorted entries have a field below ``x``; 0 without entries."""
+    return F.coalesce(_halved(entries, most, lambda entry: entry[field] < x), F.lit(0))
 
 
 def quantile_bins(
@@ -172,22 +225,63 @@ def quantile_bins(
     """Add the number (from 1) of the equal-sized bin a row falls in, in ``order`` within its group.
 
     When the rows do not divide evenly the first bins hold one more. Rows with a missing group key
-    are left out.
+    are left out. Rows that are equal in ``order`` are taken by a hash of their content.
+
+    The rows are neither sorted nor written. A first pass reads the keys and finds where the bins
+    end; in a second one a row meets the borders of its group and finds its bin by halving. Only
+    exact copies of one row can lie on both sides of a border: these are counted, and dealt out by
+    number.
     """
+    columns, by = df.columns, list(by)
     data = df
     for key in by:
         data = data.where(F.col(key).isNotNull())
-    share = F.expr(f"_total div {bins}")
-    longer = F.expr(f"_total % {bins}")
-    in_longer = longer * (share + 1)
-    rest = F.col("_rank") - in_longer
-    number = F.when(
-        F.col("_rank") < in_longer, F.floor(F.col("_rank") / (share + 1)) + 1
-    ).otherwise(longer + F.floor(F.try_divide(rest, share)) + 1)
+    if bins == 1:
+        return data.withColumn(output, F.lit(1))
+    data = data.withColumn("_tie", tie_of(columns))
+    keys = [*order, "_tie"]
+    borders = bin_borders(data.select(*dict.fromkeys([*by, *keys])), bins, by, keys)
+    own = F.struct(*keys)
+    met = lookup_join(data, borders, by, "left").withColumn("_passed", _number_below("_borders", "key", own, bins))
+    at_border = F.get("_borders", F.col("_passed"))
+    on_cut = F.coalesce((at_border["key"] <= own) & at_border["cut"], F.lit(False))
+    # in a group of fewer rows than bins every row but the last ends a bin, so this holds as well
+    clear = met.where(~on_cut).select(*columns, (F.col("_passed") + 1).alias(output))
+    cut = borders.where(F.exists("_borders", lambda b: b["cut"]))
+    if cut.isEmpty():
+        return clear
+    place = F.struct(at_border["before"].alias("before"), at_border["total"].alias("total"))
+    copies = met.where(on_cut).groupBy(*columns, place.alias("_place")).agg(F.count(F.lit(1)).alias("_copies"))
+    return clear.unionByName(_deal_copies(copies, by, columns, bins, output))
+
+
+def _deal_copies(copies: DataFrame, by: Sequence[str], columns: Sequence[str], bins: int, output: str) -> DataFrame:
+    """Rows that are one key of a border, counted as ``_copies``: each bin gets its number of them.
+
+    Different rows can share a key only if their hashes collide; they then follow one another.
+    """
+    earlier = Window.partitionBy("_place", *by).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("_place.before") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
+    total = F.col("_place.total")
+    spans = (
+        copies.withColumn("_begin", begin)
+        .withColumn("_end", F.col("_begin") + F.col("_copies"))
+        .withColumn(
+            output,
+            F.explode(F.sequence(bin_of_rank(F.col("_begin"), total, bins), bin_of_rank(F.col("_end") - 1, total, bins))),
+        )
+    )
+    first, last = last_of_bin(F.col(output) - 1, total, bins) + 1, last_of_bin(F.col(output), total, bins) + 1
+    number = F.least(F.col("_end"), last) - F.greatest(F.col("_begin"), first)
+    # many copies come out of several tasks
+    runs = spans.withColumn("_number", number).withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_number - 1) div {COPY_RUN}")))
+    )
+    size = F.least(F.lit(COPY_RUN).cast("long"), F.col("_number") - F.col("_run") * COPY_RUN)
     return (
-        number_rows(data, by, order)
-        .withColumn(output, number.cast("int"))
-        .drop("_rank", "_total")
+        runs.repartition("_run", output)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+        .select(*columns, F.col(output).cast("int").alias(output))
     )
 
 

@@ -10,7 +10,14 @@ from regulink.plans.links import (
 )
 from regulink.plans.quality import coverage_check, distance_check, nearest_check
 from regulink.plans.qtl import build_qtl, write_qtl
-from regulink.plans.scores import prepare_evidence, score_v1, score_v2, write_scores
+from regulink.plans.scores import (
+    fit_evidence_grids,
+    prepare_evidence,
+    prepare_slice,
+    score_v1,
+    score_v2,
+    write_scores,
+)
 
 __all__ = [
     "build_biofeature_map",
@@ -21,9 +28,11 @@ __all__ = [
     "build_qtl",
     "coverage_check",
     "distance_check",
+    "fit_evidence_grids",
     "gene_tss",
     "nearest_check",
     "prepare_evidence",
+    "prepare_slice",
     "score_v1",
     "score_v2",
     "write_qtl",

@@ -11,8 +11,10 @@ from regulink.fixed_values import QTL_TYPES
 from regulink.operators.intervals import require
 from regulink.operators.scoring import (
     FEATURE_KEYS,
+    apply_quantile_grids,
     evidence_score,
     feature_aggregate,
+    fit_quantile_grids,
     melt_scores,
     minmax,
     per_source_scores,
@@ -35,6 +37,31 @@ def prepare_evidence(
     return quantile_scale(require(wipe_consequence_feature(scored), "score"), n_quantiles, by)
 
 
+def fit_evidence_grids(
+    evidence: DataFrame,
+    consequence_weights: DataFrame,
+    n_quantiles: int,
+    by: Sequence[str] = FEATURE_KEYS,
+    qtl_types: Sequence[str] = tuple(QTL_TYPES),
+) -> DataFrame:
+    """Quantile grids of all evidence, for :func:`~regulink.sources.write_grids`."""
+    scored = evidence_score(evidence, consequence_weights, qtl_types)
+    return fit_quantile_grids(wipe_consequence_feature(scored), n_quantiles, by)
+
+
+def prepare_slice(
+    evidence: DataFrame,
+    consequence_weights: DataFrame,
+    grids: DataFrame,
+    by: Sequence[str] = FEATURE_KEYS,
+    qtl_types: Sequence[str] = tuple(QTL_TYPES),
+) -> DataFrame:
+    """What :func:`prepare_evidence` gives, for a slice of the evidence and known grids; the slice is
+    read once."""
+    scored = evidence_score(evidence, consequence_weights, qtl_types)
+    return apply_quantile_grids(require(wipe_consequence_feature(scored), "score"), grids, by)
+
+
 def score_v2(
     evidence: DataFrame,
     consequence_weights: DataFrame,

@@ -11,16 +11,20 @@ from regulink.sources.readers import (
     read_feature_remap_tsv,
     read_gene_list,
     read_genes,
+    read_grids,
     read_gtf,
     read_intervals,
     read_lines,
     read_links_csv,
+    read_region,
     read_study_metadata,
     read_sumstats,
     read_vcf_sites,
 )
 from regulink.sources.writers import (
+    add_partitioned,
     dataset_path,
+    write_grids,
     write_jsonl,
     write_partitioned,
     write_sorted,
@@ -28,6 +32,7 @@ from regulink.sources.writers import (
 )
 
 __all__ = [
+    "add_partitioned",
     "dataset_path",
     "parse_chain",
     "parse_gtf",
@@ -41,14 +46,17 @@ __all__ = [
     "read_feature_remap_tsv",
     "read_gene_list",
     "read_genes",
+    "read_grids",
     "read_gtf",
     "read_intervals",
     "read_lines",
     "read_links_csv",
+    "read_region",
     "read_study_metadata",
     "read_sumstats",
     "read_vcf_sites",
     "vcf_to_bed",
+    "write_grids",
     "write_jsonl",
     "write_partitioned",
     "write_sorted",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from regulink import schemas
 from regulink.functions import path_tag, split_part
 from regulink.sources.parsers import parse_chain, parse_gtf, parse_vcf_sites
+from regulink.sources.writers import INTERVAL_ORDER, manifest_path
 
 Paths = str | Sequence[str]
 
@@ -151,3 +152,46 @@ def read_consequences(
         F.col(f"`{term_col}`").alias("term"),
         F.col(f"`{score_col}`").try_cast("double").alias("weight"),
     )
+
+
+def read_region(
+    spark: SparkSession,
+    path: str,
+    chrom: str,
+    start: int | None = None,
+    end: int | None = None,
+    order: Sequence[str] = INTERVAL_ORDER,
+) -> DataFrame:
+    """Rows of a table of ``write_sorted`` that touch ``start .. end`` of a chromosome.
+
+    The manifest says which files can hold them, and only these are opened. A table without rows has
+    no manifest and no such rows.
+    """
+    place, last = order[1], order[-1]
+    root = path.rstrip("/")
+    whole = spark.read.parquet(root)
+    wanted = (F.col(order[0]) == chrom,) + ((F.col(last) >= start,) if start is not None else ())
+    wanted += (F.col(place) <= end,) if end is not None else ()
+    if whole.isEmpty():
+        return whole
+    listed = spark.read.parquet(manifest_path(root)).where(F.col("part") == chrom)
+    if start is not None:
+        listed = listed.where(F.col("farthest") >= start)
+    if end is not None:
+        listed = listed.where(F.col("first") <= end)
+    files = [f"{root}/{r['file']}" for r in listed.select("file").distinct().collect()]
+    rows = spark.read.schema(whole.schema).parquet(*files) if files else whole.where(F.lit(False))
+    for condition in wanted:
+        rows = rows.where(condition)
+    return rows
+
+
+def read_grids(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """Quantile grids of a version, by default the last one in the order of names."""
+    table = spark.read.parquet(root)
+    if version is None:
+        version = table.agg(F.max(F.col("version").cast("string"))).first()[0]
+    found = table.where(F.col("version").cast("string") == version).drop("version")
+    if version is None or found.isEmpty():
+        raise ValueError(f"no quantile grids of version {version} at {root}")
+    return found

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regulink.operators.joins import salt_of
+from regulink.session import row_bytes, sizes_of
 
 INTERVAL_ORDER = ("chrom", "start", "end")
 POSITION_ORDER = ("chrom", "pos")
 QTL_PARTITIONS = ("type", "study_id", "bio_feature")
+FILE_BYTES = 256 * 1024 * 1024
+PACKED = 4  # bytes of a row in memory for one in a file
+MANIFEST_FILES = 100_000  # files that one file of the manifest lists
 _SPREAD = 1 << 16
 
 
@@ -19,6 +25,10 @@ def dataset_path(root: str, data_type: str, exp_type: str, source: str, version:
     return "/".join([root.rstrip("/"), data_type, exp_type, source, version, "data.parquet"])
 
 
+def manifest_path(path: str) -> str:
+    return path.rstrip("/") + ".manifest"
+
+
 def range_sorted(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition by ``order`` and sort inside partitions.
 
@@ -36,14 +46,51 @@ def range_sorted(df: DataFrame, order: Sequence[str], partitions: int | None = N
     return ranged.sortWithinPartitions(*keys).select(*columns)
 
 
+def partitions_for(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` a table makes, by its measured size.
+
+    The size is that of rows in memory, which is several times that of the compressed file; a table
+    measured when it was frozen is not read, others are, in one pass that returns one number.
+    """
+    size = (sizes_of(df) or df.agg(F.lit(0), F.sum(row_bytes(df))).first())[1] or 0
+    return max(1, math.ceil(size / (file_bytes * PACKED)))
+
+
 def write_sorted(
     df: DataFrame,
     path: str,
     order: Sequence[str] = INTERVAL_ORDER,
     partitions: int | None = None,
 ) -> None:
-    """Position-sorted Parquet, so that readers can skip row groups by position."""
-    range_sorted(df, order, partitions).write.parquet(path, mode="overwrite", compression="snappy")
+    """Position-sorted Parquet, so that readers can skip row groups by position.
+
+    The number of files follows the measured size unless it is given. Beside the files lies a
+    manifest of the keys each holds, for :func:`~regulink.sources.read_region`.
+    """
+    number = partitions_for(df) if partitions is None else partitions
+    range_sorted(df, order, number).write.parquet(path, mode="overwrite", compression="snappy")
+    write_manifest(df.sparkSession, path, order)
+
+
+def write_manifest(spark: SparkSession, path: str, order: Sequence[str] = INTERVAL_ORDER) -> None:
+    """For each file and value of the first sort column: rows, the first and last place, and the
+    farthest end of what starts there. Only the sort columns are read."""
+    first, place, end = order[0], order[1], order[-1]
+    rows = spark.read.parquet(path)
+    if rows.isEmpty():
+        return
+    (
+        rows.groupBy(F.col("_metadata.file_name").alias("file"), F.col(first).alias("part"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min(place).cast("long").alias("first"),
+            F.max(place).cast("long").alias("last"),
+            F.max(F.greatest(place, end)).cast("long").alias("farthest"),
+        )
+        .repartitionByRange(1 + len(rows.inputFiles()) // MANIFEST_FILES, "part", "first")
+        .sortWithinPartitions("part", "first")
+        .write.parquet(manifest_path(path), mode="overwrite")
+    )
 
 
 def write_partitioned(
@@ -55,13 +102,46 @@ def write_partitioned(
 ) -> None:
     """Parquet in one directory per value of ``parts``, position-sorted inside.
 
-    The range starts with the directory columns, so a task writes few directories.
+    The range starts with the directory columns, so a task writes few directories. Everything that
+    was there before is replaced; to add a study see :func:`add_partitioned`.
     """
-    range_sorted(df, [*parts, *order], partitions).write.partitionBy(*parts).parquet(
+    number = partitions_for(df) if partitions is None else partitions
+    range_sorted(df, [*parts, *order], number).write.partitionBy(*parts).parquet(
         path, mode="overwrite", compression="snappy"
     )
 
 
+def add_partitioned(
+    df: DataFrame,
+    path: str,
+    parts: Sequence[str] = QTL_PARTITIONS,
+    order: Sequence[str] = POSITION_ORDER,
+    partitions: int | None = None,
+) -> None:
+    """Add to a table of :func:`write_partitioned`, or start one.
+
+    Only directories that ``df`` has rows for are replaced, as a whole and when all tasks are done;
+    all others keep their files. So a job that fails changes nothing, and one that is run again gives
+    the same rows. An empty ``df`` changes nothing.
+    """
+    number = partitions_for(df) if partitions is None else partitions
+    (
+        range_sorted(df, [*parts, *order], number)
+        .write.partitionBy(*parts)
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path, mode="overwrite", compression="snappy")
+    )
+
+
+def write_grids(grids: DataFrame, root: str, version: str) -> None:
+    """Keep quantile grids as one version of the table at ``root``; a version is replaced as a whole."""
+    if not version or "/" in version or "=" in version:
+        raise ValueError("a version is a plain name")
+    grids.withColumn("version", F.lit(version)).repartition(1, "version").write.partitionBy("version").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(root, mode="overwrite")
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """Headered, compressed TSV."""
     df.write.csv(path, mode="overwrite", sep="\t", header=True, compression="gzip")

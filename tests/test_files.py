@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from regulink import operators as O
 from regulink import plans as P
 from regulink import sources as S
+from regulink.session import freeze
 
 
 def write(path, text, compress=False):
@@ -237,3 +238,98 @@ def test_scratch_tables_are_deleted_when_done(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(files[0]).count()
+
+
+def _qtl(spark, studies, rows_each=50):
+    data = [("eqtl", s, f, "1", k * 10, f"{s}-{k}") for s in studies for f in ("A", "B") for k in range(rows_each)]
+    return spark.createDataFrame(data, "type string, study_id string, bio_feature string, chrom string, pos long, gene_id string")
+
+
+def _files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_adding_a_study_leaves_the_others_alone(spark, tmp_path):
+    path = tmp_path / "qtl"
+    S.add_partitioned(_qtl(spark, ["one", "two"]), str(path))
+    before = _files(path)
+    S.add_partitioned(_qtl(spark, ["three"]), str(path))
+    after = _files(path)
+    assert {k: after[k] for k in before} == before and any("study_id=three" in k for k in after)
+    whole = rows(spark.read.parquet(str(path)))
+    S.add_partitioned(_qtl(spark, ["three"]), str(path))  # run again
+    assert rows(spark.read.parquet(str(path))) == whole and len(whole) == 300
+    assert {k: v for k, v in _files(path).items() if k in before} == before
+    S.add_partitioned(_qtl(spark, ["two"], 7), str(path))  # a new release of one study
+    counts = rows(spark.read.parquet(str(path)).groupBy("study_id").count())
+    assert counts == sorted([("one", 100), ("three", 100), ("two", 14)], key=repr)
+    S.add_partitioned(_qtl(spark, ["two"]).limit(0), str(path))
+    assert rows(spark.read.parquet(str(path)).groupBy("study_id").count()) == counts
+    # the same job for the plan that writes QTL tables
+    S.write_partitioned(_qtl(spark, ["one"]), str(path))
+    assert rows(spark.read.parquet(str(path)).groupBy("study_id").count()) == [("one", 100)]
+
+
+def test_a_failed_addition_changes_nothing(spark, tmp_path):
+    path = tmp_path / "qtl"
+    S.add_partitioned(_qtl(spark, ["one"]), str(path))
+    before = _files(path)
+    broken = _qtl(spark, ["one", "two"]).withColumn("pos", F.when(F.col("pos") < 400, F.col("pos")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+    with pytest.raises(Exception, match="broken"):
+        S.add_partitioned(broken, str(path), partitions=3)
+    assert {k: v for k, v in _files(path).items() if "_temporary" not in k and ".spark-staging" not in k} == before
+
+
+def _intervals(spark, n):
+    return spark.range(n).selectExpr("cast(id % 3 + 1 as string) AS chrom", "id * 7 % 100000 AS start", "id * 7 % 100000 + id % 50 AS end", "id AS gene")
+
+
+def test_a_region_opens_only_matching_files(spark, tmp_path):
+    path = str(tmp_path / "links")
+    df = _intervals(spark, 20_000)
+    S.write_sorted(df, path, partitions=24)
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) > 15
+    for chrom, start, end in (("2", 5000, 6000), ("1", None, 300), ("3", 99_990, None), ("2", 50, 50), ("1", None, None), ("9", 1, 2)):
+        region = S.read_region(spark, path, chrom, start, end)
+        kept = df.where(F.col("chrom") == chrom)
+        kept = kept if start is None else kept.where(F.col("end") >= start)
+        kept = kept if end is None else kept.where(F.col("start") <= end)
+        assert rows(region, *df.columns) == rows(kept)
+        opened = set(region.inputFiles()) if kept.count() else set()
+        holding = {r[0] for r in spark.read.parquet(path).join(kept, df.columns, "left_semi").select(F.input_file_name()).distinct().collect()}
+        assert holding <= opened and len(opened) <= len(holding) + 2
+
+
+def test_region_of_an_empty_table_and_by_position(spark, tmp_path):
+    path = str(tmp_path / "empty")
+    S.write_sorted(_intervals(spark, 0), path)
+    assert S.read_region(spark, path, "1", 1, 5).count() == 0
+    path = str(tmp_path / "sites")
+    sites = spark.range(500).selectExpr("'1' AS chrom", "id * 3 AS pos")
+    S.write_sorted(sites, path, ["chrom", "pos"], 5)
+    assert rows(S.read_region(spark, path, "1", 10, 20, ["chrom", "pos"]), "pos") == [(12,), (15,), (18,)]
+
+
+def test_number_of_files_follows_the_size(spark, tmp_path):
+    from regulink.sources.writers import partitions_for
+
+    df = _intervals(spark, 10_000)
+    assert partitions_for(df) == 1
+    assert partitions_for(df, 10_000) == 2 * partitions_for(df.where("gene % 2 = 0"), 10_000) == 10
+    frozen = freeze(df, measured=True)
+    assert partitions_for(frozen, 10_000) == 10
+
+
+def test_grids_are_kept_by_version(spark, tmp_path):
+    root = str(tmp_path / "grids")
+    df = spark.range(300).selectExpr("'s' AS source_id", "concat('f', id % 3) AS feature", "cast(id as double) AS score")
+    first, second = O.fit_quantile_grids(df, 10), O.fit_quantile_grids(df.withColumn("score", F.col("score") * 2), 5)
+    S.write_grids(first, root, "v1")
+    S.write_grids(second, root, "v2")
+    S.write_grids(second, root, "v2")
+    assert rows(S.read_grids(spark, root, "v1")) == rows(first)
+    assert rows(S.read_grids(spark, root)) == rows(second)
+    for version in ("none", None):
+        with pytest.raises(ValueError):
+            S.read_grids(spark, root, version) if version else S.write_grids(first, root, "a/b")

@@ -41,6 +41,23 @@ def test_skew_join_spreads_the_hot_key(spark):
     assert len(sizes) > 3
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_skew_join_computes_its_left_side_once(spark, how):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    left = spark.range(3000).selectExpr("IF(id < 2900, 0, id) AS k", "id AS v").mapInArrow(count, "k long, v long")
+    right = spark.range(0, 3000, 2).selectExpr("id AS k", "id AS w")
+    joined = skew_join(left, right, ["k"], how, once=True)
+    got = rows(joined)
+    assert seen.value == 3000
+    assert got == rows(left.join(right, "k", how).select(*joined.columns))
+
+
 def test_lookup_join_is_the_same_when_too_large(spark, nothing_small):
     df = hot_frame(spark)
     other = spark.createDataFrame([("hot", "a"), ("k1", "c")], "k string, w string")

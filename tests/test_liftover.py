@@ -99,3 +99,37 @@ def test_parse_chain(spark):
         ],
         key=repr,
     )
+
+
+def test_work_does_not_grow_with_overlap(spark):
+    """Ten thousand chains over one bin: nodes, not pairs of segments and chains."""
+    from regulink.operators import liftover as module
+
+    rng = random.Random(5)
+    blocks = []
+    for chain_id in range(10_000):
+        a, b = sorted(rng.sample(range(16_384), 2))
+        blocks.append((chain_id, rng.randrange(5000), "1", a, b, rng.choice(["chr1", "chr2"]), 10**6, rng.choice("+-"), 50 + a))
+    df = spark.createDataFrame(blocks, CHAIN_BLOCKS)
+    pieces = module._pieces(module.usable_blocks(df))
+    assert pieces.select(module.F.size(module._nodes()).alias("n")).agg({"n": "max"}).first()[0] <= 2 * module.BIN_BITS
+    for by_target in (True, False):
+        segments = module.lift_segments(module.usable_blocks(df), by_target).collect()
+        assert len(segments) <= 2 * len(blocks)
+        for place in rng.sample(range(16_384), 60):
+            for chrom in ("1", "2") if by_target else (None,):
+                over = [(-s, i, t[3:], o - a if d == "+" else 10**6 - 1 - (o - a)) for i, s, _, a, b, t, _, d, o in blocks if a <= place < b and chrom in (None, t[3:])]
+                held = [s for s in segments if s["seg_start"] <= place < s["seg_end"] and chrom in (None, s["new_chrom"])]
+                assert [(s["preference"]["minus_score"], s["preference"]["chain_id"], s["new_chrom"], s["offset"]) for s in held] == ([min(over)] if over else [])
+
+
+def test_nodes_make_up_the_piece(spark):
+    from regulink.operators import liftover as module
+
+    size = 1 << module.BIN_BITS
+    rng = random.Random(1)
+    ends = [(0, size), (0, 1), (size - 1, size), (1, size - 1), *(tuple(sorted(rng.sample(range(size + 1), 2))) for _ in range(60))]
+    df = spark.createDataFrame(ends, "_from int, _to int").select("_from", "_to", module._nodes().alias("nodes"))
+    for a, b, nodes in df.collect():
+        held = sorted(p for n in nodes for p in range(n["node"] << n["level"], (n["node"] + 1) << n["level"]))
+        assert held == list(range(a, b))

@@ -1,5 +1,8 @@
 """Scores, scaling and look-up."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -76,6 +79,36 @@ def test_quantile_scale_is_the_same_when_too_large(spark, nothing_small):
         assert r["score_scaled"] == pytest.approx(grid_position(r["score"], values, 10), abs=1e-9)
 
 
+@pytest.mark.parametrize("n", [2, 10, 100])
+def test_kept_grids_score_slices_as_the_whole(spark, n):
+    rng = random.Random(n)
+    data = [("s", f"f{k % 4}", rng.choice([float(rng.randrange(9)), rng.random(), None, float("nan")]), k) for k in range(1500)]
+    df = spark.createDataFrame([*data, (None, "f1", 1.0, -1), ("s", "same", 3.0, -2)], "source_id string, feature string, score double, k long")
+    whole = rows(O.quantile_scale(df, n), "k", "score_scaled")
+    grids = O.fit_quantile_grids(df, n)
+    parts = [O.apply_quantile_grids(df.where(F.col("k") % 3 == j), grids) for j in range(-2, 3)]
+    assert sorted({r for p in parts for r in rows(p, "k", "score_scaled")}, key=repr) == whole
+
+
+def test_values_outside_kept_grids(spark):
+    schema = "source_id string, feature string, score double"
+    grids = O.fit_quantile_grids(spark.createDataFrame([("s", "f", float(v)) for v in range(11)] + [("s", "one", 5.0)], schema), 11)
+    new = spark.createDataFrame([("s", "f", v) for v in (-3.0, 0.0, 2.5, 10.0, 99.0)] + [("s", "one", v) for v in (1.0, 5.0, 9.0)], schema)
+    got = rows(O.apply_quantile_grids(new, grids), "feature", "score", "score_scaled")
+    assert got == sorted([("f", -3.0, 0.0), ("f", 0.0, 0.0), ("f", 2.5, 0.25), ("f", 10.0, 1.0), ("f", 99.0, 1.0), ("one", 1.0, 0.0), ("one", 5.0, 0.0), ("one", 9.0, 1.0)], key=repr)
+    other = spark.createDataFrame([("s", "new", 1.0), ("s", "f", None)], schema)
+    assert O.apply_quantile_grids(other, grids, on_unknown="drop").count() == 0
+    with pytest.raises(Exception, match="no quantile grid for: s/new"):
+        O.apply_quantile_grids(other, grids).collect()
+
+
+def test_applying_grids_reads_the_slice_once(spark):
+    df = spark.range(100).selectExpr("'s' AS source_id", "'f' AS feature", "cast(id as double) AS score")
+    grids = O.fit_quantile_grids(df, 10)
+    plan = O.apply_quantile_grids(df, grids)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+
+
 def test_quantile_bins_with_fewer_rows_than_bins(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(3)], "g string, score double")
     assert rows(O.quantile_bins(df, 10, ["g"]), "score", "bin") == [(0.0, 1), (1.0, 2), (2.0, 3)]
@@ -87,6 +120,49 @@ def test_quantile_bins_splits_copies_evenly(spark):
     assert rows(counts) == sorted([(b, 10) for b in range(1, 11)], key=repr)
 
 
+def bins_of(values, bins):
+    """Bin of each place of a sorted list."""
+    share, longer = divmod(len(values), bins)
+    sizes = [share + (b < longer) for b in range(bins)]
+    return [b + 1 for b, size in enumerate(sizes) for _ in range(size)]
+
+
+@pytest.mark.parametrize("bins", [1, 2, 7, 10, 40])
+def test_quantile_bins_equal_sorting(spark, bins):
+    """Nulls, NaN, ties in the order, exact copies on and off borders, groups of all sizes."""
+    rng = random.Random(bins)
+    nan = float("nan")
+    data = [("hot", rng.choice([None, nan, -0.0, 1.5, 2.0]), rng.choice([None, "a", "b"]), k % 3) for k in range(900)]
+    data += [("copies", 1.0, "same", 0)] * 333 + [("two", 1.0, "a", 0)] * 5 + [("two", 1.0, "a", 1)] * 4
+    data += [("one", None, None, 5), (None, 1.0, "left out", 5)] + [("small", float(k), "x", k) for k in range(6)]
+    df = spark.createDataFrame(data, "g string, v double, w string, _bin int").repartition(6)
+    got = O.quantile_bins(df, bins, ["g"], ["v", "w"]).collect()
+    assert sorted(map(repr, (tuple(r)[:4] for r in got))) == sorted(repr(r) for r in data if r[0] is not None)
+
+    def place(r):
+        v, w = r["v"], r["w"]
+        return ((0, 0) if v is None else (2, 0) if math.isnan(v) else (1, v), (0, "") if w is None else (1, w))
+
+    for g in ("hot", "copies", "two", "one", "small"):
+        ordered = sorted((place(r), r["bin"]) for r in got if r["g"] == g)
+        assert [b for _, b in ordered] == bins_of(ordered, bins)
+
+
+def test_quantile_bins_write_keys_only(spark, monkeypatch):
+    """No table on the way holds all columns, and the plan neither sorts nor exchanges the rows."""
+    from regulink.operators import ranking
+
+    written = []
+    freeze = ranking.freeze
+    monkeypatch.setattr(ranking, "freeze", lambda df, *a, **k: written.append(df.columns) or freeze(df, *a, **k))
+    df = spark.range(2000).selectExpr("'g' || id % 3 AS g", "id % 50 AS v", "id AS a", "'text' AS wide")
+    binned = O.quantile_bins(df, 10, ["g"], ["v"])
+    assert written and not any({"a", "wide"} & set(columns) for columns in written)
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "hashpartitioning" not in plan
+    assert rows(binned.groupBy("g", "bin").count().select("count").distinct()) in ([(66,), (67,)], [(67,), (66,)])
+
+
 def test_evidence_score_by_type(spark):
     weights = O.weights_frame(spark, {"missense_variant": 0.7, "unscored": None})
     df = evidence(

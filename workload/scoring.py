@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regulink import operators as O
 from regulink.fixed_values import CONSEQUENCE_WEIGHTS_V1
-from regulink.plans import prepare_evidence, score_v1, score_v2
+from regulink.plans import fit_evidence_grids, prepare_evidence, prepare_slice, score_v1, score_v2
+from regulink.session import freeze, scratch_path
+from regulink.sources import read_grids, write_grids
 from workload.columns import SCORE_SQL, SIGNIFICANT
 from workload.joins import DELTAS
 from workload.registry import query
@@ -84,6 +88,83 @@ def describe_distance(d: Data) -> DataFrame:
     return rounded_summary(O.describe_distance(O.link_distances(d.view("v_intervals"), d.genes())))
 
 
+SOURCES = ["andersson2014", "gtex_v7", "javierre2016", "thurman2012", "vep"]
+POINTS = (0.25, 0.5, 0.68, 0.75, 0.9, 0.95)
+
+
+def _near_ranks(df: DataFrame, col: str, summary: DataFrame, error: float) -> list:
+    """For each quantile of a summary, whether its true rank is at most ``error`` away from the one
+    asked for."""
+    found = []
+    for p in POINTS:
+        point = summary.select(f"p{round(p * 100)}").scalar()
+        below, up_to = (F.avg((c).cast("double")) for c in (F.col(col) < point, F.col(col) <= point))
+        found.append(((below <= p + error) & (up_to >= p - error)).alias(f"p{round(p * 100)}_near"))
+    return found
+
+
+SKETCHED_COLUMNS = f"""count(delta) AS count, round(avg(delta), 4) AS mean, round(stddev_samp(delta), 4) AS std,
+ min(delta)::DOUBLE AS min, max(delta)::DOUBLE AS max, {", ".join(f"TRUE AS p{round(p * 100)}_near" for p in POINTS)}"""
+
+
+@query("a14_describe_distance_sketch", f"{DELTAS} SELECT {SKETCHED_COLUMNS} FROM deltas")
+def describe_distance_sketch(d: Data) -> DataFrame:
+    """Exact moments and quantiles from one pass; ranks are checked with twice the stated error."""
+    deltas = freeze(O.link_distances(d.view("v_intervals"), d.genes()).select("delta"), "deltas")
+    summary = freeze(O.describe_distance(deltas, error=0.005), "summary")
+    near = deltas.agg(*_near_ranks(deltas, "delta", summary, 0.01))
+    kept = summary.select(
+        "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
+        F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max"),
+    )
+    near = freeze(near, "near")
+    return kept.select("*", *[near.select(c).scalar().alias(c) for c in near.columns])
+
+
+@query(
+    "a14_merged_slices",
+    f"""WITH per_row AS (SELECT variant_id, feature, coalesce(interval_score, qtl_pval)::DOUBLE AS x FROM v_evidence)
+SELECT feature, count(*) AS rows, count(x) AS count, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std,
+       min(x) AS min, max(x) AS max, TRUE AS variants_near,
+       {", ".join(f"TRUE AS p{round(p * 100)}_near" for p in POINTS)} FROM per_row GROUP BY feature""",
+)
+def merged_slices(d: Data) -> DataFrame:
+    """Summaries of slices, stored one by one and merged without the data."""
+    rows = d.view("v_evidence").select(
+        "variant_id", "feature", "source_id", F.coalesce("interval_score", "qtl_pval").cast("double").alias("x")
+    )
+    path = scratch_path(d.spark, "slices")
+    for source in SOURCES:
+        part = O.summarise_slices(rows.where(F.col("source_id") == source), ["source_id", "feature"], "x", ["variant_id"])
+        part.write.parquet(path, mode="append")
+    merged = freeze(O.merge_slices(d.spark.read.parquet(path), ["feature"]), "merged")
+    described = O.describe_slices(merged, POINTS)
+    exact = rows.join(F.broadcast(described.select("feature", *[f"p{round(p * 100)}" for p in POINTS])), "feature")
+    near = []
+    for p in POINTS:
+        name, error = f"p{round(p * 100)}", 2 * O.rank_error()
+        below, up_to = (F.coalesce(F.avg(c.cast("double")), F.lit(p)) for c in (F.col("x") < F.col(name), F.col("x") <= F.col(name)))
+        near.append(((below <= p + error) & (up_to >= p - error)).alias(f"{name}_near"))
+    checked = exact.groupBy("feature").agg(F.count_distinct("variant_id").alias("_variants"), *near)
+    close = F.abs(F.col("variant_id") - F.col("_variants")) <= 4 * O.distinct_error() * F.col("_variants") + 1
+    return described.join(checked, "feature").select(
+        "feature", "rows", "count", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"), "min", "max",
+        close.alias("variants_near"), *[f"p{round(p * 100)}_near" for p in POINTS],
+    )
+
+
+@query(
+    "a10_slice_stats_sketch",
+    "SELECT count(*) AS rows, max(position) - min(position) AS size_bp, TRUE AS variants_near FROM v_evidence",
+)
+def slice_stats_sketch(d: Data) -> DataFrame:
+    """The distinct count by a sketch, within four standard errors of the exact one."""
+    rows = d.view("v_evidence").select("position", "variant_id")
+    exact = rows.select("variant_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
+    near = F.abs(F.col("variants") - exact) <= 4 * O.distinct_error(12) * exact + 1
+    return O.slice_stats(rows, lg_k=12).select("rows", "size_bp", near.alias("variants_near"))
+
+
 @query("a15_distance_histogram", HISTOGRAM_SQL)
 def distance_histogram(d: Data) -> DataFrame:
     return rounded_bins(O.distance_histogram(O.link_distances(d.view("v_intervals"), d.genes())))
@@ -142,6 +223,19 @@ def quantile_scale_100(d: Data) -> DataFrame:
     return _scaled(d, 100)
 
 
+@query("w1_quantile_scale_slices", f"{scaled_sql(10)} SELECT {SCALED_COLUMNS} FROM scaled")
+def quantile_scale_slices(d: Data) -> DataFrame:
+    """Grids of all evidence are fitted and kept once; each source is then scored as a slice."""
+    evidence, root = d.view("v_evidence"), scratch_path(d.spark, "grids")
+    write_grids(fit_evidence_grids(evidence, _weights(d), 10), root, "2024-01")
+    grids = read_grids(d.spark, root)
+    slices = [prepare_slice(evidence.where(F.col("source_id") == s), _weights(d), grids) for s in SOURCES]
+    return reduce(DataFrame.unionByName, slices).select(
+        "variant_id", "gene_name", "source_id", "feature", F.round("score", 9).alias("score"),
+        F.round("score_scaled", 9).alias("score_scaled"),
+    )
+
+
 @query(
     "w2_quantile_bins",
     """WITH u AS (SELECT type_id, study_id, pos, gene_id, pval FROM v_qtl)
@@ -275,7 +369,6 @@ def rank_genes(d: Data) -> DataFrame:
 
 
 VARIANT = "2_6_A_C"
-SOURCES = ["andersson2014", "gtex_v7", "javierre2016", "thurman2012", "vep"]
 
 
 def _matrix_sql(by: str, values: list[str], value: str) -> str:
@@ -382,3 +475,30 @@ SELECT variant_id, gene_name, gene_id, round(score, 9) AS score, rank FROM varia
 def variant_evidence_ranks_only(d: Data) -> DataFrame:
     answer = O.variant_evidence(_prepared(d, 10), sources=["vep", "gtex_v7"], with_evidence=False)
     return _rounded(answer)
+
+
+ASKED_SQL = "SELECT DISTINCT variant_id FROM v_evidence WHERE feature = 'stop_gained'"
+
+
+def _asked(d: Data) -> DataFrame:
+    return d.view("v_evidence").where("feature = 'stop_gained'").select("variant_id")
+
+
+@query(
+    "f9_for_variant_table",
+    f"""SELECT variant_id, gene_name, source_id, feature, interval_score, qtl_pval FROM v_evidence
+WHERE variant_id IN ({ASKED_SQL}) AND source_id IN ('vep', 'gtex_v7')""",
+)
+def for_variant_table(d: Data) -> DataFrame:
+    """All evidence of the variants that stop a transcript, which are a table."""
+    found = O.for_variant_table(d.view("v_evidence"), _asked(d), ["vep", "gtex_v7"])
+    return found.select("variant_id", "gene_name", "source_id", "feature", "interval_score", "qtl_pval")
+
+
+@query(
+    "n3_variant_evidence_for_table",
+    f"""{scaled_sql(10)}, asked AS ({ASKED_SQL}), {RANKS_SQL.format(where="WHERE variant_id IN (SELECT variant_id FROM asked)")}
+SELECT variant_id, gene_name, gene_id, round(score, 9) AS score, rank FROM variant_ranks""",
+)
+def variant_evidence_for_table(d: Data) -> DataFrame:
+    return _rounded(O.variant_evidence(_prepared(d, 10), ids=_asked(d), with_evidence=False))
