@@ -5,11 +5,11 @@ padded where its piece of text ends. Only these windows are counted; ROLLUP then
 successively shorter prefixes, which gives the frequencies of all shorter phrases, of single words
 and of all words of a language.
 
-A window is also padded before a pair of words that cannot be frequent. An upper bound on the
-frequency of every pair comes first: occurrences by a hash of the pair, in a table of fixed size. A
-pair whose bucket stays below the limit is itself below it, and no phrase that holds it, or needs
-its frequency, is a candidate. So the padding changes no result, whatever the size of the corpus;
-where the buckets are crowded it only saves less.
+A window is also padded where going on would make a phrase that cannot be frequent. An upper bound
+on the frequency of every phrase comes first: occurrences by a hash of the phrase, in a table of fixed
+size. A phrase whose bucket stays below the limit is itself below it; it is no candidate, and neither
+is a longer one, so nobody asks for its frequency. So the padding changes no result, whatever the size
+of the corpus; where the buckets are crowded it only saves less.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ from regulink.session import freeze
 
 LEAST, TOP, MOST_WORDS, INSIDE = 10, 2000, 3, 50
 NO_LANG = "und"
-PAIR_BITS = 25  # logarithm of the number of pair buckets: 4 MB with a bit for each
-RANGE_BITS = 18  # of the buckets in one row of the table
-SEGMENT = 2_000_000  # bytes of text that become words at a time
-WINDOWS = 1_500_000  # windows that are held before they are counted
+SHARES = 32  # of the phrases of a language that are ranked on their own first
+BUCKET_BITS = 28  # logarithm of the number of phrase buckets: 32 MB with a bit for each
+RANGE_BITS = 20  # of the buckets in one row of the table
+COUNTED = 1_500_000  # buckets that a task counts before it hands them on
+SEGMENT = 500_000  # bytes of text that become words at a time
+WINDOWS = 1_000_000  # windows that are held before they are counted
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLASSES = classes_of(b" \t" + _BREAKS)
 _IS_BREAK = np.zeros(256, bool)
@@ -101,12 +103,27 @@ def _windows(parts: list[bytes], own: list[int], n: int):
     return words, of, begins, follow
 
 
-def _pair_buckets(words, of: np.ndarray, langs: list[str]) -> np.ndarray:
-    """Bucket of each word and the next one, in the language of the first."""
-    codes = np.array([_lang_hash(v) for v in langs], np.uint64)[of]
-    following = np.roll(words.hashes, -1)
+def _phrase_buckets(words, of: np.ndarray, langs: list[str], n: int) -> Iterator[np.ndarray]:
+    """For 2 to ``n`` words, the bucket of the phrase that begins at each word, in its language; what
+    lies beyond the end of a piece is for the caller to leave out."""
     with np.errstate(over="ignore"):
-        return (mix(words.hashes * _ODD + mix(following + codes)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        held = mix(words.hashes * _ODD + np.array([_lang_hash(v) for v in langs], np.uint64)[of])
+        for k in range(1, n):
+            held = mix(held * _ODD + np.roll(words.hashes, -k))
+            yield (held >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32)
+
+
+def _add_up(buckets: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each bucket once, in order, with its sum; sums stop at 255."""
+    order = np.argsort(buckets, kind="stable")
+    buckets = buckets[order]
+    starts = np.flatnonzero(np.diff(buckets, prepend=np.uint32(0) if not len(buckets) else ~buckets[:1]))
+    sums = np.add.reduceat(times[order].astype(np.uint32), starts) if len(starts) else np.zeros(0, np.uint32)
+    return buckets[starts], np.minimum(sums, 255).astype(np.uint8)
+
+
+def _is_set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _texts(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -116,41 +133,54 @@ def _texts(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     )
 
 
-def frequent_pairs(given: DataFrame, least: int) -> np.ndarray:
-    """One bit for each bucket in which word pairs occur at least ``least`` times, all together."""
-    span = 1 << RANGE_BITS
-
-    def emit(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for number in range(len(total) // span):
-            part = total[number * span : (number + 1) * span]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["part", "counts"]
-                )
+def frequent_buckets(given: DataFrame, n: int, least: int) -> np.ndarray:
+    """One bit for each bucket in which phrases of 2 to ``n`` words occur at least ``least`` times, all
+    together, or at least 255 times."""
+    span, enough = 1 << RANGE_BITS, min(least, 255)
+
+    def emit(buckets: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        number = buckets >> np.uint32(RANGE_BITS)
+        starts = np.flatnonzero(np.diff(number, prepend=~number[:1]))
+        ends = np.append(starts[1:], len(number))
+        places = buckets & np.uint32(span - 1)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(number[starts].astype(np.int32)),
+                pa.array([places[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary()),
+                pa.array([times[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary()),
+            ],
+            ["part", "places", "times"],
+        )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << PAIR_BITS, np.uint8)  # counts stop at the limit
-        for parts, own, langs in _runs(batches, 1, SEGMENT):
-            words, of, begins, follow = _windows(parts, own, 2)
-            buckets, times = np.unique(_pair_buckets(words, of, langs)[begins & (follow > 0)], return_counts=True)
-            total[buckets] = np.minimum(total[buckets] + times, least)
-        yield from emit(total)
+        buckets, times = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        for parts, own, langs in _runs(batches, n - 1, SEGMENT):
+            words, of, begins, follow = _windows(parts, own, n)
+            found = [b[begins & (follow >= k)] for k, b in enumerate(_phrase_buckets(words, of, langs, n), 1)]
+            fresh = np.concatenate([buckets[:0], *found])
+            fresh = _add_up(fresh, np.ones(len(fresh), np.uint8))
+            buckets, times = _add_up(np.concatenate([buckets, fresh[0]]), np.concatenate([times, fresh[1]]))
+            if len(buckets) >= COUNTED:
+                yield from emit(buckets, times)
+                buckets, times = buckets[:0], times[:0]
+        if len(buckets):
+            yield from emit(buckets, times)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for number, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                more = np.frombuffer(counts.as_buffer(), np.uint8).astype(np.int64)
-                sums[number] = np.minimum(sums.get(number, 0) + more, least)
+            for number, places, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = sums.setdefault(number, np.zeros(span, np.uint8))
+                at = np.frombuffer(places, np.uint32)
+                more = held[at] + np.frombuffer(times, np.uint8).astype(np.uint16)
+                held[at] = np.minimum(more, enough)
         for number, held in sums.items():
-            bits = np.packbits(held >= least).tobytes()
+            bits = np.packbits(held >= enough).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([bits], pa.binary())], ["part", "bits"])
 
-    if least > 255:  # beyond what the buckets count to: no pair is ruled out
-        return np.full((1 << PAIR_BITS) // 8, 255, np.uint8)
-    rows = given.mapInArrow(count, "part int, counts binary").repartition((1 << PAIR_BITS) // span, "part")
-    bits = np.zeros((1 << PAIR_BITS) // 8, np.uint8)
-    for r in rows.mapInArrow(add, "part int, bits binary").collect():  # at most 4 MB
+    rows = given.mapInArrow(count, "part int, places binary, times binary").repartition(1 << (BUCKET_BITS - RANGE_BITS), "part")
+    bits = np.zeros((1 << BUCKET_BITS) // 8, np.uint8)
+    for r in rows.mapInArrow(add, "part int, bits binary").collect():  # at most 32 MB
         bits[r["part"] * span // 8 : (r["part"] + 1) * span // 8] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
@@ -181,18 +211,17 @@ def lead_windows(given: DataFrame, n: int, frequent: np.ndarray) -> DataFrame:
             )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(held.value).astype(bool)
+        bits = held.value
         runs, lang_of, spelled, number = [], {}, {}, 0
         for parts, own, langs in _runs(batches, n - 1, SEGMENT):
             words, of, begins, follow = _windows(parts, own, n)
-            good = bits[_pair_buckets(words, of, langs)]
             hashes = words.hashes | np.uint64(1)  # none is the padding
             keys = np.zeros((len(hashes), n), np.uint64)
             keys[:, 0] = hashes
             going = np.ones(len(hashes), bool)
-            for k in range(1, n):
-                # the word before must lead on to this one
-                going &= (follow >= k) & np.roll(good, 1 - k)
+            for k, buckets in enumerate(_phrase_buckets(words, of, langs, n), 1):
+                going &= follow >= k
+                going[going] = _is_set(bits, buckets[going])
                 keys[going, k] = np.roll(hashes, -k)[going]
             codes = np.array([lang_of.setdefault(v, len(lang_of)) for v in langs], np.int32)[of]
             runs.append((keys[begins], codes[begins]))
@@ -218,7 +247,8 @@ def phrase_counts(windows: DataFrame, n: int, least: int) -> DataFrame:
     names = [f"w{k + 1}" for k in range(n)]
     # a padded place is told from a summed one by the level
     level = F.grouping_id()
-    summed = windows.rollup("lang", *names).agg(F.sum("times").alias("f"), level.alias("_level"))
+    longest = windows.groupBy("lang", *names).agg(F.sum("times").alias("times"))
+    summed = longest.rollup("lang", *names).agg(F.sum("times").alias("f"), level.alias("_level"))
     words: Column = F.lit(None).cast("int")
     for k in range(n + 1):
         full = F.col(names[k - 1]).isNotNull() if k else F.lit(True)
@@ -249,7 +279,7 @@ def collocations(
     is ``und``; repeated rows count each time; an empty table has no rows.
     """
     given = _texts(df, lang_col, text_col)
-    windows = lead_windows(given, most_words, frequent_pairs(given, least))
+    windows = lead_windows(given, most_words, frequent_buckets(given, most_words, least))
     counts = freeze(phrase_counts(windows, most_words, least), "phrases")
     candidates = counts.where("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("_w"))
 
@@ -296,8 +326,12 @@ def collocations(
     ]
     worst = scored[0] if len(scored) == 1 else F.least(*scored)
     judged = together.withColumn("_cut", worst).select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = judged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # the best of each share of a language first, so that the last step gets a bounded number of rows
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    for by in (("lang", share), ("lang",)):
+        order = W.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        judged = judged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = judged
     totals = F.broadcast(counts.where("words = 0").select("lang", F.col("f").alias("n")))
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
