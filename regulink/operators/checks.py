@@ -134,13 +134,14 @@ def describe_distance(
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes, quartiles and further quantiles, in one row.
 
-    Quantiles are exact, for which ``df`` is read twice and its values are sorted. With ``error``
+    Quantiles are exact, for which the values are written once and sorted. With ``error``
     they come from a sketch in the one pass that counts: the rank of each is off by at most that
     share of the rows, with a chance of 99 percent.
     """
     points = sorted({*SUMMARY_PROBS, *probs})
     if error is not None:
         return _sketched_distance(df, col, points, error)
+    df = freeze(df.select(col), "distances")  # read for the moments and for the quantiles
     values = exact_quantiles(df, col, [Fraction(str(p)) for p in points])
     return (
         df.agg(
@@ -189,6 +190,7 @@ def _sketched_distance(df: DataFrame, col: str, points: Sequence[float], error:
 
 def distance_histogram(df: DataFrame, bins: int = 1000, col: str = "delta") -> DataFrame:
     """Counts in equal-width bins between the extremes, empty bins included; the last is closed."""
+    df = freeze(df.select(col).where(F.col(col).isNotNull()), "distances")  # read for the span and for the counts
     value = F.col(col).cast("double")
     # one value only: a bin range of width 1 around it
     half = F.when(F.min(value) == F.max(value), F.lit(0.5)).otherwise(F.lit(0.0))
@@ -202,9 +204,7 @@ def distance_histogram(df: DataFrame, bins: int = 1000, col: str = "delta") -> D
     number = F.least(F.floor(F.lit(bins) * (value - F.col("_low")) / (F.col("_high") - F.col("_low"))),
                      F.lit(bins - 1))
     counts = (
-        df.where(F.col(col).isNotNull())
-        .select(col)
-        .withColumns({"_low": low, "_high": high})
+        df.withColumns({"_low": low, "_high": high})
         .groupBy(number.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )

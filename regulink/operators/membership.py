@@ -31,21 +31,21 @@ def _block(on: Sequence[str], blocks: int) -> Column:
 
 
 def key_filter(keys: DataFrame, on: Sequence[str], blocks: int) -> DataFrame:
-    """A Bloom filter of the keys as a table ``block, words``: all bits of a key lie in one block, so
+    """A Bloom filter of the keys as a table ``_block, _words``: all bits of a key lie in one block, so
     that a row meets one row of the table."""
     bit = F.col("_bit")
     return (
-        keys.select(_block(on, blocks).alias("block"), F.explode(F.array(*_probes(on))).alias("_bit"))
-        .groupBy("block", F.shiftright(bit, 6).alias("_word"))
+        keys.select(_block(on, blocks).alias("_block"), F.explode(F.array(*_probes(on))).alias("_bit"))
+        .groupBy("_block", F.shiftright(bit, 6).alias("_word"))
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit % 64)).alias("_bits"))
-        .groupBy("block")
+        .groupBy("_block")
         .agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_at"))
         .select(
-            "block",
+            "_block",
             F.transform(
                 F.sequence(F.lit(0), F.lit(_WORDS - 1)),
                 lambda w: F.coalesce(F.try_element_at("_at", w), F.lit(0).cast("long")),
-            ).alias("words"),
+            ).alias("_words"),
         )
     )
 
@@ -57,12 +57,12 @@ def may_be_in(df: DataFrame, keys: DataFrame, on: Sequence[str], count: int) ->
         return df
     columns = df.columns
     table = freeze(key_filter(keys, on, blocks), "key-filter")
-    found = [F.getbit(F.get("words", F.shiftright(p, 6)), p % 64) == 1 for p in _probes(on)]
+    found = [F.getbit(F.get("_words", F.shiftright(p, 6)), p % 64) == 1 for p in _probes(on)]
     passed = found[0]
     for one in found[1:]:
         passed = passed & one
     near = df.withColumn("_block", _block(on, blocks))
-    return near.join(F.broadcast(table), F.col("_block") == F.col("block")).where(passed).select(*columns)
+    return near.join(F.broadcast(table), "_block").where(passed).select(*columns)
 
 
 def with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

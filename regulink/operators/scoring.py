@@ -230,7 +230,7 @@ def quantile_bins(
     The rows are neither sorted nor written. A first pass reads the keys and finds where the bins
     end; in a second one a row meets the borders of its group and finds its bin by halving. Only
     exact copies of one row can lie on both sides of a border: these are counted, and dealt out by
-    number.
+    number (there, as in any grouping, -0.0 is 0.0).
     """
     columns, by = df.columns, list(by)
     data = df
@@ -245,8 +245,10 @@ def quantile_bins(
     met = lookup_join(data, borders, by, "left").withColumn("_passed", _number_below("_borders", "key", own, bins))
     at_border = F.get("_borders", F.col("_passed"))
     on_cut = F.coalesce((at_border["key"] <= own) & at_border["cut"], F.lit(False))
-    # in a group of fewer rows than bins every row but the last ends a bin, so this holds as well
-    clear = met.where(~on_cut).select(*columns, (F.col("_passed") + 1).alias(output))
+    # no bin ends between the last border key that is below the row and the row
+    last = F.get("_borders", F.col("_passed") - 1)
+    number = F.when(F.col("_passed") == 0, 1).otherwise(bin_of_rank(last["before"] + last["rows"], last["total"], bins))
+    clear = met.where(~on_cut).select(*columns, number.alias(output))
     cut = borders.where(F.exists("_borders", lambda b: b["cut"]))
     if cut.isEmpty():
         return clear

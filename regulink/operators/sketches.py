@@ -25,10 +25,9 @@ def rank_error(k: int = QUANTILE_K) -> float:
 
 def quantile_k(error: float) -> int:
     """The smallest sketch whose rank error is at most ``error``."""
-    k = math.ceil((2.296 / error) ** (1 / 0.9723))
-    if not 0 < error < 1 or k > 65_535:
+    if not 0.00005 <= error < 1:
         raise ValueError("a rank error must lie between 0.00005 and 1")
-    return max(8, k)
+    return max(8, math.ceil((2.296 / error) ** (1 / 0.9723)))
 
 
 def distinct_error(lg_k: int = DISTINCT_LG_K) -> float:

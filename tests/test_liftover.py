@@ -1,5 +1,6 @@
 """Coordinate conversion against a plain Python version."""
 
+import importlib
 import random
 
 from conftest import rows
@@ -103,7 +104,7 @@ def test_parse_chain(spark):
 
 def test_work_does_not_grow_with_overlap(spark):
     """Ten thousand chains over one bin: nodes, not pairs of segments and chains."""
-    from regulink.operators import liftover as module
+    module = importlib.import_module("regulink.operators.liftover")
 
     rng = random.Random(5)
     blocks = []
@@ -124,7 +125,7 @@ def test_work_does_not_grow_with_overlap(spark):
 
 
 def test_nodes_make_up_the_piece(spark):
-    from regulink.operators import liftover as module
+    module = importlib.import_module("regulink.operators.liftover")
 
     size = 1 << module.BIN_BITS
     rng = random.Random(1)

@@ -15,7 +15,7 @@ def evidence(spark, n):
 def test_small_and_large_tables_of_keys_give_the_same(spark, monkeypatch):
     df = evidence(spark, 5000).unionByName(spark.sql("SELECT null variant_id, 1L source_id, 1L block, 1L words"))
     df = df.unionByName(df)  # repeated rows stay
-    keys = df.where("block % 5 = 2").select("variant_id").unionByName(spark.sql("SELECT null UNION ALL SELECT 'none'"))
+    keys = df.where("block % 5 = 2").select("variant_id").unionByName(spark.sql("SELECT null AS variant_id UNION ALL SELECT 'none'"))
     small = rows(O.with_keys(df, keys, ["variant_id"]))
     from regulink.operators import joins
 

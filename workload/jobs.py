@@ -9,7 +9,7 @@ from regulink import plans as P
 from regulink import sources as S
 from regulink.session import scratch_path
 from workload.columns import LABELS_SQL, QTL_OUT, SIGNIFICANT, TSS_SQL
-from workload.joins import CONCORDANCE, COVERAGE, LAST_SYMBOL, SYNONYMS, lift_sql
+from workload.joins import CONCORDANCE, COVERAGE, LAST_SYMBOL, lift_sql
 from workload.scoring import DESCRIBE_SQL, HISTOGRAM_SQL, rounded_bins, rounded_summary
 from workload.registry import query
 from workload.views import Data
@@ -45,7 +45,12 @@ LINK_OUT = 'chrom, start_pos AS start, end_pos AS "end", gene_id, score, bio_fea
 
 @query(
     "l2_build_gene_list_links",
-    f"""WITH {SYNONYMS}, listed AS (
+    f"""WITH official AS MATERIALIZED (SELECT DISTINCT gene_name FROM v_genes),
+other AS MATERIALIZED (SELECT unnest(string_split(synonyms, ';')) AS gene_name, gene_id FROM v_genes),
+names AS MATERIALIZED (
+  SELECT gene_name, gene_id FROM v_genes UNION ALL
+  SELECT o.gene_name, o.gene_id FROM other o LEFT JOIN official f ON o.gene_name = f.gene_name WHERE f.gene_name IS NULL),
+listed AS MATERIALIZED (
   SELECT chrom, start_pos, end_pos, concat('CODE_', bio_feature) AS bio_feature,
          unnest([gene_name, other_name]) AS gene_name FROM v_links),
 named AS MATERIALIZED (SELECT chrom, start_pos, end_pos, gene_id, bio_feature FROM listed JOIN names USING (gene_name)),
@@ -55,6 +60,7 @@ cis AS MATERIALIZED (
          abs((start_pos + end_pos) / 2 - (g.gene_start + g.gene_end) / 2) AS distance
   FROM lifted JOIN v_genes g USING (gene_id) WHERE chrom = g.gene_chrom)
 SELECT {LINK_OUT} FROM cis WHERE distance <= 2 * (SELECT stddev_samp(distance) FROM cis)""",
+    materialized=True,
 )
 def build_gene_list_links(d: Data) -> DataFrame:
     blocks = S.parse_chain(d.view("v_chain_lines"))

@@ -65,19 +65,14 @@ def synonym_names(d: Data) -> DataFrame:
 
 @query(
     "u1_union_names",
-    f"""WITH {SYNONYMS}, tagged AS (SELECT gene_name, gene_id, 'official' AS kind FROM v_genes
-UNION ALL SELECT gene_name, gene_id, 'synonym' FROM synonyms)
-SELECT kind, count(*) AS n, count(DISTINCT gene_name) AS names FROM tagged GROUP BY kind""",
+    f"""WITH {SYNONYMS} SELECT gene_name, gene_id, 'official' AS kind FROM v_genes
+UNION ALL SELECT gene_name, gene_id, 'synonym' FROM synonyms""",
 )
 def union_names(d: Data) -> DataFrame:
     genes = d.genes()
     official = O.official_names(genes).withColumn("kind", F.lit("official"))
     synonyms = O.synonym_names(genes).withColumn("kind", F.lit("synonym"))
-    return (
-        official.unionByName(synonyms)
-        .groupBy("kind")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("gene_name").alias("names"))
-    )
+    return official.unionByName(synonyms).select("gene_name", "gene_id", "kind")
 
 
 @query(

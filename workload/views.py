@@ -205,17 +205,18 @@ def _views_in(text: str) -> list[str]:
 
 
 @cache
-def with_views(text: str) -> str:
+def with_views(text: str, materialized: bool = False) -> str:
     """Put the views a query names in front of it; further ``WITH`` parts of the query follow."""
-    parts = [f"{name} AS ({VIEWS[name]})" for name in _views_in(text)]
+    kind = "AS MATERIALIZED" if materialized else "AS"
+    parts = [f"{name} {kind} ({VIEWS[name]})" for name in _views_in(text)]
     body = text.strip()
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join(parts)}, {body[5:]}" if parts else body
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 
-def duckdb_sql(text: str) -> str:
-    sql = with_views(text)
+def duckdb_sql(text: str, materialized: bool = False) -> str:
+    sql = with_views(text, materialized)
     for table in TABLES:
         sql = sql.replace("{" + table + "}", table)
     return sql
