@@ -76,7 +76,7 @@ def source_evidence(df: DataFrame) -> DataFrame:
     """
     ranked = source_ranks(df).select(*GENE_KEYS, F.col("ft_max").alias("score"), "rank")
     sizes = df.groupBy(*GENE_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
-    return group_join(tissue_evidence(df), freeze(ranked.join(sizes, list(GENE_KEYS)), "ranks"), GENE_KEYS)
+    return group_join(tissue_evidence(df), freeze(ranked.join(sizes, list(GENE_KEYS)), "ranks", measured=True), GENE_KEYS)
 
 
 def variant_evidence(
@@ -105,7 +105,7 @@ def variant_evidence(
         scores = variant_gene_scores(per_source, weights, "ft_max", ids=True)
         return rank_genes(scores, carry=("gene_id",)).withColumnRenamed("src_agg", "score")
     df = freeze(df, "evidence")  # read for ranks and for rows
-    per_source = freeze(per_source_scores(df, ids=True, counts=True), "source-genes")
+    per_source = per_source_scores(df, ids=True, counts=True)  # its shuffle serves both ranks
     by_source = rank_genes(per_source, ["variant_id", "source_id"], "ft_max", carry=("_rows",)).select(
         *GENE_KEYS, F.col("ft_max").alias("source_score"), F.col("rank").alias("source_rank"), "_rows"
     )
@@ -114,7 +114,7 @@ def variant_evidence(
         "variant_id", "gene_name", F.col("src_agg").alias("score"), "rank"
     )
     # one row for each known gene of a variant and source
-    ranked = freeze(by_source.join(by_variant, ["variant_id", "gene_name"]), "ranks")
+    ranked = freeze(by_source.join(by_variant, ["variant_id", "gene_name"]), "ranks", measured=True)
     return group_join(tissue_evidence(df), ranked, GENE_KEYS)
 
 

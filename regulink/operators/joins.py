@@ -100,12 +100,15 @@ def group_join(
 ) -> DataFrame:
     """Inner join of rows with a table of their groups, which says how many rows each group has.
 
-    Fewer than ``hot_groups`` groups can each hold more than one row in ``hot_groups``: these are
-    broadcast, whatever the data, and their rows are spread evenly over the tasks of the shuffle
-    that serves all other groups.
+    A table that was measured when it was frozen, and is small, is broadcast. Else fewer than
+    ``hot_groups`` groups can each hold more than one row in ``hot_groups``: these are broadcast,
+    whatever the data, and their rows are spread evenly over the tasks of the shuffle that serves all
+    other groups.
     """
     by = list(by)
     values = [name for name in per_group.columns if name not in (*by, rows)]
+    if sizes_of(per_group) and fits_broadcast(per_group):
+        return df.join(F.broadcast(per_group), by).select(*df.columns, *values)
     share = per_group.agg((F.sum(rows) / F.lit(hot_groups)).alias("share")).scalar()
     is_hot = F.col(rows) > share
     hot = per_group.where(is_hot).select(*by, F.struct(*values).alias("_hot"))

@@ -23,6 +23,7 @@ from regulink.session import freeze
 
 # a bin has 2 ** BIN_BITS positions, which also bounds the number of segments in it
 BIN_BITS = 14
+ANY_CHROMOSOME = "*"
 
 
 def _bin(position: Column) -> Column:
@@ -123,18 +124,17 @@ def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def lift_segments(blocks: DataFrame, by_target: bool = True) -> DataFrame:
-    """Segments with the best target, on each target chromosome or over all of them.
+def lift_segments(blocks: DataFrame) -> DataFrame:
+    """Segments with the best target on each target chromosome, named in ``within``, and with the best
+    of all, where ``within`` is ``ANY_CHROMOSOME``.
 
     A source position ``p`` of a segment goes to ``offset + sign * p``; on the minus strand the
     target counts from its far end. ``preference`` sorts by chain score, highest first, and then
     by chain id.
     """
     pieces = _pieces(blocks)
-    if not by_target:
-        return _best_segments(pieces, ["chrom", "_bin"])
-    keyed = pieces.withColumn("tgt_chrom", F.col("_target.new_chrom"))
-    return _best_segments(keyed, ["chrom", "_bin", "tgt_chrom"]).drop("tgt_chrom")
+    twice = F.explode(F.array(F.col("_target.new_chrom"), F.lit(ANY_CHROMOSOME)))
+    return _best_segments(pieces.withColumn("within", twice), ["chrom", "_bin", "within"])
 
 
 def liftover(
@@ -153,9 +153,10 @@ def liftover(
     """
     columns = df.columns
     usable = usable_blocks(blocks, allowed)
-    by_chrom = freeze(lift_segments(usable), "segments", measured=True)
-    over_all = freeze(lift_segments(usable, by_target=False), "segments", measured=True)
-    small = fits_broadcast(by_chrom) if small is None else small
+    segments = freeze(lift_segments(usable), "segments", measured=True)
+    small = fits_broadcast(segments) if small is None else small
+    of_any = F.col("within") == ANY_CHROMOSOME
+    over_all, by_chrom = (segments.where(c).drop("preference", "within") for c in (of_any, ~of_any))
 
     def place(rows: DataFrame, end: str, targets: DataFrame, keys: list[str], output: str) -> DataFrame:
         position = F.col(end) - 1
@@ -167,8 +168,8 @@ def liftover(
         )
 
     df = df.withColumn("chrom", strip_chr("chrom"))
-    with_start = place(df, "start", over_all.drop("preference"), ["chrom", "_bin"], "_a")
-    both = place(with_start, "end", by_chrom.drop("preference"), ["chrom", "_bin", "new_chrom"], "_b")
+    with_start = place(df, "start", over_all, ["chrom", "_bin"], "_a")
+    both = place(with_start, "end", by_chrom, ["chrom", "_bin", "new_chrom"], "_b")
     drift = F.abs(F.abs(F.col("start") - F.col("end")) - F.abs(F.col("_a") - F.col("_b")))
     new = {
         "chrom": F.col("new_chrom"),

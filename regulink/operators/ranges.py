@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regulink.operators.joins import lookup_join
-from regulink.session import freeze
+from regulink.operators import joins
+from regulink.operators.joins import fits_broadcast, lookup_join
+from regulink.session import freeze, sizes_of
 
 # bin width of level k is 2 ** (BASE_BITS + k * STEP_BITS); the widest exceeds any chromosome
 BASE_BITS = 10
@@ -48,6 +49,16 @@ def _binned(
     )
 
 
+def _fits_binned(right: DataFrame, binned: DataFrame) -> bool:
+    """Whether the binned side may be broadcast. A row has at most two bins a level, so the size of
+    ``right`` bounds it; only where that bound is too large is it counted, in one pass."""
+    rows, size = sizes_of(right)
+    most = 2 * LEVELS
+    if most * rows <= joins.BROADCAST_MAX_ROWS and most * (size + 64 * rows) <= joins.BROADCAST_MAX_BYTES:
+        return True
+    return fits_broadcast(binned)
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -64,7 +75,7 @@ def overlap_join(
     l_chrom, l_start, l_end = left_on
     r_chrom, r_start, r_end = (prefix + name for name in right_on)
     # read for its levels, its size and the join, so written once
-    right = freeze(right.select([F.col(name).alias(prefix + name) for name in right.columns]), "right")
+    right = freeze(right.select([F.col(name).alias(prefix + name) for name in right.columns]), "right", measured=True)
     output = [*left.columns, *right.columns]
 
     # at most LEVELS numbers, found in one pass over two columns of the smaller side
@@ -78,7 +89,7 @@ def overlap_join(
     a = a.withColumn("_chrom", F.col(l_chrom))
     b = b.withColumn("_chrom", F.col(r_chrom))
     return (
-        lookup_join(a, b, ["_chrom", "_la", "_lb", "_bin"], "inner")
+        lookup_join(a, b, ["_chrom", "_la", "_lb", "_bin"], "inner", _fits_binned(right, b))
         .where(
             (F.col(l_start) < F.col(r_end))
             & (F.col(r_start) < F.col(l_end))

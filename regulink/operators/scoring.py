@@ -101,11 +101,12 @@ def _grid_pieces(grids: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     next_value = F.lead("_from").over(Window.partitionBy(*by).orderBy("_from"))
     middle = (F.col("_first") + F.col("_last")) / F.lit(2.0) / F.lit(n - 1)
     return (
-        grids.select(*by, F.posexplode("quantiles").alias("_i", "_from"))
-        .groupBy(*by, "_from")
+        grids.select(*by, "n", F.posexplode("quantiles").alias("_i", "_from"))
+        .groupBy(*by, "n", "_from")
         .agg(F.min("_i").alias("_first"), F.max("_i").alias("_last"))
         .select(
             *by,
+            "n",
             "_from",
             next_value.alias("_to"),
             F.when(F.col("_first") == 0, 0.0)
@@ -131,10 +132,10 @@ def fit_quantile_grids(
     ``by, points, fitted_rows, pieces``. One row a group, so the table can be kept and applied later."""
     grids = exact_quantiles(_with_group(df, value, by), value, [Fraction(i, n - 1) for i in range(n)], by)
     piece = F.struct("_from", "_to", "_at", "_last")
-    pieces = _grid_pieces(grids, by, n).groupBy(*by).agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
-    return pieces.join(grids.select(*by, F.col("n").alias("fitted_rows")), list(by)).select(
-        *by, F.lit(n).alias("points"), "fitted_rows", "pieces"
+    pieces = _grid_pieces(grids, by, n).groupBy(*by).agg(
+        F.first("n").alias("fitted_rows"), F.sort_array(F.collect_list(piece)).alias("pieces")
     )
+    return pieces.select(*by, F.lit(n).alias("points"), "fitted_rows", "pieces")
 
 
 def apply_quantile_grids(
@@ -144,6 +145,7 @@ def apply_quantile_grids(
     value: str = "score",
     output: str = "score_scaled",
     on_unknown: str = "error",
+    most: int | None = None,
 ) -> DataFrame:
     """Add each value's position on the grid of its group, from :func:`fit_quantile_grids`.
 
@@ -152,7 +154,7 @@ def apply_quantile_grids(
     out. A group without a grid is an error, or left out with ``on_unknown='drop'``.
     """
     grids = freeze(grids, "grid", measured=True) if sizes_of(grids) is None else grids
-    most = grids.agg(F.max("points")).first()[0] or 1
+    most = most or grids.agg(F.max("points")).first()[0] or 1
     kept = grids.select(*by, F.col("points").alias("_points"), F.col("pieces").alias("_pieces"))
     x, found = F.col(value), F.get("_pieces", F.col("_piece"))
     start, end = found["_from"], found["_to"]
@@ -187,7 +189,7 @@ def quantile_scale(
     which costs less than writing it; with kept grids it is read once.
     """
     grids = freeze(fit_quantile_grids(df, n, by, value), "grid", measured=True)
-    return apply_quantile_grids(df, grids, by, value, output, "drop")
+    return apply_quantile_grids(df, grids, by, value, output, "drop", n)
 
 
 def _halved(entries: str, most: int, passed: Callable[[Column], Column]) -> Column:

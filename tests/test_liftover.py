@@ -114,14 +114,13 @@ def test_work_does_not_grow_with_overlap(spark):
     df = spark.createDataFrame(blocks, CHAIN_BLOCKS)
     pieces = module._pieces(module.usable_blocks(df))
     assert pieces.select(module.F.size(module._nodes()).alias("n")).agg({"n": "max"}).first()[0] <= 2 * module.BIN_BITS
-    for by_target in (True, False):
-        segments = module.lift_segments(module.usable_blocks(df), by_target).collect()
-        assert len(segments) <= 2 * len(blocks)
-        for place in rng.sample(range(16_384), 60):
-            for chrom in ("1", "2") if by_target else (None,):
-                over = [(-s, i, t[3:], o - a if d == "+" else 10**6 - 1 - (o - a)) for i, s, _, a, b, t, _, d, o in blocks if a <= place < b and chrom in (None, t[3:])]
-                held = [s for s in segments if s["seg_start"] <= place < s["seg_end"] and chrom in (None, s["new_chrom"])]
-                assert [(s["preference"]["minus_score"], s["preference"]["chain_id"], s["new_chrom"], s["offset"]) for s in held] == ([min(over)] if over else [])
+    segments = module.lift_segments(module.usable_blocks(df)).collect()
+    assert len(segments) <= 4 * len(blocks)
+    for place in rng.sample(range(16_384), 60):
+        for within in ("1", "2", module.ANY_CHROMOSOME):
+            over = [(-s, i, t[3:], o - a if d == "+" else 10**6 - 1 - (o - a)) for i, s, _, a, b, t, _, d, o in blocks if a <= place < b and within in (t[3:], "*")]
+            held = [s for s in segments if s["seg_start"] <= place < s["seg_end"] and within == s["within"]]
+            assert [(s["preference"]["minus_score"], s["preference"]["chain_id"], s["new_chrom"], s["offset"]) for s in held] == ([min(over)] if over else [])
 
 
 def test_nodes_make_up_the_piece(spark):
