@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulink.operators.joins import salt_of
-from regulink.session import row_bytes, sizes_of
+from regulink.session import freeze, sizes_of
 
 INTERVAL_ORDER = ("chrom", "start", "end")
 POSITION_ORDER = ("chrom", "pos")
@@ -46,14 +46,18 @@ def range_sorted(df: DataFrame, order: Sequence[str], partitions: int | None = N
     return ranged.sortWithinPartitions(*keys).select(*columns)
 
 
-def partitions_for(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
-    """How many files of about ``file_bytes`` a table makes, by its measured size.
+def _sized(df: DataFrame, partitions: int | None, file_bytes: int = FILE_BYTES) -> tuple[DataFrame, int]:
+    """The table and the number of files of about ``file_bytes`` it makes.
 
-    The size is that of rows in memory, which is several times that of the compressed file; a table
-    measured when it was frozen is not read, others are, in one pass that returns one number.
+    Unless the number is given the table is measured: written once, if it was not yet, so that it is
+    computed once for its size, for the sample that ranges are cut by, and for the files. The size is
+    that of rows in memory, which is several times that of the compressed file.
     """
-    size = (sizes_of(df) or df.agg(F.lit(0), F.sum(row_bytes(df))).first())[1] or 0
-    return max(1, math.ceil(size / (file_bytes * PACKED)))
+    if partitions is not None:
+        return df, partitions
+    if sizes_of(df) is None:
+        df = freeze(df, "unsorted", measured=True)
+    return df, max(1, math.ceil(sizes_of(df)[1] / (file_bytes * PACKED)))
 
 
 def write_sorted(
@@ -67,7 +71,7 @@ def write_sorted(
     The number of files follows the measured size unless it is given. Beside the files lies a
     manifest of the keys each holds, for :func:`~regulink.sources.read_region`.
     """
-    number = partitions_for(df) if partitions is None else partitions
+    df, number = _sized(df, partitions)
     range_sorted(df, order, number).write.parquet(path, mode="overwrite", compression="snappy")
     write_manifest(df.sparkSession, path, order)
 
@@ -105,7 +109,7 @@ def write_partitioned(
     The range starts with the directory columns, so a task writes few directories. Everything that
     was there before is replaced; to add a study see :func:`add_partitioned`.
     """
-    number = partitions_for(df) if partitions is None else partitions
+    df, number = _sized(df, partitions)
     range_sorted(df, [*parts, *order], number).write.partitionBy(*parts).parquet(
         path, mode="overwrite", compression="snappy"
     )
@@ -124,7 +128,7 @@ def add_partitioned(
     all others keep their files. So a job that fails changes nothing, and one that is run again gives
     the same rows. An empty ``df`` changes nothing.
     """
-    number = partitions_for(df) if partitions is None else partitions
+    df, number = _sized(df, partitions)
     (
         range_sorted(df, [*parts, *order], number)
         .write.partitionBy(*parts)

@@ -312,13 +312,13 @@ def test_region_of_an_empty_table_and_by_position(spark, tmp_path):
 
 
 def test_number_of_files_follows_the_size(spark, tmp_path):
-    from regulink.sources.writers import partitions_for
+    from regulink.sources.writers import _sized
 
     df = _intervals(spark, 10_000)
-    assert partitions_for(df) == 1
-    assert (partitions_for(df, 10_000), partitions_for(df.where("gene % 2 = 0"), 10_000)) == (11, 6)
+    assert _sized(df, None)[1] == 1 and _sized(df, 7) == (df, 7)
+    assert [_sized(part, None, 10_000)[1] for part in (df, df.where("gene % 2 = 0"))] == [11, 6]
     frozen = freeze(df, measured=True)
-    assert partitions_for(frozen, 10_000) == 11
+    assert _sized(frozen, None, 10_000) == (frozen, 11)
 
 
 def test_grids_are_kept_by_version(spark, tmp_path):
