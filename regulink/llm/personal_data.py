@@ -32,7 +32,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 # What the method looks at beyond them.
-_SECRET = re.compile(r"""(?<![^\s"'=:])[A-Za-z0-9_-]{20,128}(?![^\s"',;.])""")
+_SECRET = re.compile(r"""(?<![^\s"'=:])(?!//)[A-Za-z0-9_+/-]{20,}+={0,2}+(?![^\s"',;.])""")
 _HANDLE = re.compile(
     r"(?<!\w)[A-Za-z0-9._-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{1,63})+"
 )
@@ -108,7 +108,7 @@ def base_spans(text: str) -> list[Span]:
 
 def added_candidates(text: str, base: list[Span]) -> list[Span]:
     """Spans of the added kinds that touch no base span."""
-    found = [("secret", *m.span()) for m in _SECRET.finditer(text)]
+    found = [("secret", *m.span()) for m in _SECRET.finditer(text) if _is_key_like(m.group())]
     if "at" in text or "AT" in text:
         found += [("handle", *m.span()) for m in _HANDLE.finditer(text)] if "(" in text or "[" in text else []
     if _DIGIT.search(text):
@@ -116,6 +116,14 @@ def added_candidates(text: str, base: list[Span]) -> list[Span]:
     return [c for c in found if not any(c[1] < e and s < c[2] for _, s, e in base)]
 
 
+def _is_key_like(run: str) -> bool:
+    """Whether a run with base64's own characters mixes digits and both cases, as paths and formulas
+    rarely do; others are always looked at."""
+    if not any(c in run for c in "+/="):
+        return True
+    return any(map(str.isdecimal, run)) and any(map(str.isupper, run)) and any(map(str.islower, run))
+
+
 def votes(text: str, span: Span) -> tuple[int, ...]:
     """What each labeler says of a span: 1 personal, -1 not, 0 no opinion."""
     kind, start, end = span

@@ -81,6 +81,18 @@ def test_rows(spark):
     assert masked[2] == "write to [EMAIL] or [IP], card [CARD], [PHONE]"
 
 
+def test_keys_of_any_length_are_looked_at():
+    """Long ones, and base64 with all its characters; paths and links are not."""
+    hexed = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for key in (hexed, hexed * 4, hexed * 5000, "pk_" + "a1B2" * 40, "aB3+/xY9" * 20, "aB3+/xY9" * 3 + "=="):
+        text = f"the api key = {key}, as said"
+        assert pd.added_candidates(text, []) == [("secret", 14, 14 + len(key))]
+    for text in ("see /usr/local/lib/python/site-packages now", "http://a-very-long-host-name-of-ours/", "x" * 19, "+".join("abc" for _ in range(30))):
+        assert pd.added_candidates(text, []) == []
+    for text in ("a=" * 100_000, "A1b+" * 100_000 + "!", "/" * 300_000, "=" * 300_000):
+        assert pd.added_candidates(text, []) == []
+
+
 def test_nothing_to_find(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pd.fit_spans(df) is None
