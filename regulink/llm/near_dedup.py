@@ -284,7 +284,8 @@ def near_duplicates(
     sets are one node; links between different ones come from min-max bands and are confirmed on
     whole sets. ``component_id`` is the smallest id reachable, ``kept`` marks the row that has it.
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an id are one
-    document; a row without an id is linked with nothing, has no component and is kept.
+    document, linked by any of its texts; a row without an id is linked with nothing, has no component
+    and is kept.
     """
     given = texts(df, id_col, text_col)
     signed = freeze(signatures(given, words, percent), "signatures")
@@ -294,6 +295,13 @@ def near_duplicates(
     classes = freeze(classes.repartition(files), "classes")
     representatives = with_set.join(classes, ["set_key", "doc_id"]).dropDuplicates(["doc_id", "set_key"])
     links = near_links(given, representatives.select("doc_id", "n_shingles", "bands"), words, percent, files)
+    # the texts of one id are one node, also where a smaller id stands for one of them
+    own = with_set.join(classes.withColumnRenamed("doc_id", "_first"), "set_key").where("doc_id <> _first")
+    several = with_set.groupBy("doc_id").agg((F.min("set_key") < F.max("set_key")).alias("_several")).where("_several")
+    several = freeze(several.select("doc_id"), "several")
+    if not several.isEmpty():
+        one = own.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("_first").alias("b"))
+        links = links.union(one.distinct())
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     of_set = classes.join(found, "doc_id", "left").select(
         "set_key", F.coalesce("component", "doc_id").alias("component")
@@ -307,19 +315,38 @@ def near_duplicates(
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of one document of each group; of rows that repeat an id
-    the one with the smallest text. Rows without an id stay."""
-    found = near_duplicates(df, words, percent, id_col, text_col)
-    left = without_ids(df, found.where(~F.col("kept")).select("doc_id").distinct(), id_col)
-    repeated = freeze(
-        df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).count().where("count > 1"), "ids"
-    )
+    """The rows, with all their columns, of one document of each group. Rows without an id stay.
+
+    Different texts of one id are documents of their own here, so that none is lost with another:
+    the smallest text goes by the id, the others come after all ids. Of rows that repeat an id and its
+    text one stays.
+    """
+    known = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    repeated = freeze(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "ids")
     if repeated.isEmpty():
-        return left
-    place = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    again = left.join(repeated.select(F.col("doc_id").alias("_again")), F.col(id_col) == F.col("_again"))
-    once = again.drop("_again").withColumn("_place", place).where("_place = 1").drop("_place")
-    return without_ids(left, repeated.select("doc_id"), id_col).unionByName(once)
+        found = near_duplicates(df, words, percent, id_col, text_col)
+        return without_ids(df, found.where(~F.col("kept")).select("doc_id").distinct(), id_col)
+
+    by_text = known.join(repeated, "doc_id", "left_semi").distinct()
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy("_text"))
+    last = known.agg(F.max("doc_id")).scalar()
+    named = by_text.withColumn("_first", place == 1).select(
+        "doc_id", "_text", F.when(F.col("_first"), F.col("doc_id")).otherwise(last + 1 + F.monotonically_increasing_id()).alias("_node")
+    )
+    named = freeze(named, "nodes")  # numbers must not change
+    once = without_ids(df, repeated, id_col)
+    judged = once.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).union(
+        named.select("_node", "_text")
+    )
+    found = near_duplicates(judged, words, percent)
+    gone = freeze(found.where(~F.col("kept")).select("doc_id").distinct(), "removed")
+    stays = named.join(gone.withColumnRenamed("doc_id", "_node"), "_node", "left_anti")
+    columns = df.columns
+    again = with_ids(df, repeated, id_col).withColumn("_place", F.row_number().over(W.partitionBy(id_col, text_col).orderBy(F.lit(0))))
+    met = stays.select(F.col("doc_id").alias("_of"), F.col("_text").alias("_same"))
+    on = (F.col(id_col).cast("long") == F.col("_of")) & F.col(text_col).eqNullSafe(F.col("_same"))
+    kept = again.where("_place = 1").join(met, on, "left_semi").select(*columns)
+    return without_ids(once, gone, id_col).unionByName(kept)
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

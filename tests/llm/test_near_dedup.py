@@ -71,6 +71,24 @@ def test_rows_without_id_repeated_rows_and_empty_table(spark):
     assert nd.near_duplicates(df.limit(0)).count() == 0
 
 
+A, B, C = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+
+
+def test_a_repeated_id_loses_no_text(spark):
+    given = [(3, B, 1), (7, A, 2), (7, B, 3), (7, B, 4), (9, None, 5), (9, "", 6), (8, C, 7), (8, A + " x", 8), (None, B, 9)]
+    df = spark.createDataFrame(given, "doc_id long, text string, _place int")
+    kept = nd.keep_one(df)
+    assert kept.columns == df.columns
+    texts = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert texts == sorted([(3, B), (7, A), (9, None), (9, ""), (8, C), (8, A + " x"), (None, B)], key=repr)
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    df = spark.createDataFrame([(3, B), (7, A), (7, B), (11, A), (12, C)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in nd.near_duplicates(df).collect())
+    assert got == [(3, 3, True), (7, 3, False), (7, 3, False), (11, 3, False), (12, 12, True)]
+
+
 def test_bands_rarely_miss():
     for percent in (80, 85):
         assert (1 - (percent / 100) ** nd.BAND_ROWS) ** nd.bands_for(percent) <= nd.MISS
