@@ -202,13 +202,20 @@ def identify(
 
 
 def keep_identified(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of which some language is told; others go."""
+    """The rows, with all their columns, of which some language is told; others go.
+
+    A model that has learned no language says nothing against a text: all texts with a letter stay.
+    """
     at = df.columns.index(text_col)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_chunks(batches, at, held.value.chunk_chars()):
-            said = infer([t or "" for t in part.column(at).to_pylist()], held.value)[0]
-            yield part.filter(pa.array([x != UNDETERMINED for x in said], pa.bool_()))
+            values = [t or "" for t in part.column(at).to_pylist()]
+            if held.value.names:
+                stays = [x != UNDETERMINED for x in infer(values, held.value)[0]]
+            else:
+                stays = np.isin(np.arange(len(values)), grams(values)[0]).tolist()
+            yield part.filter(pa.array(stays, pa.bool_()))
 
     held = df.sparkSession.sparkContext.broadcast(model)
     return df.mapInArrow(keep, df.schema)

@@ -64,6 +64,12 @@ def test_nothing_learned(spark):
     assert la.infer(["some text"], model)[0] == ["und"]
 
 
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    df = spark.createDataFrame([(1, "an English text", None), (2, "another", None), (3, "12 ?", None), (4, None, None), (5, "", None)], "doc_id long, text string, lang string")
+    kept = la.keep_identified(df, la.fit_languages(df))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
 @pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
 def test_held_out_documents(spark):
     got = la.op7_language_id(spark, str(FOLDER)).where("held_out")

@@ -44,13 +44,14 @@ def test_stages(spark):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql_gives_the_same_rows(spark, name):
     engine = duckdb.connect()
-    engine.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
+    for name_of in ("pages", "documents"):
+        engine.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{FOLDER}/{name_of}.parquet'")
     result = queries.QUERIES[name](spark, str(FOLDER))
     relation = engine.sql(queries.ORACLES[name])
     order = [relation.columns.index(c) for c in result.columns]
