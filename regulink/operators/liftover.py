@@ -86,23 +86,33 @@ def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
     Stretches that follow each other with one target are one segment.
     """
     best = F.min("_target").alias("_target")
-    nodes = (
-        pieces.groupBy(*keys, "_from", "_to")
-        .agg(best)
-        .select(*keys, F.inline(_nodes()), "_target")
-        .groupBy(*keys, "level", "node")
-        .agg(best)
+    begins, ends = F.col("_from") == 0, F.col("_to") == 1 << BIN_BITS
+    # most pieces are whole bins, which is one node and two places; a bin has at most 2 ** BIN_BITS others
+    laid = pieces.groupBy(*keys, "_from", "_to").agg(best).withColumn("_nodes", _nodes())
+    nodes = laid.select(*keys, F.inline("_nodes"), "_target").groupBy(*keys, "level", "node").agg(best)
+    levels = F.aggregate("_nodes", F.lit(0), lambda held, n: held.bitwiseOR(F.call_function("shiftleft", F.lit(1), n["level"])))
+    bins = laid.groupBy(*keys).agg(
+        F.collect_set(F.when(~begins, F.col("_from"))).alias("_a"),
+        F.collect_set(F.when(~ends, F.col("_to"))).alias("_b"),
+        F.bit_or(levels).alias("_levels"),
+    )
+    # places where the best target may change; a bin may begin without one
+    starts = bins.select(
+        *keys, "_levels", F.explode(F.array_union(F.array(F.lit(0)), F.array_union("_a", "_b"))).alias("_at")
     )
-    # a place where the best target may change; the bin's end closes the last stretch
-    starts = pieces.select(*keys, F.explode(F.array("_from", "_to")).alias("_at")).distinct()
-    path = F.transform(
-        F.sequence(F.lit(0), F.lit(BIN_BITS)),
-        lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col("_at"), level).alias("node")),
+    # only levels that the bin has a node on
+    path = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(BIN_BITS)),
+            lambda level: F.struct(
+                level.alias("level"), F.call_function("shiftright", F.col("_at"), level).alias("node")
+            ),
+        ),
+        lambda step: F.call_function("shiftright", F.col("_levels"), step["level"]) % 2 == 1,
     )
     found = (
-        starts.where(F.col("_at") < 1 << BIN_BITS)
-        .select(*keys, "_at", F.inline(path))
-        .join(nodes, [*keys, "level", "node"])
+        starts.select(*keys, "_at", F.inline(path))
+        .join(nodes, [*keys, "level", "node"], "left")
         .groupBy(*keys, "_at")
         .agg(best)
     )
@@ -110,8 +120,7 @@ def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
     changed = ~F.col("_target").eqNullSafe(F.lag("_target").over(in_bin))
     begin = F.shiftleft("_bin", BIN_BITS)
     return (
-        starts.join(found, [*keys, "_at"], "left")
-        .withColumn("_new", changed)
+        found.withColumn("_new", changed)
         .where("_new")
         .withColumn("_to", F.lead("_at").over(in_bin))
         .where(F.col("_target").isNotNull())
