@@ -77,7 +77,10 @@ def _nodes() -> Column:
         )
 
     levels = F.array(*[F.lit(k) for k in range(BIN_BITS + 1)])
-    return F.filter(F.flatten(F.transform(levels, on_level)), lambda node: node.isNotNull())
+    some = F.filter(F.flatten(F.transform(levels, on_level)), lambda node: node.isNotNull())
+    # most pieces of long blocks are a whole bin
+    root = F.array(F.struct(F.lit(BIN_BITS).alias("level"), F.lit(0).alias("node")))
+    return F.when((F.col("_from") == 0) & (F.col("_to") == 1 << BIN_BITS), root).otherwise(some)
 
 
 def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
@@ -91,6 +94,7 @@ def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
     laid = pieces.groupBy(*keys, "_from", "_to").agg(best).withColumn("_nodes", _nodes())
     nodes = laid.select(*keys, F.inline("_nodes"), "_target").groupBy(*keys, "level", "node").agg(best)
     levels = F.aggregate("_nodes", F.lit(0), lambda held, n: held.bitwiseOR(F.call_function("shiftleft", F.lit(1), n["level"])))
+    levels = F.when(begins & ends, 1 << BIN_BITS).otherwise(levels)
     bins = laid.groupBy(*keys).agg(
         F.collect_set(F.when(~begins, F.col("_from"))).alias("_a"),
         F.collect_set(F.when(~ends, F.col("_to"))).alias("_b"),
@@ -110,6 +114,8 @@ def _best_segments(pieces: DataFrame, keys: list[str]) -> DataFrame:
         ),
         lambda step: F.call_function("shiftright", F.col("_levels"), step["level"]) % 2 == 1,
     )
+    root = F.array(F.struct(F.lit(BIN_BITS).alias("level"), F.lit(0).alias("node")))
+    path = F.when(F.col("_levels") == 1 << BIN_BITS, root).otherwise(path)
     found = (
         starts.select(*keys, "_at", F.inline(path))
         .join(nodes, [*keys, "level", "node"], "left")
