@@ -8,13 +8,15 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regulink.llm.common import table, text_chunks, texts
+from regulink.llm.common import row_chunks, table, text_chunks, texts
 from regulink.llm.wordhash import classes_of, words_of
-from regulink.session import freeze
+from regulink.session import freeze, scratch_path
 
 VOCABULARY = 2048  # most frequent tokens with an id of their own, at least
 GROWTH = 16  # ids of their own for so many times the root of the number of different tokens
@@ -23,7 +25,10 @@ SHARED = 32  # classes of all others, by a hash
 WINDOW = 2  # tokens on either side
 WIDTH = 16
 ROUNDS = 1  # passes over all texts
-BATCH, RATE = 4096, 0.15
+STEPS = 16  # steps in a pass, each on the texts whose hash is dealt to it
+BATCH, RATE = 8192, 0.3
+BLOCK = 8192  # slopes that travel as one value
+CHUNK_BYTES = 400_000  # of encoded texts
 
 CLASSES = ALONE + SHARED
 PAD = VOCABULARY + SHARED  # ids of further tokens follow
@@ -37,8 +42,8 @@ class Vocabulary:
 
     Each shared class is a binary tree over its tokens with an id and one leaf, with the class's id,
     for all others. ``first, node, turn`` hold the nodes from the root to each id, ``start`` the log
-    odds of each node in the corpus. ``rest`` has the occurrences of a class's other tokens, and one
-    for those the corpus lacks. ``counts`` (``token, n``, a distributed table, on the driver only)
+    odds of each node in the corpus, ``class_start`` the log share of each class. ``rest`` has the
+    occurrences of a class's other tokens, and one for those the corpus lacks. ``counts`` (``token, n``, a distributed table, on the driver only)
     has the other tokens that occur more than once.
     """
 
@@ -51,6 +56,7 @@ class Vocabulary:
     turn: np.ndarray
     start: np.ndarray
     rest: np.ndarray
+    class_start: np.ndarray
     counts: DataFrame | None = None
 
     def encode(self, hashes: np.ndarray) -> np.ndarray:
@@ -163,42 +169,57 @@ def build_vocabulary(df: DataFrame) -> Vocabulary:
     for i, k, x in zip(own[ALONE:].tolist(), of_top[ALONE:].tolist(), n[ALONE:].tolist(), strict=True):
         leaves[k][0].append(i)
         leaves[k][1].append(x)
+    of_class = np.full(CLASSES, 0.5)
+    of_class[: len(tokens[:ALONE])], of_class[ALONE:] = n[:ALONE], whole
+    class_start = np.log(of_class / of_class.sum()).astype(np.float32)
     order = np.argsort(tokens)
     few = counted.where("n > 1")
     if len(n):  # what is more frequent has an id
         few = few.where(F.col("n") <= int(n[-1]))
-    return Vocabulary(tokens[order], own[order], class_of, log_share, *_trees(leaves, n_ids), rest, few)
+    return Vocabulary(tokens[order], own[order], class_of, log_share, *_trees(leaves, n_ids), rest, class_start, few)
 
 
-def new_weights(seed: int = 11, ids: int = PAD + 1, start: np.ndarray | None = None) -> list[np.ndarray]:
+def new_weights(
+    seed: int = 11, ids: int = PAD + 1, start: np.ndarray | None = None, class_start: np.ndarray | None = None
+) -> list[np.ndarray]:
     """Embeddings by place in the window, a hidden bias, output weights and biases of classes, and
-    of nodes, which begin at the corpus's odds."""
+    of nodes; biases begin at the corpus's odds."""
     dealt = np.random.default_rng(seed)
     start = np.zeros(0, np.float32) if start is None else start
     return [
         dealt.normal(0, 0.1, (2 * WINDOW, ids, WIDTH)).astype(np.float32),
         np.zeros(WIDTH, np.float32),
         dealt.normal(0, 0.1, (WIDTH, CLASSES)).astype(np.float32),
-        np.zeros(CLASSES, np.float32),
+        np.zeros(CLASSES, np.float32) if class_start is None else class_start.copy(),
         np.zeros((len(start), WIDTH), np.float32),
         start.copy(),
     ]
 
 
-def windows(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Ids of the neighbours of each token, padded where the text ends."""
+def _laid_out(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one row with padding around each, and the place of each token in it."""
     sizes = np.diff(first)
     room = np.full(len(ids) + 2 * WINDOW * len(sizes), PAD)
     at = np.arange(len(ids)) + np.repeat(2 * WINDOW * np.arange(len(sizes)) + WINDOW, sizes)
     room[at] = ids
+    return room, at
+
+
+def _near(room: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([room[at + d] for d in range(-WINDOW, WINDOW + 1) if d])
 
 
+def windows(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Ids of the neighbours of each token, padded where the text ends."""
+    return _near(*_laid_out(ids, first))
+
+
 def _hidden(weights: list[np.ndarray], near: np.ndarray) -> np.ndarray:
-    total = weights[1] + weights[0][0, near[0]]
+    total = weights[0][0].take(near[0], 0)
     for p in range(1, 2 * WINDOW):
-        total += weights[0][p, near[p]]
-    return np.tanh(total)
+        total += weights[0][p].take(near[p], 0)
+    total += weights[1]
+    return np.tanh(total, out=total)
 
 
 def class_log_probabilities(weights: list[np.ndarray], near: np.ndarray, goal: np.ndarray) -> np.ndarray:
@@ -206,75 +227,95 @@ def class_log_probabilities(weights: list[np.ndarray], near: np.ndarray, goal: n
     return _class_logs(weights, _hidden(weights, near), goal)
 
 
+def _logits(weights: list[np.ndarray], h: np.ndarray) -> np.ndarray:
+    """Logits of classes, shifted where their powers could be too large; hidden values are within 1."""
+    logits = h @ weights[2]
+    logits += weights[3]
+    if np.abs(weights[2]).sum(0).max() + np.abs(weights[3]).max() > 60:
+        logits -= logits.max(1, keepdims=True)
+    return logits
+
+
 def _class_logs(weights: list[np.ndarray], h: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    logits = h @ weights[2] + weights[3]
-    logits -= logits.max(1, keepdims=True)
+    logits = _logits(weights, h)
     chosen = logits[np.arange(len(goal)), goal]
     return chosen - np.log(np.exp(logits, out=logits).sum(1))
 
 
+def _turns(weights: list[np.ndarray], h: np.ndarray, ids: np.ndarray, vocabulary: Vocabulary):
+    """Rows, nodes and turns of the ways to ``ids``, hidden values and node weights there, log odds."""
+    rows, node, turn = vocabulary.ways(ids)
+    met, way = h.take(rows, 0), weights[4].take(node, 0)
+    return rows, node, turn, met, way, turn * (np.einsum("ij,ij->i", met, way) + weights[5][node])
+
+
 def token_log_probabilities(
     weights: list[np.ndarray], near: np.ndarray, ids: np.ndarray, vocabulary: Vocabulary
 ) -> np.ndarray:
     """Log probability of each id given its neighbours: of its class, then of each turn to it."""
     h = _hidden(weights, near)
-    rows, node, turn = vocabulary.ways(ids)
-    odds = turn * ((h[rows] * weights[4][node]).sum(1) + weights[5][node])
-    turns = np.bincount(rows, -np.logaddexp(0, -odds), len(ids))
-    return _class_logs(weights, h, vocabulary.class_of[ids]) + turns
+    rows, *_, odds = _turns(weights, h, ids, vocabulary)
+    lost = np.maximum(-odds, 0) + np.log1p(np.exp(-np.abs(odds)))
+    return _class_logs(weights, h, vocabulary.class_of[ids]) - np.bincount(rows, lost, len(ids))
 
 
-def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their rows."""
-    if not len(keys):
-        return keys, values
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the number among them of each key."""
     order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")
     ordered = keys[order]
-    begins = np.flatnonzero(np.diff(ordered, prepend=-1))
-    return ordered[begins], np.add.reduceat(values[order], begins, 0)
+    new = np.diff(ordered, prepend=-1) != 0
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], number
 
 
-def learn(
+def _sums(number: np.ndarray, groups: int, columns: np.ndarray) -> np.ndarray:
+    """Sums of each column by group, a row for each group."""
+    return np.array([np.bincount(number, c, groups) for c in columns]).T
+
+
+def add_slopes(
+    total: list[np.ndarray],
     weights: list[np.ndarray],
-    speed: list[np.ndarray],
     near: np.ndarray,
     goal: np.ndarray,
     ids: np.ndarray | None = None,
     vocabulary: Vocabulary | None = None,
 ) -> None:
-    """One step on a batch, in place, with step sizes that shrink by element as slopes add up.
+    """Add the slopes of minus the log probability of all given tokens to ``total``.
 
-    With ``ids`` the turns to each token are learned besides its class.
+    With ``ids`` those of the turns to each token are added to those of its class.
     """
     h = _hidden(weights, near)
-    p = h @ weights[2] + weights[3]
-    p -= p.max(1, keepdims=True)
-    np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(len(goal)), goal] -= 1
+    p = _logits(weights, h)
+    whole = np.exp(p, out=p).sum(1)
+    p[np.arange(len(goal)), goal] -= whole
+    share = 1 / whole
+    total[2] += (h * share[:, None]).T @ p
+    total[3] += share @ p
     back = p @ weights[2].T
+    back *= share[:, None]
     if ids is not None:
-        rows, node, turn = vocabulary.ways(ids)
+        rows, node, turn, met, way, odds = _turns(weights, h, ids, vocabulary)
         if len(rows):
-            met = h[rows]
-            odds = turn * ((met * weights[4][node]).sum(1) + weights[5][node])
             slope = -turn / (1 + np.exp(np.minimum(odds, 60)))
-            some = np.flatnonzero(np.diff(rows, prepend=-1))
-            back[rows[some]] += np.add.reduceat(slope[:, None] * weights[4][node], some, 0)
-            both = np.concatenate([slope[:, None] * met, slope[:, None]], 1)
-            at, sums = _by_key(node, both)
-            for k, own in ((4, sums[:, :-1]), (5, sums[:, -1])):
-                speed[k][at] += own**2
-                weights[k][at] -= RATE * own / np.sqrt(speed[k][at])
+            back += _sums(rows, len(ids), np.multiply(way.T, slope, order="C"))
+            at, number = _groups(node)
+            total[4][at] += _sums(number, len(at), np.multiply(met.T, slope, order="C"))
+            total[5][at] += np.bincount(number, slope, len(at))
     back *= 1 - h * h
-    slopes = [None, back.sum(0), h.T @ p, p.sum(0)]
-    for k in (1, 2, 3):
-        speed[k] += slopes[k] ** 2
-        weights[k] -= RATE * slopes[k] / np.sqrt(speed[k])
-    for place in range(2 * WINDOW):
-        at, sums = _by_key(near[place], back)
-        speed[0][place, at] += sums**2
-        weights[0][place, at] -= RATE * sums / np.sqrt(speed[0][place, at])
+    columns = np.array(back.T, np.float64, order="C")
+    total[1] += columns.sum(1)
+    at, number = _groups(near.ravel())
+    for place, own in enumerate(number.reshape(near.shape)):
+        total[0][place, at] += _sums(own, len(at), columns)
+
+
+def step(weights: list[np.ndarray], speed: list[np.ndarray], total: list[np.ndarray]) -> None:
+    """One step against the slopes, in place; step sizes shrink by element as slopes add up."""
+    for w, v, slope in zip(weights, speed, total, strict=True):
+        v += slope**2
+        w -= RATE * np.divide(slope, np.sqrt(v), out=np.zeros_like(v), where=v > 0)
 
 
 def _ids(values: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -282,48 +323,92 @@ def _ids(values: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndar
     return vocabulary.encode(hashes), first
 
 
+def _encoded(df: DataFrame, words: Broadcast) -> DataFrame:
+    """``ids, step``: each text's ids as 32-bit numbers, written once in a folder for each step.
+
+    The step is a hash of id and text, so it does not depend on where a row lies.
+    """
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, values, part in text_chunks(batches):
+            ids, first = _ids(values, words.value)
+            ends, held = pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(ids.astype(np.int32))
+            column = pa.Array.from_buffers(pa.binary(), len(values), [None, ends, held])
+            yield pa.RecordBatch.from_arrays([column, part.column("step")], ["ids", "step"])
+
+    dealt = df.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(STEPS)).alias("step"))
+    path = scratch_path(df.sparkSession, "encoded")
+    dealt.mapInArrow(encode, "ids binary, step long").write.partitionBy("step").parquet(path)
+    return df.sparkSession.read.schema("ids binary, step long").parquet(path)
+
+
+def summed_slopes(encoded: DataFrame, weights: list[np.ndarray], words: Broadcast) -> list[np.ndarray] | None:
+    """Slopes of all tokens of ``encoded``, none if there are none.
+
+    Each task adds up its own; they travel in blocks and are added up by block, one value at a time.
+    The driver gets one value for each block, as many as the network has.
+    """
+    held = encoded.sparkSession.sparkContext.broadcast(weights)
+
+    def pass_over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, vocabulary = held.value, words.value
+        total = [np.zeros(w.shape) for w in own]
+        for part in row_chunks(batches, 0, CHUNK_BYTES):
+            column = part.column(0)
+            first = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy() // 4, dtype=np.int64)])
+            ids = np.frombuffer(b"".join(column.to_pylist()), np.int32)
+            room, at = _laid_out(ids, first)
+            for begin in range(0, len(ids), BATCH):
+                some = ids[begin : begin + BATCH]
+                near = _near(room, at[begin : begin + BATCH])
+                add_slopes(total, own, near, vocabulary.class_of[some], some, vocabulary)
+        flat = np.concatenate([t.ravel() for t in total])
+        flat = np.concatenate([flat, np.zeros(-len(flat) % BLOCK)]).reshape(-1, BLOCK)
+        used = np.flatnonzero(flat.any(1))
+        if len(used):
+            yield _blocks(used, flat[used])
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, values in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                one = np.frombuffer(values.as_buffer(), np.float32)
+                sums[block] = sums.get(block, 0.0) + one.astype(np.float64)
+        if sums:
+            yield _blocks(np.array(list(sums)), np.array(list(sums.values())))
+
+    kinds = "block long, slopes binary"
+    found = encoded.select("ids").mapInArrow(pass_over, kinds).repartition("block").mapInArrow(add_up, kinds).toArrow()
+    held.destroy()
+    if not found.num_rows:
+        return None
+    sizes = np.cumsum([0] + [w.size for w in weights])
+    flat = np.zeros(-(-sizes[-1] // BLOCK) * BLOCK)
+    for block, values in zip(found.column(0).to_pylist(), found.column(1), strict=True):
+        flat[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(values.as_buffer(), np.float32)
+    return [flat[a:b].reshape(w.shape) for a, b, w in zip(sizes, sizes[1:], weights)]
+
+
+def _blocks(numbers: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    held = [r.tobytes() for r in rows.astype(np.float32)]
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(held, pa.binary())], ["block", "slopes"])
+
+
 def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> list[np.ndarray]:
     """Train on every token of every text.
 
-    In a round each task goes through its texts from the weights of the round before; the results
-    are averaged by element over the tasks that met it, each task counting as many times as it saw
-    tokens. An empty table gives the untrained weights.
+    A round takes ``STEPS`` steps, each against the slopes of all tokens of its texts, summed over
+    all tasks; every text belongs to one step. So the weights are the same, up to rounding, however
+    rows lie in partitions. An empty table gives the untrained weights.
     """
-    weights = new_weights(ids=len(vocabulary.class_of), start=vocabulary.start)
-    shapes = [w.shape for w in weights]
-    cuts = np.cumsum([w.size for w in weights])[:-1]
-    for _ in range(rounds):
-        held = df.sparkSession.sparkContext.broadcast((weights, vocabulary.sent()))
-
-        def pass_over(batches: Iterable[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            start, words = held.value
-            own = [w.copy() for w in start]
-            speed = [np.full_like(w, START_SPEED) for w in own]
-            seen = 0
-            for _, values, _ in text_chunks(batches):
-                ids, first = _ids(values, words)
-                near, goal = windows(ids, first), words.class_of[ids]
-                shuffled = np.random.default_rng(len(ids)).permutation(len(ids))
-                for begin in range(0, len(ids), BATCH):
-                    rows = shuffled[begin : begin + BATCH]
-                    learn(own, speed, near[:, rows], goal[rows], ids[rows], words)
-                seen += len(ids)
-            if seen:
-                moved = np.flatnonzero(np.concatenate([v.ravel() for v in speed]) != START_SPEED)
-                flat = np.concatenate([w.ravel() for w in own])[moved].astype(np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(moved), pa.array(flat * seen), pa.array(np.full(len(flat), seen))],
-                    ["cell", "value", "seen"],
-                )
-
-        moved = df.mapInArrow(pass_over, "cell long, value double, seen long")
-        summed = moved.groupBy("cell").agg((F.sum("value") / F.sum("seen")).cast("float").alias("value"))
-        found = summed.toArrow()
-        if found.num_rows:
-            flat = np.concatenate([w.ravel() for w in weights])
-            flat[found.column("cell").to_numpy()] = found.column("value").to_numpy()
-            parts = np.split(flat, cuts)
-            weights = [part.reshape(shape) for part, shape in zip(parts, shapes, strict=True)]
+    weights = new_weights(ids=len(vocabulary.class_of), start=vocabulary.start, class_start=vocabulary.class_start)
+    speed = [np.full(w.shape, START_SPEED, np.float64) for w in weights]
+    words = df.sparkSession.sparkContext.broadcast(vocabulary.sent())
+    encoded = _encoded(df, words)
+    for k in range(rounds * STEPS):
+        total = summed_slopes(encoded.where(F.col("step") == k % STEPS), weights, words)
+        if total is not None:
+            step(weights, speed, total)
     return weights
 
 
@@ -335,12 +420,12 @@ def score_texts(values: list[str], weights: list[np.ndarray], vocabulary: Vocabu
 
 def _score_ids(ids: np.ndarray, first: np.ndarray, weights: list[np.ndarray], vocabulary: Vocabulary):
     sums = np.zeros(len(ids) + 1)
-    near = windows(ids, first)
+    room, at = _laid_out(ids, first)
     once = np.zeros(len(vocabulary.class_of))
     once[VOCABULARY:PAD] = -np.log(vocabulary.rest)
     for begin in range(0, len(ids), BATCH):
         rows = slice(begin, begin + BATCH)
-        logs = token_log_probabilities(weights, near[:, rows], ids[rows], vocabulary)
+        logs = token_log_probabilities(weights, _near(room, at[rows]), ids[rows], vocabulary)
         sums[begin + 1 : begin + 1 + len(logs)] = logs
     sums[1:] += once[ids]
     sums = np.cumsum(sums)

@@ -27,7 +27,9 @@ def test_step_follows_the_slope(monkeypatch):
     loss = lambda ws: -lm.class_log_probabilities(ws, near, goal).sum()
     after, speed = [w.copy() for w in weights], [np.zeros_like(w) for w in weights]
     monkeypatch.setattr(lm, "RATE", 1.0)
-    lm.learn(after, speed, near, goal)
+    total = [np.zeros_like(w) for w in weights]
+    lm.add_slopes(total, weights, near, goal)
+    lm.step(after, speed, total)
     for k, at in ((0, (1, near[1, 0], 3)), (1, (2,)), (2, (3, goal[0])), (3, (goal[0],))):
         moved = [w.copy() for w in weights]
         moved[k][at] += 1e-5
@@ -117,3 +119,51 @@ def test_context_tells_tokens_of_one_class_apart(spark):
     near = np.array([[ids[0]] * 2, [ids[0]] * 2, [ids[0]] * 2, [ids[0]] * 2])
     fits, not_ = lm.token_log_probabilities(weights, near, ids[2:], words)
     assert fits > not_ + 0.5
+
+
+def test_weights_and_scores_do_not_depend_on_partitions(spark):
+    df = documents(spark)
+    words = lm.build_vocabulary(df)
+    one, seven = (lm.train(df.repartition(n), words) for n in (1, 7))
+    assert max(np.abs(a - b).max() for a, b in zip(one, seven, strict=True)) < 1e-4
+    scored = [{r["doc_id"]: r["log_prob"] for r in lm.score(df.repartition(n), w, words).collect()} for n, w in ((1, one), (7, seven))]
+    assert all(abs(x - scored[1][k]) < 1e-5 * abs(x) for k, x in scored[0].items())
+
+
+def test_slopes_of_turns_follow_differences(spark):
+    df = spark.createDataFrame([(1, " ".join(f"w{k} w{k % 7}" for k in range(400)))], "doc_id long, text string")
+    words = lm.build_vocabulary(df)
+    dealt = np.random.default_rng(2)
+    weights = [w.astype(np.float64) for w in lm.new_weights(ids=len(words.class_of), start=words.start, class_start=words.class_start)]
+    weights[4] += dealt.normal(0, 0.3, weights[4].shape)
+    ids, first = lm.token_hashes([df.first()["text"]])
+    ids = words.encode(ids)
+    near = lm.windows(ids, first)
+    total = [np.zeros_like(w) for w in weights]
+    lm.add_slopes(total, weights, near, words.class_of[ids], ids, words)
+    loss = lambda ws: -lm.token_log_probabilities(ws, near, ids, words).sum()
+    for k, at in ((0, (2, ids[5], 1)), (1, (4,)), (2, (3, 40)), (3, (40,)), (4, (3, 2)), (5, (3,))):
+        moved = [w.copy() for w in weights]
+        moved[k][at] += 1e-5
+        assert abs((loss(moved) - loss(weights)) / 1e-5 - total[k][at]) < 1e-2 * max(1, abs(total[k][at]))
+
+
+def test_score_equals_a_plain_loop(spark):
+    df = documents(spark, 12)
+    words = lm.build_vocabulary(df)
+    weights = lm.train(df, words)
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score(df, weights, words).collect()}
+    for doc_id, text in df.collect():
+        ids = words.encode(lm.token_hashes([text])[0]).tolist()
+        total = 0.0
+        for i, own in enumerate(ids):
+            x = weights[1].astype(float)
+            for p, d in enumerate((-2, -1, 1, 2)):
+                x = x + weights[0][p, ids[i + d] if 0 <= i + d < len(ids) else lm.PAD]
+            h = np.tanh(x)
+            logits = h @ weights[2] + weights[3]
+            total += logits[words.class_of[own]] - np.log(np.exp(logits).sum())
+            for s in range(words.first[own], words.first[own + 1]):
+                odds = h @ weights[4][words.node[s]] + weights[5][words.node[s]]
+                total -= np.log(1 + np.exp(-words.turn[s] * odds))
+        assert abs(total - got[doc_id]) < 1e-3 * abs(total)
