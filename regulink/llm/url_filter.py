@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulink.llm.common import table
+from regulink.operators.joins import skew_join
 from regulink.session import freeze
 
 # Rules as (host, path prefix, verdict), given with the task.
@@ -21,8 +22,22 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-# Words in the names of hosts that the block list holds.
+# Kinds of hosts that the block list holds. The first stand anywhere in a host's name,
+# the others are a whole part of it, between dots and hyphens, with or without an s at the end.
 LISTED_WORDS = ("spam", "pills", "casino")
+LISTED_PARTS = (
+    # advertising and tracking
+    "ad", "adserver", "adservice", "advert", "analytics", "banner", "beacon", "clickbait", "doubleclick", "popunder",
+    "popup", "telemetry", "track", "tracker", "tracking",
+    # gambling
+    "bet", "betting", "bingo", "blackjack", "bookmaker", "gambling", "jackpot", "lottery", "lotto", "poker", "roulette",
+    "slot", "sportsbook", "wager",
+    # adult
+    "adult", "camgirl", "erotic", "escort", "hentai", "milf", "nsfw", "nude", "porn", "sex", "webcam", "xxx",
+    # medicine and fraud
+    "cialis", "malware", "pharma", "phishing", "ponzi", "ransomware", "scam", "viagra", "virus", "warez", "xanax",
+)
+LISTED_PATTERN = "|".join(LISTED_WORDS) + "|(^|[.-])(" + "|".join(LISTED_PARTS) + ")s?([.-]|$)"
 
 BITS_PER_KEY = 12
 HASHES = 4
@@ -205,18 +220,44 @@ def add_membership(
     )
 
 
+def with_parents(host: Column) -> Column:
+    """The host and every domain above it: ``a.b.c``, ``b.c``, ``c``."""
+    parts = F.split(host, "[.]", -1)
+    return F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), ".")
+    )
+
+
+def listed_hosts(hosts: DataFrame, block_list: DataFrame) -> DataFrame:
+    """``key, listed``: distinct hosts of ``hosts`` (one column ``key``), and whether ``block_list``
+    (one column ``host``, compared without case, of any size) has them or a domain above them.
+
+    Domains are made distinct before they meet the list, so a domain with many hosts is one row.
+    The empty host is on no list.
+    """
+    keys = hosts.where(F.col("key").isNotNull()).distinct()
+    above = keys.select("key", F.explode(with_parents(F.col("key"))).alias("host")).where("host <> ''")
+    found = above.select("host").distinct().join(block_list.select(F.lower("host").alias("host")), "host", "left_semi")
+    hit = skew_join(above, found, ["host"], "inner").select("key").distinct()
+    return keys.join(hit.withColumn("listed", F.lit(True)), "key", "left").select(
+        "key", F.coalesce("listed", F.lit(False)).alias("listed")
+    )
+
+
 def judge_urls(
     pages: DataFrame,
     listed: Column | None = None,
     rules: Sequence[tuple[str, str, str]] = RULES,
     id_col: str = "page_id",
     url_col: str = "url",
+    block_list: DataFrame | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of each row.
 
     The longest fitting rule decides. Where none fits, the host's membership in the block list does,
     asked of a cascade over all hosts of ``pages``. ``listed`` says of a ``host`` column whether the
-    list has it (default: its name holds one of ``LISTED_WORDS``). Null urls and urls without
+    list has it (default: ``LISTED_PATTERN``); the hosts of ``block_list`` (column
+    ``host``) and all their subdomains are listed besides. Null urls and urls without
     ``://`` have an empty host, which no list holds, and are allowed. Repeated rows are each judged.
     """
     split = pages.select(
@@ -225,8 +266,10 @@ def judge_urls(
         path_of(F.col(url_col)).alias("path"),
     )
     if listed is None:
-        listed = F.col("host").rlike("|".join(LISTED_WORDS))
+        listed = F.col("host").rlike(LISTED_PATTERN)
     hosts = split.select(F.col("host").alias("key"), (listed & (F.col("host") != "")).alias("listed"))
+    if block_list is not None:
+        hosts = hosts.unionByName(listed_hosts(hosts.select("key"), block_list))
     asked = add_membership(split, "host", cascades(hosts))
     rule = match_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("listed"), "block").otherwise("allow")
@@ -240,7 +283,7 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"))
 
 
-OP5_SQL = r"""
+OP5_SQL = rf"""
 WITH split AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parts AS (
@@ -253,7 +296,7 @@ WITH split AS (
   LEFT JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, prefix)
 )
 SELECT page_id, host, path, rule,
-  coalesce(verdict, CASE WHEN regexp_matches(host, 'spam|pills|casino') THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(verdict, CASE WHEN regexp_matches(host, '{LISTED_PATTERN}') THEN 'block' ELSE 'allow' END) AS verdict
 FROM fits
 QUALIFY row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rule) DESC NULLS LAST) = 1
 """

@@ -51,3 +51,45 @@ def test_many_shards(spark):
 
 def test_empty_table(spark):
     assert uf.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_kinds_of_hosts(spark):
+    hosts = {
+        "adult-x.example.net": "block", "free-bets.example.org": "block", "m.ads-track.org": "block", "mycasino1.net": "block",
+        "shadow.org": "allow", "essex.org": "allow", "abet.net": "allow", "adapt.example.org": "allow", "": "allow",
+    }
+    df = spark.createDataFrame([(k, f"http://{h}/x") for k, h in enumerate(hosts)], "page_id long, url string")
+    got = {r["host"]: r["verdict"] for r in uf.judge_urls(df).collect()}
+    assert got == hosts
+
+
+def test_a_block_list_covers_subdomains(spark):
+    listed = spark.createDataFrame([("Bad.org",), ("x.y.net",), ("x.y.net",), ("",), (None,)], "host string")
+    hosts = {
+        "bad.org": "block", "a.b.bad.org": "block", "notbad.org": "allow", "org": "allow", "x.y.net": "block",
+        "y.net": "allow", "z.x.y.net": "block", "x.y.net.org": "allow", "": "allow", ".": "allow",
+    }
+    df = spark.createDataFrame([(k, f"http://{h}") for k, h in enumerate(hosts)] * 2 + [(99, None)], "page_id long, url string")
+    got = {r["host"]: r["verdict"] for r in uf.judge_urls(df, block_list=listed).collect()}
+    assert got == hosts
+    assert uf.judge_urls(df, block_list=listed.limit(0)).where("verdict = 'block'").isEmpty()
+
+
+def test_verdicts_come_from_the_cascade(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [(k, f"http://{'bets' if k % 3 == 0 else 'news'}.h{k}.org/") for k in range(6000)], "page_id long, url string"
+    )
+    wrong = "verdict <> if(page_id % 3 = 0, 'block', 'allow')"
+    assert uf.judge_urls(df).where(wrong).isEmpty()
+    whole = uf.build_cascade
+    monkeypatch.setattr(uf, "cascades", lambda u: _first_level(u, whole))
+    assert 0 < uf.judge_urls(df).where(wrong).count() < 200
+
+
+def _first_level(universe, build):
+    """Cascades with all levels but the first left out."""
+    spark = universe.sparkSession
+    part = universe.select(*uf.key_hashes(uf.F.col("key")), "listed").distinct().toPandas()
+    filters = build(part["_h1"].to_numpy(), part["_h2"].to_numpy(), part["listed"].to_numpy())
+    assert len(filters) > 1
+    return spark.createDataFrame([(0, [filters[0].tobytes()], 1)], "shard long, filters array<binary>, shards long")
