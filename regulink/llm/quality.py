@@ -16,6 +16,7 @@ from regulink.session import freeze
 
 WORDS = 1 << 13  # hashed words
 WIDTH = 32  # of word vectors
+POOLED = 2 * WIDTH + 3  # numbers of a document
 NONZERO = 4  # of an index vector
 WINDOW = 2
 HIDDEN = 32
@@ -86,7 +87,7 @@ def pool(values: list[str], vectors: np.ndarray) -> np.ndarray:
     of neighbours are, and the log of the number of words."""
     codes, first = word_codes(values)
     n = np.diff(first)
-    pooled = np.zeros((len(values), 2 * WIDTH + 3), np.float32)
+    pooled = np.zeros((len(values), POOLED), np.float32)
     some = np.flatnonzero(n)
     if len(some):
         words = vectors[codes]
@@ -185,17 +186,22 @@ def fit_quality(
 ) -> Network | None:
     """Fit on labelled rows, of which at most ``rows`` are taken by a hash of the id.
 
-    Rows with a null id or label teach nothing. There is no network when no row is labelled.
+    Rows with a null id or label teach nothing. Several texts of one id are taken by their mean, so
+    each label taken is one row. There is no network when no row is labelled.
     """
     wanted = labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")
     )
     taken = wanted.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
-    found = pooled.join(taken, "doc_id").orderBy("doc_id", "label").limit(2 * rows).toArrow()
+    # at most ``rows`` rows of three numbers
+    times = F.broadcast(taken.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times")))
+    mean = F.array(*[F.avg(F.get("pooled", k)) for k in range(POOLED)]).alias("pooled")
+    found = pooled.join(times, "doc_id").groupBy("doc_id", "label", "times").agg(mean)
+    found = found.orderBy("doc_id", "label").toArrow()
     if not found.num_rows:
         return None
-    x = np.array(found.column("pooled").to_pylist(), np.float64)
-    return fit_network(x, found.column("label").to_numpy())
+    x, n = np.array(found.column("pooled").to_pylist(), np.float64), found.column("times").to_numpy()
+    return fit_network(np.repeat(x, n, 0), np.repeat(found.column("label").to_numpy(), n))
 
 
 def score_quality(pooled: DataFrame, network: Network | None) -> DataFrame:

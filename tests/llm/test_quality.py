@@ -58,3 +58,15 @@ def test_held_out_labels(spark):
     truth, score = np.array([r["quality"] for r in rows]), np.array([r["score"] for r in rows])
     better = score[truth == 1][:, None] > score[truth == 0][None]
     assert better.mean() > 0.95 and all((r["score"] >= 0.5) == r["predicted"] for r in rows)
+
+
+def test_texts_of_one_id_push_no_label_out(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(qu, "fit_network", lambda x, y: seen.append((x, y)))
+    vector = [0.0] * qu.POOLED
+    rows = [(1, [float(k), *vector[1:]]) for k in range(9)] + [(k, [float(k), *vector[1:]]) for k in (2, 3, 4)] + [(None, vector)]
+    pooled = spark.createDataFrame(rows, "doc_id long, pooled array<float>")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 1), (3, 0), (3, 1), (5, 1), (4, None)], "doc_id long, quality int")
+    qu.fit_quality(pooled, labels, rows=6)
+    x, y = seen[0]
+    assert list(zip(x[:, 0].tolist(), y.tolist())) == [(4.0, 0), (2.0, 1), (2.0, 1), (3.0, 0), (3.0, 1)]
