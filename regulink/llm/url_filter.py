@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regulink.llm.common import table
-from regulink.operators.joins import skew_join
+from regulink.operators.joins import salt_of, skew_join
 from regulink.session import freeze
 
 # Rules as (host, path prefix, verdict), given with the task.
@@ -202,7 +202,7 @@ def add_membership(
         return hashed.mapInArrow(ask_all, kinds)
 
     salted = hashed.withColumn("shard", F.pmod("_h1", F.lit(shards))).withColumn(
-        "_salt", F.pmod(F.xxhash64(*df.columns), F.lit(PROBE_SALTS))
+        "_salt", salt_of(df.columns, PROBE_SALTS).cast("long")
     )
     copies = filters.select(
         "shard", "filters", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PROBE_SALTS - 1).cast("long"))).alias("_salt")
