@@ -133,3 +133,13 @@ def test_nodes_make_up_the_piece(spark):
     for a, b, nodes in df.collect():
         held = sorted(p for n in nodes for p in range(n["node"] << n["level"], (n["node"] + 1) << n["level"]))
         assert held == list(range(a, b))
+
+
+def test_nodes_are_never_broadcast(spark):
+    """A few chains in the text are millions of nodes, which Spark's estimate of the text does not show."""
+    module = importlib.import_module("regulink.operators.liftover")
+
+    text = "chain 10 1 2000000000 + 0 1900000000 chr1 2000000000 + 5 1900000005 7\n1900000000"
+    blocks = parse_chain(spark.createDataFrame([(text,)], "value string"))
+    plan = module.lift_segments(module.usable_blocks(blocks))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
