@@ -140,6 +140,6 @@ def test_nodes_are_never_broadcast(spark):
     module = importlib.import_module("regulink.operators.liftover")
 
     text = "chain 10 1 2000000000 + 0 1900000000 chr1 2000000000 + 5 1900000005 7\n1900000000"
-    blocks = parse_chain(spark.createDataFrame([(text,)], "value string"))
+    blocks = parse_chain(spark.range(1).select(module.F.lit(text).alias("value")))
     plan = module.lift_segments(module.usable_blocks(blocks))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
