@@ -1,5 +1,6 @@
 """Joins, ranks and quantiles against plain Python, with hot keys."""
 
+import importlib
 import random
 
 import numpy as np
@@ -136,6 +137,61 @@ def test_overlap_join_is_the_same_when_too_large(spark, nothing_small):
     assert rows(joined) == overlaps(a, b)
 
 
+def test_large_overlap_join_over_all_lengths(spark, nothing_small):
+    """Every pair of levels, empty and reversed intervals, places before 0 and rows without a place."""
+    rng = random.Random(3)
+
+    def some(n):
+        places = [(0, 0), (0, 20), (5000, 5), (1 << 40, (1 << 40) + 1), (None, 5), (7, None)]
+        for _ in range(n):
+            start, size = rng.choice([-500, 0, rng.randrange(10**9)]), rng.choice([0, 1, 1024, 1025, 16_384, 10**5, 10**7, 10**8, 3 * 10**9])
+            places.append((start + rng.randrange(20_000), start + rng.randrange(20_000) + size))
+        return [(rng.choice(["1", "1", None]), *p) for p in places]
+
+    a, b, schema = some(250), some(200), "chrom string, start long, end long"
+    x, y = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    joined = overlap_join(x, y)
+    assert joined.columns == ["chrom", "start", "end", "b_chrom", "b_start", "b_end"]
+    whole = [(*p, *q) for p in a for q in b if p[0] and p[0] == q[0] and None not in (*p, *q) and p[1] < q[2] and q[1] < p[2]]
+    assert len(whole) > 2000 and rows(joined) == sorted(whole, key=repr)
+
+
+def test_large_overlap_join_hardly_repeats_its_left_side(spark):
+    module = importlib.import_module("regulink.operators.ranges")
+
+    left = spark.range(2000).selectExpr("id * 700 AS start", "id * 700 + 200 + id % 50 * 200 AS end")
+    cells = lambda rights: module._cells(F.col("start"), F.col("end"), [0, 1], rights, True)
+    assert left.select(F.explode(cells([0]))).count() == 2000
+    assert left.select(F.explode(cells([0, 1, 2]))).count() < 1.2 * 2000
+
+
+def test_key_counts_are_bounded(spark, monkeypatch):
+    """Counts are of buckets: with ten buckets, at most ten go into the list of hot ones."""
+    from regulink.operators import joins
+
+    monkeypatch.setattr(joins, "BUCKETS", 10)
+    df = spark.range(5000).selectExpr("IF(id < 2000, 0, id) AS k", "id AS v")
+    other = spark.range(0, 5000, 2).selectExpr("id AS k", "id AS w")
+    joined = skew_join(df, other, ["k"], "inner", hot_keys=100, salts=3)
+    assert "_bucket" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(joined) == rows(df.join(other, "k"))
+
+
+def test_keys_of_two_types_meet_in_hot_places(spark):
+    df = spark.range(300).selectExpr("CAST(id % 3 AS INT) AS k", "id AS v")
+    other = spark.createDataFrame([(0, "a"), (2, "b")], "k long, w string")
+    assert rows(skew_join(df, other, ["k"], "left", hot_keys=20)) == rows(df.join(other, "k", "left"))
+
+
+def test_synonyms_never_broadcast_all_names(spark):
+    from regulink.operators import synonym_names
+
+    genes = spark.range(4).selectExpr("concat('N', id) AS gene_name", "id AS gene_id", "array(concat('N', id + 2)) AS gene_synonyms")
+    names = synonym_names(genes)
+    assert "SortMergeJoin" in names._jdf.queryExecution().executedPlan().toString()
+    assert rows(names) == [("N4", 2), ("N5", 3)]
+
+
 def test_overlap_join_touching_ends_do_not_overlap(spark):
     schema = "chrom string, start long, end long"
     a = spark.createDataFrame([("1", 0, 10)], schema)
