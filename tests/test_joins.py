@@ -8,8 +8,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from regulink.operators import exact_quantiles, lookup_join, number_rows, overlap_join, skew_join
+from regulink.operators import exact_quantiles, fits_broadcast, lookup_join, number_rows, overlap_join, skew_join
 from regulink.operators.joins import group_join
+from regulink.session import freeze
 
 
 def hot_frame(spark):
@@ -42,6 +43,17 @@ def test_skew_join_spreads_the_hot_key(spark):
     assert len(sizes) > 3
 
 
+@pytest.mark.parametrize("n, small", [(200_000, True), (300_000, False)])
+def test_lookup_of_many_rows_is_not_broadcast(spark, n, small):
+    """A driver holds some 200 bytes a row of a broadcast table, several times."""
+    lookup = freeze(spark.range(n).selectExpr("concat('G', id) AS k", "id AS w"), "lookup", measured=True)
+    joined = lookup_join(spark.range(0, 400_000, 7).selectExpr("concat('G', id) AS k", "id AS v"), lookup, ["k"], "inner")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert fits_broadcast(lookup) == small
+    assert ("_salt" not in plan) == small
+    assert joined.where("v = w").count() == joined.count() == len(range(0, n, 7))
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_skew_join_computes_its_left_side_once(spark, how):
     seen = spark.sparkContext.accumulator(0)
