@@ -191,48 +191,52 @@ def lead_windows(given: DataFrame, n: int, frequent: np.ndarray) -> DataFrame:
     held = given.sparkSession.sparkContext.broadcast(frequent)
     names = [f"w{k + 1}" for k in range(n)]
 
-    def counted(runs: list, lang_of: dict[str, int], spelled: dict[int, str]) -> Iterator[pa.RecordBatch]:
-        """Windows held so far: rows of word hashes (0: padded), and the code of the language."""
-        keys, codes = np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs])
-        one = codes.astype(np.uint64)
+    def counted(runs: list, lang_of: dict[str, int], spelled: list[str | None]) -> Iterator[pa.RecordBatch]:
+        """Windows held so far: a row of word codes by place (0: padded), and below the code of the language."""
+        keys = np.concatenate(runs, 1)
+        one = np.zeros(keys.shape[1], np.uint64)
         with np.errstate(over="ignore"):
-            for column in keys.T:
-                one = mix(one * _ODD + column)
-        _, at, times = np.unique(one, return_index=True, return_counts=True)
-        vocabulary, place = np.unique(keys[at], return_inverse=True)
-        strings = pa.array([spelled.get(v) for v in vocabulary.tolist()], pa.string())
-        place = place.reshape(len(at), n)
-        langs = pa.array(list(lang_of), pa.string())
-        for begin in range(0, len(at), 50_000):
-            some = slice(begin, begin + 50_000)
+            for row in keys:
+                one = mix(one * _ODD + row.astype(np.uint64))
+        order = np.argsort(one, kind="stable")
+        one = one[order]
+        starts = np.flatnonzero(np.diff(one, prepend=~one[:1]))
+        times = np.diff(np.append(starts, len(one)))
+        keys = keys[:, order[starts]]
+        strings, langs = pa.array(spelled, pa.string()), pa.array(list(lang_of), pa.string())
+        for begin in range(0, len(times), 50_000):
+            *places, codes = keys[:, begin : begin + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(codes[at[some]])), *(strings.take(pa.array(place[some, k])) for k in range(n)), pa.array(times[some])],
+                [langs.take(pa.array(codes)), *(strings.take(pa.array(p)) for p in places), pa.array(times[begin : begin + 50_000])],
                 ["lang", *names, "times"],
             )
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
-        runs, lang_of, spelled, number = [], {}, {}, 0
+        runs, lang_of, number = [], {}, 0
+        code_of, spelled = {}, [None]  # words of these runs by their number; none is 0, the padding
         for parts, own, langs in _runs(batches, n - 1, SEGMENT):
             words, of, begins, follow = _windows(parts, own, n)
-            hashes = words.hashes | np.uint64(1)  # none is the padding
-            keys = np.zeros((len(hashes), n), np.uint64)
-            keys[:, 0] = hashes
-            going = np.ones(len(hashes), bool)
+            found, at, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+            for value, first in zip(found.tolist(), at.tolist(), strict=True):
+                if value not in code_of:
+                    code_of[value] = len(spelled)
+                    spelled.append(words.text(first))
+            codes = np.array([code_of[value] for value in found.tolist()], np.int32)[place]
+            keys = np.zeros((n + 1, len(codes)), np.int32)
+            keys[0] = codes
+            going = np.ones(len(codes), bool)
             for k, buckets in enumerate(_phrase_buckets(words, of, langs, n), 1):
                 going &= follow >= k
                 going[going] = _is_set(bits, buckets[going])
-                keys[going, k] = np.roll(hashes, -k)[going]
-            codes = np.array([lang_of.setdefault(v, len(lang_of)) for v in langs], np.int32)[of]
-            runs.append((keys[begins], codes[begins]))
+                keys[k, going] = np.roll(codes, -k)[going]
+            keys[n] = np.array([lang_of.setdefault(v, len(lang_of)) for v in langs], np.int32)[of]
+            runs.append(keys[:, begins])
             number += int(begins.sum())
-            found, at = np.unique(hashes, return_index=True)
-            for value, k in zip(found.tolist(), at.tolist(), strict=True):
-                if value not in spelled:
-                    spelled[value] = words.text(k)
             if number >= WINDOWS:
                 yield from counted(runs, lang_of, spelled)
-                runs, lang_of, spelled, number = [], {}, {}, 0
+                runs, lang_of, number = [], {}, 0
+                code_of, spelled = {}, [None]
         if runs:
             yield from counted(runs, lang_of, spelled)
 

@@ -2,9 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from regulink.llm import collocations as co
@@ -94,6 +98,25 @@ def test_a_long_text_gives_the_same_windows_in_segments(limit):
     assert windows(limit) == windows(10**9)
 
 
+def test_a_task_holds_little_besides_its_windows():
+    """A million windows that are counted at once, in a process that counts what it allocates."""
+    words = np.random.default_rng(3).zipf(1.2, 1_100_000) % 50_000
+    texts = [" ".join(f"w{w}" for w in words[k : k + 1000].tolist()) for k in range(0, len(words), 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    every = SimpleNamespace(value=np.full((1 << co.BUCKET_BITS) // 8, 255, np.uint8))
+    context = SimpleNamespace(broadcast=lambda bits: every)
+    given = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context), mapInArrow=lambda f, schema: f)
+    count = co.lead_windows(given, 3, every.value)
+    tracemalloc.start()
+    try:
+        found = sum(pc.sum(part.column("times")).as_py() for part in count([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == len(words)
+    assert peak < 130e6
+
+
 def test_repeated_rows_ties_and_empty_tables(spark):
     df = spark.createDataFrame([(k, "en", "b a, c a, b a", "", 0) for k in range(5)], SCHEMA)
     got = rows(co.collocations(df, 2, 5), "rank", "phrase", "a", "l", "r", "n", "score")
