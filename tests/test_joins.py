@@ -52,6 +52,9 @@ def test_lookup_of_many_rows_is_not_broadcast(spark, n, small):
     assert fits_broadcast(lookup) == small
     assert ("_salt" not in plan) == small
     assert joined.where("v = w").count() == joined.count() == len(range(0, n, 7))
+    joined.collect()
+    ran = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert ("SortMergeJoin" in ran) != small
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
