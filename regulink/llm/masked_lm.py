@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -64,15 +65,41 @@ class Vocabulary:
         rest = VOCABULARY + (hashes.view(np.uint64) % np.uint64(SHARED)).astype(np.int64)
         if not len(self.hashes):
             return rest
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], rest)
-
-    def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row of ``ids``, node and turn of each step on the ways to them."""
-        n = self.first[ids + 1] - self.first[ids]
-        rows = np.repeat(np.arange(len(ids)), n)
-        at = np.arange(len(rows)) + np.repeat(self.first[ids] - (np.cumsum(n) - n), n)
-        return rows, self.node[at], self.turn[at]
+        shift, place, crowded = self._slots
+        slot = (hashes.view(np.uint64) >> shift).astype(np.int64)
+        at = place[slot]
+        found = np.where(self.hashes[at] == hashes, self.ids[at], rest)
+        again = np.flatnonzero(crowded[slot])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[again]), len(self.hashes) - 1)
+        same = self.hashes[at] == hashes[again]
+        found[again[same]] = self.ids[at[same]]
+        return found
+
+    @cached_property
+    def _slots(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+        """By the first bits of a hash: how far to shift it for them, one token that has them, and
+        whether more than one has."""
+        bits = (16 * len(self.hashes)).bit_length()
+        shift = np.uint64(64 - bits)
+        slot = (self.hashes.view(np.uint64) >> shift).astype(np.int64)
+        place = np.zeros(1 << bits, np.int32)
+        place[slot] = np.arange(len(slot))
+        return shift, place, np.bincount(slot, minlength=1 << bits) > 1
+
+    def steps(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Node and turn of each step on the ways to ``ids``, which are in order of the length of
+        their ways, longest first; the k-th step is that of as many of them as have one."""
+        begin = self.first[ids]
+        n = self.first[ids + 1] - begin
+        for k in range(int(n[0]) if len(n) else 0):
+            at = begin[: len(n) - np.searchsorted(n[::-1], k, "right")] + k
+            yield self.node[at], self.turn[at]
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        """How many steps fewer than the longest way the way to each id has."""
+        n = np.diff(self.first)
+        return (n.max(initial=0) - n).astype(np.uint16)
 
     def sent(self) -> Vocabulary:
         """What tasks need."""
@@ -239,14 +266,7 @@ def _logits(weights: list[np.ndarray], h: np.ndarray) -> np.ndarray:
 def _class_logs(weights: list[np.ndarray], h: np.ndarray, goal: np.ndarray) -> np.ndarray:
     logits = _logits(weights, h)
     chosen = logits[np.arange(len(goal)), goal]
-    return chosen - np.log(np.exp(logits, out=logits).sum(1))
-
-
-def _turns(weights: list[np.ndarray], h: np.ndarray, ids: np.ndarray, vocabulary: Vocabulary):
-    """Rows, nodes and turns of the ways to ``ids``, hidden values and node weights there, log odds."""
-    rows, node, turn = vocabulary.ways(ids)
-    met, way = h.take(rows, 0), weights[4].take(node, 0)
-    return rows, node, turn, met, way, turn * (np.einsum("ij,ij->i", met, way) + weights[5][node])
+    return chosen - np.log(np.exp(logits, out=logits) @ np.ones(CLASSES, logits.dtype))
 
 
 def token_log_probabilities(
@@ -254,9 +274,16 @@ def token_log_probabilities(
 ) -> np.ndarray:
     """Log probability of each id given its neighbours: of its class, then of each turn to it."""
     h = _hidden(weights, near)
-    rows, *_, odds = _turns(weights, h, ids, vocabulary)
-    lost = np.maximum(-odds, 0) + np.log1p(np.exp(-np.abs(odds)))
-    return _class_logs(weights, h, vocabulary.class_of[ids]) - np.bincount(rows, lost, len(ids))
+    logs = _class_logs(weights, h, vocabulary.class_of[ids])
+    order = np.argsort(vocabulary.lengths[ids], kind="stable")
+    met, lost = h.take(order, 0), np.zeros(len(ids))
+    for node, turn in vocabulary.steps(ids[order]):
+        n = len(node)
+        odds = turn * (np.einsum("ij,ij->i", met[:n], weights[4].take(node, 0)) + weights[5][node])
+        lost[:n] += np.maximum(-odds, 0) + np.log1p(np.exp(-np.abs(odds)))
+    out = logs.astype(np.float64)
+    out[order] -= lost
+    return out
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,7 +315,7 @@ def add_slopes(
     """
     h = _hidden(weights, near)
     p = _logits(weights, h)
-    whole = np.exp(p, out=p).sum(1)
+    whole = np.exp(p, out=p) @ np.ones(CLASSES, p.dtype)
     p[np.arange(len(goal)), goal] -= whole
     share = 1 / whole
     total[2] += (h * share[:, None]).T @ p
@@ -296,13 +323,23 @@ def add_slopes(
     back = p @ weights[2].T
     back *= share[:, None]
     if ids is not None:
-        rows, node, turn, met, way, odds = _turns(weights, h, ids, vocabulary)
-        if len(rows):
+        order = np.argsort(vocabulary.lengths[ids], kind="stable")
+        met, turned = h.take(order, 0), np.zeros_like(back)
+        nodes, slopes, parts = [], [], []
+        for node, turn in vocabulary.steps(ids[order]):
+            n, way = len(node), weights[4].take(node, 0)
+            odds = turn * (np.einsum("ij,ij->i", met[:n], way) + weights[5][node])
             slope = -turn / (1 + np.exp(np.minimum(odds, 60)))
-            back += _sums(rows, len(ids), np.multiply(way.T, slope, order="C"))
-            at, number = _groups(node)
-            total[4][at] += _sums(number, len(at), np.multiply(met.T, slope, order="C"))
-            total[5][at] += np.bincount(number, slope, len(at))
+            way *= slope[:, None]
+            turned[:n] += way
+            nodes.append(node)
+            slopes.append(slope)
+            parts.append(np.multiply(met[:n], slope[:, None], out=way))
+        if nodes:
+            back[order] += turned
+            at, number = _groups(np.concatenate(nodes))
+            total[4][at] += _sums(number, len(at), np.array(np.concatenate(parts).T, np.float64, order="C"))
+            total[5][at] += np.bincount(number, np.concatenate(slopes), len(at))
     back *= 1 - h * h
     columns = np.array(back.T, np.float64, order="C")
     total[1] += columns.sum(1)
