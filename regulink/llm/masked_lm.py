@@ -266,7 +266,7 @@ def _logits(weights: list[np.ndarray], h: np.ndarray) -> np.ndarray:
 def _class_logs(weights: list[np.ndarray], h: np.ndarray, goal: np.ndarray) -> np.ndarray:
     logits = _logits(weights, h)
     chosen = logits[np.arange(len(goal)), goal]
-    return chosen - np.log(np.exp(logits, out=logits) @ np.ones(CLASSES, logits.dtype))
+    return chosen - np.log(np.exp(logits, out=logits).sum(1))
 
 
 def token_log_probabilities(
@@ -288,12 +288,12 @@ def token_log_probabilities(
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the number among them of each key."""
-    order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")
-    ordered = keys[order]
-    new = np.diff(ordered, prepend=-1) != 0
-    number = np.empty(len(keys), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return ordered[new], number
+    held = np.zeros(keys.max() + 1, bool)
+    held[keys] = True
+    found = np.flatnonzero(held)
+    number = np.zeros(len(held), np.int64)
+    number[found] = np.arange(len(found))
+    return found, number[keys]
 
 
 def _sums(number: np.ndarray, groups: int, columns: np.ndarray) -> np.ndarray:
@@ -315,7 +315,7 @@ def add_slopes(
     """
     h = _hidden(weights, near)
     p = _logits(weights, h)
-    whole = np.exp(p, out=p) @ np.ones(CLASSES, p.dtype)
+    whole = np.exp(p, out=p).sum(1)
     p[np.arange(len(goal)), goal] -= whole
     share = 1 / whole
     total[2] += (h * share[:, None]).T @ p
@@ -324,7 +324,7 @@ def add_slopes(
     back *= share[:, None]
     if ids is not None:
         order = np.argsort(vocabulary.lengths[ids], kind="stable")
-        met, turned = h.take(order, 0), np.zeros_like(back)
+        met, turned = h.take(order, 0), np.zeros(back.shape)
         nodes, slopes, parts = [], [], []
         for node, turn in vocabulary.steps(ids[order]):
             n, way = len(node), weights[4].take(node, 0)

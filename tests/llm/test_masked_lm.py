@@ -167,3 +167,16 @@ def test_score_equals_a_plain_loop(spark):
                 odds = h @ weights[4][words.node[s]] + weights[5][words.node[s]]
                 total -= np.log(1 + np.exp(-words.turn[s] * odds))
         assert abs(total - got[doc_id]) < 1e-3 * abs(total)
+
+
+def test_ids_of_hashes_that_begin_alike():
+    """Tokens whose hashes share their first bits, and others that share those with a token."""
+    dealt = np.random.default_rng(5)
+    hashes = dealt.integers(-(1 << 63), 1 << 63, 300)
+    hashes = np.unique(np.concatenate([hashes, hashes[:50] ^ 1, hashes[:20] ^ 6, [0, -1, 1 << 62]]))
+    none = np.zeros(1)
+    held = lm.Vocabulary(hashes, np.arange(len(hashes)) + 7, *[none] * 8)
+    asked = np.concatenate([hashes, hashes ^ 3, dealt.integers(-(1 << 63), 1 << 63, 1000)])
+    id_of = dict(zip(hashes.tolist(), held.ids.tolist(), strict=True))
+    want = [id_of.get(v, lm.VOCABULARY + v % lm.SHARED) for v in asked.tolist()]
+    assert held.encode(asked.view(np.uint64)).tolist() == want
