@@ -25,6 +25,12 @@ def identity(spark, shift=0):
     )
 
 
+def plan_run(df):
+    """The plan that a query had in the end."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
 def test_gene_list_links(spark, tmp_path):
     path = tmp_path / "lists.csv"
     path.write_text(
@@ -83,6 +89,21 @@ def test_capture_links(spark, tmp_path):
     assert rows(built) == [("1", 1011, 2010, "G1", 6.0, "B"), ("1", 1011, 2010, "G1", 7.5, "T")]
 
 
+def test_large_capture_links_are_merged(spark, nothing_small):
+    """Start sites and labels beyond the bound stay out of the driver, however small their files are."""
+    baits = spark.createDataFrame(
+        [("chr1", 100, 200, f"chr1:{1000 + i}-2000,5.5", "Tcell") for i in range(20)],
+        "chrom string, start long, end long, target string, bio_feature string",
+    )
+    tss = spark.createDataFrame(
+        [("1", 170, 171, "G1", "."), ("1", 400, 401, "G2", ".")],
+        "chrom string, start long, end long, name string, score string",
+    )
+    built = P.build_capture_links(baits, tss, labels(spark, Tcell="T", Bcell="B"))
+    assert plan_run(built).count("SortMergeJoin") == 2
+    assert rows(built) == sorted([("1", 1001 + i, 2000, "G1", 5.5, "T") for i in range(20)], key=repr)
+
+
 def test_enhancer_links(spark, tmp_path):
     path = tmp_path / "assoc.bed"
     names = [
