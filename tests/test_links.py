@@ -123,6 +123,20 @@ def test_enhancer_links(spark, tmp_path):
     assert rows(built) == [("1", 101, 200, "G1", pytest.approx(0.64), "unspecified")]
 
 
+def test_large_enhancer_links_are_merged(spark, nothing_small):
+    """A gene dictionary beyond the bound stays out of the driver, however small its files are."""
+    packed = [(f"chr1:{100 + i}-200;NM_1;abc;R:0.5;0.01",) for i in range(20)]
+    table = genes(
+        spark,
+        dict(gene_id="G1", gene_name="ABC", chr="1", tss=1000),
+        dict(gene_id="G2", gene_name="ABC", chr="1", tss=2000),
+    )
+    built = P.build_enhancer_links(spark.createDataFrame(packed, "name string"), table)
+    assert plan_run(built).count("SortMergeJoin") == 1
+    found = [("1", 101 + i, 200, gene, 0.25, "unspecified") for i in range(20) for gene in ("G1", "G2")]
+    assert rows(built) == sorted(found, key=repr)
+
+
 def test_case_insensitive_symbols(spark):
     table = genes(spark, dict(gene_id="G2", gene_name="lower", chr="1", tss=1000))
     df = spark.createDataFrame([("Lower",)], "gene_symbol string")
