@@ -14,6 +14,7 @@ from regulink.operators.checks import (
     parse_vep_nearest,
 )
 from regulink.operators.genes import link_distances
+from regulink.session import freeze
 
 
 def nearest_check(variants: DataFrame, annotated: DataFrame, **options) -> DataFrame:
@@ -30,6 +31,10 @@ def coverage_check(genes: DataFrame, **lists: DataFrame) -> tuple[DataFrame, Dat
 def distance_check(
     links: DataFrame, genes: DataFrame, bins: int = 1000, chrom: str = "chr", anchor: str = "tss"
 ) -> tuple[DataFrame, DataFrame]:
-    """Summary and histogram of link-gene distances, for choosing a threshold."""
-    distances = link_distances(links, genes, chrom, anchor)
+    """Summary and histogram of link-gene distances, for choosing a threshold.
+
+    Links are joined with their genes once, for both; only the columns that takes are written.
+    """
+    placed = links.select("chrom", "start", "end", "gene_id")
+    distances = freeze(link_distances(placed, genes, chrom, anchor).select("delta"), "distances")
     return describe_distance(distances), distance_histogram(distances, bins)

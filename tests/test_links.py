@@ -279,3 +279,22 @@ def test_missing_value_stops_the_job(spark):
 def test_first_per_key(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "c"), ("j", 5, None)], "k string, n long, v string")
     assert rows(O.first_per_key(df, ["k"], ["n"])) == [("j", 5, None), ("k", 1, "c")]
+
+
+def test_distance_check_reads_the_links_once(spark, nothing_small):
+    links = spark.createDataFrame(
+        [("1", 0, 10 * i, f"G{i % 2}") for i in range(1, 9)] + [("2", 0, 10, "G1"), ("1", 0, 10, None)],
+        "chrom string, start long, end long, gene_id string",
+    )
+    table = spark.createDataFrame([("G0", "1", 0), ("G1", "1", 5)], "gene_id string, chr string, tss long")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    summary, histogram = P.distance_check(links.mapInArrow(counted, links.schema), table, bins=2)
+    assert rows(summary, "count", "min", "p50", "max") == [(8, 0.0, 20.0, 40.0)]
+    assert rows(histogram, "bin", "count") == [(0, 3), (1, 5)]
+    assert read.value == 10
