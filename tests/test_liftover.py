@@ -143,3 +143,39 @@ def test_nodes_are_never_broadcast(spark):
     blocks = parse_chain(spark.range(1).select(module.F.lit(text).alias("value")))
     plan = module.lift_segments(module.usable_blocks(blocks))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_ends_are_found_together_within_a_region(spark, nothing_small, monkeypatch):
+    module = importlib.import_module("regulink.operators.liftover")
+    width = 1 << (module.BIN_BITS + module.REGION_BITS)  # of a region
+    one_bin = 1 << module.BIN_BITS
+    blocks = spark.createDataFrame(
+        [
+            (1, 5, "1", 0, 3 * width, "chr2", 10 * width, "+", 50),
+            (2, 9, "1", 100, 200, "chr3", 10 * width, "-", 0),  # better at its places, on another chromosome
+            (3, 9, "1", width - 50, width + 50, "chr2", 10 * width, "-", 7),
+        ],
+        CHAIN_BLOCKS,
+    )
+    near = [
+        ("1", 10, 20, "a"), ("1", 10, 150, "b"), ("1", 110, 120, "c"), ("chr1", width - 5, width + 5, "d"),
+        ("1", width - 5, width + one_bin, "e"), ("1", width + 1, width + 2, "f"), ("1", 20, 10, "g"),
+        ("1", None, 5, "h"), (None, 1, 5, "i"), ("7", 1, 5, "j"), ("1", 10, 20, "a"),
+    ]
+    far = [("1", 5, 2 * width, "k"), ("1", width + 9, width - 900, "l"), ("1", 5, width + one_bin + 1, "m")]
+    frames = [spark.createDataFrame(some, LINKS) for some in (near, near + far)]
+    expected = [rows(liftover(df, blocks, 10**9, small=True)) for df in frames]
+    assert [len(e) for e in expected] == [8, 11]
+    assert rows(liftover(frames[1], blocks, 10**9)) == expected[1]
+
+    def no_join(*args, **options):
+        raise AssertionError("a row is shuffled for each of its ends")
+
+    monkeypatch.setattr(module, "lookup_join", no_join)
+    assert rows(liftover(frames[0], blocks, 10**9)) == expected[0]
+
+
+def test_many_rows_of_one_region_are_spread(spark, nothing_small):
+    blocks = spark.createDataFrame([(1, 5, "1", 0, 10**6, "chr2", 10**7, "+", 50)], CHAIN_BLOCKS)
+    df = spark.range(3000).selectExpr("'1' AS chrom", "100 AS start", "100 + id % 3 AS end", "'a' AS gene_id")
+    assert rows(liftover(df, blocks).groupBy("end").count()) == [(150, 1000), (151, 1000), (152, 1000)]
